@@ -6,21 +6,53 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tapewright.llm.decontaminate import decontamination_report
 from tapewright.llm.exact_dedup import exact_dedup
 from tapewright.llm.util import table
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_decontamination": op8_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 SQL: dict[str, str] = {
+    "op8_decontamination": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        win AS (
+            SELECT item_id, least(len(w), 10) AS k, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i, w
+            FROM b WHERE len(w) > 0
+        ),
+        items AS (SELECT DISTINCT item_id, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS t FROM win),
+        places AS (
+            SELECT doc_id, k, w, unnest(range(1, len(w) - k + 2)) AS i
+            FROM d, (SELECT DISTINCT k FROM items) WHERE len(w) >= k
+        ),
+        runs AS (SELECT doc_id, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS t FROM places),
+        met AS (SELECT doc_id, i, k, item_id FROM runs JOIN items USING (k, t)),
+        hit AS (
+            SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM met) GROUP BY 1
+        ),
+        named AS (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM met),
+        lists AS (SELECT doc_id, count(*) AS n, string_agg(name, ',' ORDER BY name) AS names FROM named GROUP BY 1)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(lists.n, 0) AS BIGINT) AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN lists USING (doc_id)
+    """,
     "op10_exact_dedup": f"""
         WITH d AS (
             SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents
