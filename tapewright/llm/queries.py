@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tapewright.llm.decontaminate import decontamination_report
 from tapewright.llm.exact_dedup import exact_dedup
+from tapewright.llm.personal_data import personal_data_report
 from tapewright.llm.util import table
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_report(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -20,6 +25,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_personal_data": op7_personal_data,
     "op8_decontamination": op8_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
 }

@@ -1,0 +1,53 @@
+import hashlib
+import random
+import re
+
+from pyspark.sql import Row
+
+from tapewright.llm.personal_data import BASE, _scan, anchors, luhn, personal_data_report, redact
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def valid(kind: str, value: str) -> bool:
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in value.split("."))
+    if kind == "card":
+        return 16 <= len(digits) <= 19 and luhn(digits)
+    return kind == "email" or 8 <= len(digits) <= 15
+
+
+def plain(text: str) -> dict:
+    return {k: [m.span() for m in re.finditer(p, text) if valid(k, m[0])] for k, p in PATTERNS.items()}
+
+
+def test_base_kinds_equal_the_patterns():
+    rng, automaton = random.Random(5), anchors()
+    alphabet = ["a", "B", "@", ".", "+", "-", " ", "(", ")", "1", "2", "9", "0", "é", "\n", "a@b.c", "10.0.0.1", "4111 1111 1111 1111", "+49 30 1234567"]
+    for _ in range(20000):
+        text = "".join(rng.choices(alphabet, k=rng.randrange(25)))
+        found = _scan(text, automaton)
+        assert {k: found[k] for k in BASE} == plain(text), text
+
+
+def test_added_kinds():
+    text = "See https://bob:pw@host.example.com/x and mailto:a.b@c.de, IBAN: DE89 3704 0044 0532 0130 00; account no 12345678 ok"
+    found = _scan(text, anchors())
+    assert [text[a:b] for a, b in found["url"]] == ["https://bob:pw@host.example.com/x", "mailto:a.b@c.de"]
+    assert [text[a:b] for a, b in found["account"]] == ["DE89 3704 0044 0532 0130 00", "12345678"]
+
+
+def test_report_and_redaction_with_odd_rows(spark):
+    rows = [Row(doc_id=1, text=None, row="x"), Row(doc_id=None, text="", row=None), Row(doc_id=2, text="mail a@b.cd " * 3000, row="y"), Row(doc_id=2, text="mail a@b.cd", row="y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    got = sorted((r["n_email"], r["spans"][:14], r["base_sha256"]) for r in personal_data_report(docs).collect())
+    empty = hashlib.sha256(b"").hexdigest()
+    assert [g[0] for g in got] == [0, 0, 1, 3000] and got[0][1:] == ("", empty)
+    assert sorted(r["text"] or "" for r in redact(docs).collect())[2] == "mail <email>"
+    assert redact(docs.limit(0)).count() == 0
