@@ -9,7 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from tapewright.llm.decontaminate import decontamination_report
 from tapewright.llm.exact_dedup import exact_dedup
 from tapewright.llm.personal_data import personal_data_report
-from tapewright.llm.util import table
+from tapewright.llm.token_files import token_report, write_tokens
+from tapewright.llm.util import scratch, table
+
+
+def tokenizer_path() -> str:
+    """The tokenizer file that op3 and the pipeline use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return token_report(spark, path)
 
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +39,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_files": op3_token_files,
     "op7_personal_data": op7_personal_data,
     "op8_decontamination": op8_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
