@@ -89,7 +89,8 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         if level == 0:
             rows = here.select("row_id", "doc_id", F.lit(0).cast("long").alias("part"), "chunk")
         else:
-            rows = active.join(here.select("row_id", "chunk"), "row_id")
+            # always a merge join: the bytes moved then follow the input, however few rows are active
+            rows = active.hint("merge").join(here.select("row_id", "chunk"), "row_id")
         counted = rows.groupBy("part", "chunk").agg(
             F.count("*").alias("n"),
             F.min("row_id").alias("next"),
