@@ -10,6 +10,7 @@ from tapewright.llm.decontaminate import decontamination_report
 from tapewright.llm.exact_dedup import exact_dedup
 from tapewright.llm.personal_data import personal_data_report
 from tapewright.llm.token_files import token_report, write_tokens
+from tapewright.llm.toxicity import toxicity_report
 from tapewright.llm.util import scratch, table
 
 
@@ -26,6 +27,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_report(spark, path)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data_report(table(spark, sf_dir, "documents"))
 
@@ -40,6 +45,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
+    "op6_toxicity": op6_toxicity,
     "op7_personal_data": op7_personal_data,
     "op8_decontamination": op8_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
