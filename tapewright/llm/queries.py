@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tapewright.llm.decontaminate import decontamination_report
 from tapewright.llm.exact_dedup import exact_dedup
+from tapewright.llm.jaccard_join import component_report
 from tapewright.llm.personal_data import personal_data_report
 from tapewright.llm.token_files import token_report, write_tokens
 from tapewright.llm.toxicity import toxicity_report
@@ -27,6 +28,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_report(spark, path)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return component_report(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -45,6 +50,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,
     "op7_personal_data": op7_personal_data,
     "op8_decontamination": op8_decontamination,

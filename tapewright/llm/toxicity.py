@@ -58,6 +58,7 @@ class Model:
     def segments(self, words: list[bytes]) -> list[tuple[int, int, float]]:
         """All maximal scoring subsequences (start, end, score); positions in words."""
         get, prefixes = self.weights.get, self.prefixes
+        total, seen = 0.0, 0
         stack: list[tuple[int, int, float, float]] = []  # start, end, sum before, sum after
         for i, word in enumerate(words):
             weight = get(word)
@@ -65,17 +66,20 @@ class Model:
                 weight = prefixes.get(word[:PREFIX])
                 if weight is None or len(word) <= PREFIX:
                     continue
+            if weight <= 0:
+                total += weight
+                seen += 1
+                continue
             # the sum of everything before i: each weight so far, less the drift of the others
-            before = self._total - DRIFT * (i - self._seen)
-            self._total += weight
-            self._seen += 1
+            before = total - DRIFT * (i - seen)
+            total += weight
+            seen += 1
             start, left, right = i, before, before + weight
             while True:
                 k = len(stack) - 1
                 while k >= 0 and stack[k][2] >= left:
                     k -= 1
                 if k < 0 or stack[k][3] >= right:
-                    del stack[len(stack) if k >= 0 else len(stack) :]
                     stack.append((start, i + 1, left, right))
                     break
                 start, left = stack[k][0], stack[k][2]
@@ -84,7 +88,6 @@ class Model:
 
     def passages(self, words: list[bytes]) -> list[tuple[int, int, float]]:
         """Significant passages with their normalised scores."""
-        self._total, self._seen = 0.0, 0
         space = math.log(max(1.0, self.space * len(words)))
         found = ((a, b, self.rate * s - space) for a, b, s in self.segments(words))
         return [x for x in found if x[2] > 0]
