@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tapewright.llm.decontaminate import decontamination_report
 from tapewright.llm.exact_dedup import exact_dedup
 from tapewright.llm.jaccard_join import component_report
+from tapewright.llm.mixing import mix
 from tapewright.llm.personal_data import personal_data_report
 from tapewright.llm.token_files import token_report, write_tokens
 from tapewright.llm.toxicity import toxicity_report
@@ -44,6 +46,16 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+REPETITION_LIMIT = 2.0
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), repetition_limit=REPETITION_LIMIT)
+    return drawn.select(
+        "doc_id", "source", "mix_copy", "mix_block", "mix_tokens", F.round("mix_weight", 6).alias("mix_weight"), "mix_order"
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -54,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_personal_data": op7_personal_data,
     "op8_decontamination": op8_decontamination,
+    "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
@@ -86,6 +99,46 @@ SQL: dict[str, str] = {
                sha256(coalesce(names, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
         FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN lists USING (doc_id)
     """,
+    # the bisection's result in closed form: the least source is passed REPETITION_LIMIT times as often as the largest
+    "op9_mixing": rf"""
+        WITH d AS (
+            SELECT doc_id, source, coalesce(source, '') AS s, coalesce(CAST(doc_id AS VARCHAR), '') AS k,
+                   CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+')) AS BIGINT) AS t
+            FROM documents
+        ),
+        src AS (SELECT s, CAST(sum(t) AS DOUBLE) AS total, CAST(ceil(sqrt(count(*))) AS BIGINT) AS blocks FROM d GROUP BY s),
+        e AS (
+            SELECT sum(total) AS every, max(total) AS hi,
+                   CASE WHEN max(total) <= {REPETITION_LIMIT} * min(total) THEN 0.0
+                        ELSE 1 - ln({REPETITION_LIMIT}) / ln(max(total) / min(total)) END AS x
+            FROM src WHERE total > 0
+        ),
+        z AS (SELECT sum(pow(total / every, x)) AS z FROM src, e WHERE total > 0),
+        p AS (
+            SELECT s, total, blocks,
+                   CASE WHEN total > 0 THEN pow(total / every, x) / z ELSE 0.0 END AS weight,
+                   CASE WHEN total > 0 THEN pow(total / every, x - 1) / pow(hi / every, x - 1) ELSE 1.0 END AS passes
+            FROM src, e, z
+        ),
+        b AS (
+            SELECT d.*, weight, CAST(floor(passes) AS BIGINT) AS whole,
+                   CAST(ceil((passes - floor(passes)) * total) AS BIGINT) AS part,
+                   CAST('0x' || substr(md5('0:block:' || k), 1, 8) AS BIGINT) % blocks AS block
+            FROM d JOIN p USING (s)
+        ),
+        o AS (
+            SELECT *, md5('0:' || whole || ':' || s || ':' || block) AS bo, md5('0:' || whole || ':' || k) AS ro FROM b
+        ),
+        c AS (
+            SELECT *, sum(t) OVER (PARTITION BY s ORDER BY bo, block, ro, t ROWS UNBOUNDED PRECEDING) - t AS before FROM o
+        ),
+        n AS (SELECT *, whole + CASE WHEN before < part THEN 1 ELSE 0 END AS copies FROM c),
+        r AS (SELECT *, unnest(range(0, copies)) AS copy FROM n)
+        SELECT doc_id, source, CAST(copy AS BIGINT) AS mix_copy, block AS mix_block, t AS mix_tokens,
+               round(weight, 6) AS mix_weight,
+               md5('0:' || copy || ':' || s || ':' || block) || md5('0:' || copy || ':' || k) AS mix_order
+        FROM r
+    """,
     "op10_exact_dedup": f"""
         WITH d AS (
             SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents
