@@ -12,8 +12,11 @@ from tapewright.llm.exact_dedup import exact_dedup
 from tapewright.llm.jaccard_join import component_report
 from tapewright.llm.mixing import mix
 from tapewright.llm.personal_data import personal_data_report
+from tapewright.llm.quality import KEEP, score
+from tapewright.llm.span_dedup import removed_sentences
 from tapewright.llm.token_files import token_report, write_tokens
 from tapewright.llm.toxicity import toxicity_report
+from tapewright.llm.warc import derive_records
 from tapewright.llm.util import scratch, table
 
 
@@ -24,12 +27,28 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(
+        F.col("id").alias("doc_id"), "host", "path", "evidence", "host_mean", "path_mean", "score", (F.col("score") >= KEEP).alias("keep")
+    )
+
+
+def op2_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = removed_sentences(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", "n_sentences", F.size("removed").cast("long").alias("n_removed"), "removed", "text")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
     return token_report(spark, path)
 
 
+def op4_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive_records(table(spark, sf_dir, "pages"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return component_report(table(spark, sf_dir, "documents"), k=4, percent=85)
 
@@ -61,7 +80,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op2_span_dedup": op2_span_dedup,
     "op3_token_files": op3_token_files,
+    "op4_warc_records": op4_warc_records,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,
     "op7_personal_data": op7_personal_data,
