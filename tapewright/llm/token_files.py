@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 END_ID = 0
-CACHED_PIECES = 500_000  # per Python worker; about 100 MB
+CACHED_PIECES = 400_000  # of each of two generations, per Python worker; about 150 MB together
 
 # fixed values: the published pre-tokenisation pattern of byte-level BPE, for texts of these characters
 _PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
@@ -47,12 +47,20 @@ WRITE_OPTIONS = {
 }
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable bytes for themselves."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class Encoder(dict):
     """Texts to ids, as bytes of little-endian 32-bit integers.
 
     The pieces that byte-level pre-tokenisation makes are encoded one by one and independently, so the
-    ids of frequent pieces are kept. Texts with characters outside the plain set, and tokenizers of
-    another kind, are encoded whole.
+    ids of frequent pieces are kept: in this dictionary and, once that is full, in the one before it. A
+    new piece goes to the tokenizer's model as the letters that stand for its bytes. Texts with characters
+    outside the plain set, and tokenizers of another kind, are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -63,6 +71,8 @@ class Encoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         pre = self.tokenizer.pre_tokenizer
+        self.model, self.before = self.tokenizer.model, {}
+        self.letters = _byte_letters()
         self.by_piece = isinstance(pre, ByteLevel) and not pre.add_prefix_space and self.tokenizer.normalizer is None
 
     def whole(self, text: str) -> bytes:
@@ -70,8 +80,13 @@ class Encoder(dict):
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHED_PIECES:
+            self.before = dict(self)
             self.clear()
-        found = self[piece] = self.whole(piece)
+        found = self.before.get(piece)
+        if found is None:
+            tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
+            found = np.array([t.id for t in tokens], "<u4").tobytes()
+        self[piece] = found
         return found
 
     def ids(self, text: str) -> bytes:
