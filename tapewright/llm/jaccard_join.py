@@ -109,7 +109,10 @@ class _Frequencies:
     def settle(self) -> None:
         if not self.held:
             return
-        tokens, counts = np.unique(np.concatenate(self.held), return_counts=True)
+        tokens = np.concatenate(self.held)
+        # only what shares its place in a small table of counts is sorted
+        place = (tokens >> np.uint64(42)).astype(np.int64)
+        tokens, counts = np.unique(tokens[np.bincount(place, minlength=1 << 22)[place] > 1], return_counts=True)
         often = counts > 1
         tokens = np.concatenate([self.tokens, tokens[often]])
         counts = np.concatenate([self.counts, counts[often]])
@@ -164,8 +167,8 @@ def level(df: np.ndarray, n: int, percent: int) -> int:
 
 
 def _prefixes(k: int, percent: int, frequent: Broadcast):
-    """(token, class, n, l, level of the token) of every class that a task meets."""
-    names = ["token", "class", "n", "l", "at"]
+    """(token, class, n, l, place of the token in the order) of every class that a task meets."""
+    names = ["token", "class", "n", "l", "pos"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = frequent.value
@@ -187,12 +190,12 @@ def _prefixes(k: int, percent: int, frequent: Broadcast):
                 if len(known):
                     place = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
                     df = np.where(known[place] == tokens, counts[place], 0)
-                order = np.lexsort((tokens, df))
+                often = np.flatnonzero(df)  # tokens are in the order of their hashes already
+                order = np.concatenate([np.flatnonzero(df == 0), often[np.argsort(df[often], kind="stable")]])
                 l = level(df[order], n, percent)  # noqa: E741
                 first = n - _least(n, percent) + 1
                 part = tokens[order[: first + l - 1]]
-                at = np.maximum(1, np.arange(len(part)) - first + 2)
-                for column, value in zip(held, (part.view(np.int64), name, n, l, at), strict=True):
+                for column, value in zip(held, (part.view(np.int64), name, n, l, np.arange(1, len(part) + 1)), strict=True):
                     column.append(value if isinstance(value, np.ndarray) else np.full(len(part), value, np.int64))
                 size += len(part)
                 if size > 500_000:
@@ -264,26 +267,48 @@ def _may_link(n: Column, m: Column, percent: int) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
+def _least_of(n: Column, percent: int) -> Column:
+    return F.ceil(n * percent / 100 - 1e-9)
+
+
+def _overlap(n: Column, m: Column, percent: int) -> Column:
+    """Shingles that sets of n and m share at least if they link."""
+    return F.ceil((n + m) * percent / (100 + percent) - 1e-9)
+
+
 def _asked(n: Column, m: Column, l: Column, percent: int) -> Column:  # noqa: E741
     """Shared prefix shingles that a pair of sizes n and m must have at level l."""
-    overlap = F.ceil((n + m) * percent / (100 + percent) - 1e-9)
-    return overlap - F.ceil(F.greatest(n, m) * percent / 100 - 1e-9) + l
+    return _overlap(n, m, percent) - _least_of(F.greatest(n, m), percent) + l
+
+
+def _level_of(pos: Column, n: Column, percent: int) -> Column:
+    """The least level whose prefix holds the shingle at this place."""
+    return F.greatest(F.lit(1), pos - (n - _least_of(n, percent)))
+
+
+def _first_common(n: Column, m: Column, percent: int) -> Column:
+    """The last place in a set of n at which the first shingle shared with a set of m can be.
+
+    A pair shares ``asked`` shingles of each prefix, so the first of them has that many less one after it.
+    """
+    return n - _least_of(n, percent) + _least_of(F.greatest(n, m), percent) - _overlap(n, m, percent) + 1
 
 
 def _round(rows: DataFrame, number: int, percent: int) -> DataFrame:
     """(a, b): for each class b the centre a that it shares most prefix shingles with.
 
-    ``rows``: token, class, n, l, at, label. A token's centre is its class of highest priority; priorities
+    ``rows``: token, class, n, l, pos, label. A token's centre is its class of highest priority; priorities
     are the same for all tokens, so that classes of one group meet the same few centres.
     """
     priority = F.xxhash64("class", F.lit(number))
-    centre = F.max(F.struct(priority.alias("p"), "class", "n", "l", "at", "label")).alias("c")
+    centre = F.max(F.struct(priority.alias("p"), "class", "n", "l", "pos", "label")).alias("c")
     groups = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), centre)
     groups = groups.where("low != high").select("token", "c")
     met = rows.join(groups, "token").where(F.col("label") != F.col("c.label"))
     met = met.where(_may_link(F.col("n"), F.col("c.n"), percent))
     lower = F.least(F.col("l"), F.col("c.l"))
-    met = met.where(F.greatest(F.col("at"), F.col("c.at")) <= lower)
+    met = met.where(_level_of(F.col("pos"), F.col("n"), percent) <= lower)
+    met = met.where(_level_of(F.col("c.pos"), F.col("c.n"), percent) <= lower)
     asked = _asked(F.col("n"), F.col("c.n"), lower, percent)
     pairs = met.groupBy(F.col("c.class").alias("a"), F.col("class").alias("b"), asked.alias("asked")).agg(F.count("*").alias("s"))
     pairs = pairs.where(F.col("s") >= F.col("asked"))
@@ -291,21 +316,48 @@ def _round(rows: DataFrame, number: int, percent: int) -> DataFrame:
 
 
 def _rest(rows: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of classes in different components that share enough prefix shingles."""
+    """All pairs (a, b) of classes in different components that share enough prefix shingles.
+
+    Pairs come from the places where their first shared shingle can be; then the shared ones of
+    their prefixes are counted. A class's list is bounded by its own prefix.
+    """
     mixed = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    rows = saved(rows.join(mixed.select("token"), "token"), "mixed")
-    one = rows.select("token", *[F.col(c).alias(f"{c}_1") for c in ("class", "n", "l", "at", "label")])
-    two = rows.select("token", *[F.col(c).alias(f"{c}_2") for c in ("class", "n", "l", "at", "label")])
-    lower = F.least("l_1", "l_2")
+    some = saved(rows.join(mixed.select("token"), "token"), "mixed")
+    one = some.select("token", *[F.col(c).alias(f"{c}_1") for c in ("class", "n", "l", "pos", "label")])
+    two = some.select("token", *[F.col(c).alias(f"{c}_2") for c in ("class", "n", "l", "pos", "label")])
+    n, m = F.col("n_1"), F.col("n_2")
     met = one.join(two, "token").where(
         (F.col("class_1") < F.col("class_2"))
         & (F.col("label_1") != F.col("label_2"))
-        & _may_link(F.col("n_1"), F.col("n_2"), percent)
-        & (F.greatest("at_1", "at_2") <= lower)
+        & _may_link(n, m, percent)
+        & (F.col("pos_1") <= _first_common(n, m, percent))
+        & (F.col("pos_2") <= _first_common(m, n, percent))
     )
-    asked = _asked(F.col("n_1"), F.col("n_2"), lower, percent)
-    pairs = met.groupBy(F.col("class_1").alias("a"), F.col("class_2").alias("b"), asked.alias("asked")).agg(F.count("*").alias("s"))
-    return pairs.where(F.col("s") >= F.col("asked")).select("a", "b")
+    asked = _asked(n, m, F.least("l_1", "l_2"), percent)
+    pairs = met.select(F.col("class_1").alias("a"), F.col("class_2").alias("b"), F.least("l_1", "l_2").alias("lower"), asked.alias("asked")).distinct()
+    at = _level_of(F.col("pos"), F.col("n"), percent)
+    lists = rows.groupBy("class").agg(F.collect_list(F.struct("token", at.alias("at"))).alias("tokens"))
+
+    def within(column: str) -> Column:
+        return F.transform(F.filter(column, lambda x: x["at"] <= F.col("lower")), lambda x: x["token"])
+
+    both = pairs.join(lists.select(F.col("class").alias("a"), F.col("tokens").alias("tokens_a")), "a")
+    both = both.join(lists.select(F.col("class").alias("b"), F.col("tokens").alias("tokens_b")), "b")
+    return both.where(F.size(F.array_intersect(within("tokens_a"), within("tokens_b"))) >= F.col("asked")).select("a", "b")
+
+
+def _merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """Labels after more edges: components of the labels' own graph, which gets smaller from round to round."""
+    if labels is None:
+        return components(edges)
+    a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    lifted = edges.join(a, "a", "left").join(b, "b", "left")
+    lifted = lifted.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).where("a != b").distinct()
+    higher = components(lifted)
+    up = higher.select(F.col("node").alias("label"), F.col("label").alias("top"))
+    moved = labels.join(up, "label", "left").select("node", F.coalesce("top", "label").alias("label"))
+    return saved(moved.unionByName(higher.join(labels.select("node"), "node", "left_anti")), "labels")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -328,7 +380,7 @@ def link_components(
     top = sorted((r["token"] % (1 << 64), r["df"]) for r in top.orderBy(F.desc("df"), "token").limit(FREQUENT).collect())
     frequent = context.broadcast((np.array([t for t, _ in top], np.uint64), np.array([d for _, d in top], np.int64)))
     prefixes = saved(
-        texts.mapInArrow(_prefixes(k, percent, frequent), "token long, class long, n long, l long, at long"), "prefixes"
+        texts.mapInArrow(_prefixes(k, percent, frequent), "token long, class long, n long, l long, pos long"), "prefixes"
     )
     shared = prefixes.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high")
     met = saved(prefixes.join(shared.select("token"), "token").dropDuplicates(["token", "class"]), "shared")
@@ -336,19 +388,13 @@ def link_components(
     packed = texts.mapInArrow(_packed, "class long, data binary")
     packed = saved(packed.join(wanted, "class", "left_semi").dropDuplicates(["class"]), "texts")
 
-    edges: list[DataFrame] = []
     labels = None
     for number in range(ROUNDS + 1):
         now = _labelled(met, labels)
         pairs = _round(now, number, percent) if number < ROUNDS else _rest(now, percent)
         new = saved(_checked(pairs, packed, k, percent), "links")
-        if new.isEmpty():
-            continue
-        edges.append(new)
-        every = edges[0]
-        for more in edges[1:]:
-            every = every.unionByName(more)
-        labels = components(every)
+        if not new.isEmpty():
+            labels = _merged(labels, new)
 
     classes = sets.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("first"))
     named = _labelled(classes, labels)
