@@ -142,8 +142,8 @@ def continuous_future(df: DataFrame, group: str, refdate: str, maturity: str, qu
         F.max(F.when(F.col("rn") == 1, F.col(maturity))).alias("m1"),
     )
     ratio = F.when(F.col("m1") == F.col(refdate), F.col("s2") / F.nullif(F.col("s1"), F.lit(0.0)))
-    days = reverse_cum_product(days.withColumn("ratio", ratio), "ratio", [group], refdate, "product")
-    return days.select(group, refdate, (F.col("s1") * F.col("product")).alias("price"))
+    days = reverse_cum_product(days.withColumn("ratio", ratio), "ratio", [group], refdate, "__product")
+    return days.select(group, refdate, (F.col("s1") * F.col("__product")).alias("price"))
 
 
 def returns_from_oscillation(df: DataFrame, oscillation: str, sign: str | None = None) -> DataFrame:
