@@ -41,6 +41,7 @@ MAX_FEATURES = 20_000
 PREFIX = 5  # bytes
 PRIOR = 0.1  # of the documents seen
 MIN_Z = 3.0
+MIN_WEIGHT = 1.0  # significance alone would admit frequent words that lean a little to one side
 DRIFT = 0.05  # what a word without weight costs
 THRESHOLD = 0.3
 BINS_PER_UNIT, BINS = 2, 64
@@ -181,7 +182,7 @@ def _weighed(counts: DataFrame, n0: int, n1: int, most: int) -> list:
     log_odds = F.log((F.col("c1") + prior) / (n1 + whole)) - F.log((F.col("c0") + prior) / (n0 + whole))
     spread = F.sqrt(1 / (F.col("c1") + prior) + 1 / (F.col("c0") + prior))
     weighed = counts.where("c1 > 0").select("feature", "c0", log_odds.alias("weight"), (log_odds / spread).alias("z"))
-    return weighed.where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "feature").limit(most).collect()
+    return weighed.where((F.col("z") >= MIN_Z) & (F.col("weight") >= MIN_WEIGHT)).orderBy(F.desc("z"), "feature").limit(most).collect()
 
 
 def _rate(rows: list, n0: int) -> float:
