@@ -58,22 +58,23 @@ def mutual_best(pairs: DataFrame, src: str, dst: str, order_by: list[Column], ro
     return chosen
 
 
-# fixed values: characters 7 to 9 of an ISIN that stand for shares and units, 10 and 11 for the class
-CLASS_CODES = {"OR": "ON", "PR": "PN", "PA": "PNA", "PB": "PNB", "PC": "PNC", "PD": "PND"}
-
-
 def isin_instrument_type(isin: Column) -> Column:
+    """Characters 7 to 9: ACN for shares, CDA and UNT for units, BDR for receipts."""
     return F.substring(isin, 7, 3)
 
 
 def isin_share_class(isin: Column, variant: str = "null") -> Column:
-    """Share class from characters 10 and 11. variant: what other codes become: null, code or UNT."""
-    code = F.substring(isin, 10, 2)
-    chain = F
-    for k, v in CLASS_CODES.items():
-        chain = chain.when(code == k, v)
-    otherwise = {"null": F.lit(None).cast("string"), "code": code, "UNT": F.lit("UNT")}[variant]
-    return chain.otherwise(otherwise)
+    """ON, PN, or PN with its letter, from characters 10 and 11 (OR, PR, P and a letter).
+
+    variant: what other codes become: "null", "UNT", or the "code" itself; "plain" is UNT with all P as PN.
+    """
+    code, letter = F.substring(isin, 10, 2), F.substring(isin, 10, 1)
+    others = {"null": F.lit(None).cast("string"), "UNT": F.lit("UNT"), "plain": F.lit("UNT"), "code": code}
+    chain = F.when(code == "OR", "ON")
+    if variant == "plain":
+        return chain.when(letter == "P", "PN").otherwise(others[variant])
+    chain = chain.when(code == "PR", "PN").when(letter == "P", F.concat(F.lit("PN"), F.substring(isin, 11, 1)))
+    return chain.otherwise(others[variant])
 
 
 def symbol_changes(quotes: DataFrame, returns: DataFrame, tol: float = 0.005) -> DataFrame:

@@ -313,7 +313,7 @@ def melt(
 def flatten_columns(df: DataFrame, columns: Sequence[str], separator: str = ",") -> DataFrame:
     """One row per part, trimmed; a null stays one null row; several columns give their product."""
     for c in columns:
-        parts = F.transform(F.split(F.col(c), "\\Q" + separator + "\\E"), F.trim)
+        parts = F.transform(F.split(F.col(c), "\\Q" + separator + "\\E"), lambda x: F.trim(x))
         df = df.withColumn(c, F.explode_outer(parts))
     return df
 
