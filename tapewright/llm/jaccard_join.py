@@ -42,10 +42,10 @@ from tapewright.llm.util import LOWER, saved
 FREQUENT = 100_000  # entries of the frequency table that every task gets (1.6 MB)
 MAX_LEVEL = 8
 SCAN_COST, CHECK_COST = 1.0, 20.0
-ROUNDS = 3
+ROUNDS = 2
 _SLICE = 2_000_000  # shingles held at once
 
-_C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_C2, _C3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
 class _WordHashes(dict):
@@ -64,7 +64,8 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def _mixed(x):
+    """A bijection of 64-bit numbers that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * _C2
     x = (x ^ (x >> np.uint64(27))) * _C3
     return x ^ (x >> np.uint64(31))
@@ -79,8 +80,8 @@ def shingles(words: list[bytes], k: int) -> np.ndarray:
     count = len(h) - width + 1
     z = np.full(count, width, np.uint64)
     for i in range(width):
-        z = _mixed(z * _C1 + h[i : i + count])
-    return np.unique(z)
+        z += h[i : i + count] * np.uint64((0x9E3779B97F4A7C15 * (2 * i + 1)) % (1 << 64))  # another odd factor for each place
+    return np.unique(_mixed(z))
 
 
 def class_of(words: list[bytes]) -> int:
@@ -297,10 +298,12 @@ def _first_common(n: Column, m: Column, percent: int) -> Column:
 def _round(rows: DataFrame, number: int, percent: int) -> DataFrame:
     """(a, b): for each class b the centre a that it shares most prefix shingles with.
 
-    ``rows``: token, class, n, l, pos, label. A token's centre is its class of highest priority; priorities
-    are the same for all tokens, so that classes of one group meet the same few centres.
+    ``rows``: token, class, n, l, pos, label, met. A token's centre is its class of highest priority; priorities
+    are the same for all tokens, so that classes of one group meet the same few centres. At first that is the
+    class which shares the most of its prefix, as the text that others are edits of does; later a random one.
     """
-    priority = F.xxhash64("class", F.lit(number))
+    own = F.lit(0) if number else F.col("met") * 1000 / (F.col("n") - _least_of(F.col("n"), percent) + F.col("l"))
+    priority = F.struct(own.cast("long").alias("own"), F.xxhash64("class", F.lit(number)).alias("random"))
     centre = F.max(F.struct(priority.alias("p"), "class", "n", "l", "pos", "label")).alias("c")
     groups = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), centre)
     groups = groups.where("low != high").select("token", "c")
@@ -384,9 +387,10 @@ def link_components(
     )
     shared = prefixes.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high")
     met = saved(prefixes.join(shared.select("token"), "token").dropDuplicates(["token", "class"]), "shared")
-    wanted = met.select("class").distinct()
+    wanted = saved(met.groupBy("class").agg(F.count("*").alias("met")), "wanted")
+    met = saved(met.join(wanted, "class"), "shared")
     packed = texts.mapInArrow(_packed, "class long, data binary")
-    packed = saved(packed.join(wanted, "class", "left_semi").dropDuplicates(["class"]), "texts")
+    packed = saved(packed.join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"]), "texts")
 
     labels = None
     for number in range(ROUNDS + 1):
