@@ -12,9 +12,9 @@ in its prefix predict many candidates it takes a longer prefix and asks for more
 a pair the smaller l of the two holds, and the sizes of both raise the number asked for further, to
 o - r + l with o the overlap that this pair would need.
 
-Pairs are not expanded inside a group. In a few rounds every prefix shingle names one of its classes a
+Pairs are not expanded inside a group. In ``ROUNDS`` rounds every prefix shingle names one of its classes a
 centre, every class is checked against the best centre that it meets often enough, and what links is
-merged. Only pairs that are still in different components are then enumerated and checked, which is
+merged (one round is enough where groups are edits of one text). Only pairs that are still in different components are then enumerated and checked, which is
 what makes the result exact: a link between two texts is either found or already implied by
 a path of links. Checks are made on the texts themselves.
 
@@ -35,6 +35,7 @@ import zstandard
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tapewright.llm.components import components
 from tapewright.llm.util import LOWER, saved
@@ -42,7 +43,7 @@ from tapewright.llm.util import LOWER, saved
 FREQUENT = 100_000  # entries of the frequency table that every task gets (1.6 MB)
 MAX_LEVEL = 8
 SCAN_COST, CHECK_COST = 1.0, 20.0
-ROUNDS = 2
+ROUNDS = 1
 _SLICE = 2_000_000  # shingles held at once
 
 _C2, _C3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -287,10 +288,26 @@ def _level_of(pos: Column, n: Column, percent: int) -> Column:
     return F.greatest(F.lit(1), pos - (n - _least_of(n, percent)))
 
 
+def _placed(rows: DataFrame, percent: int) -> DataFrame:
+    """Adds met (how many shingles of its prefix a class shares) and place.
+
+    place orders a class's prefix anew: what no other class has comes first, then the shared shingles by how many
+    classes have them. Any order that all classes follow will do, as the same shingles are in the prefix.
+    """
+    often = rows.groupBy("token").agg(F.count("*").alias("df"))
+    own = Window.partitionBy("class")
+    rows = rows.join(often, "token").withColumns(
+        {"met": F.count("*").over(own), "rank": F.row_number().over(own.orderBy("df", "token"))}
+    )
+    length = F.col("n") - _least_of(F.col("n"), percent) + F.col("l")
+    return rows.withColumn("place", length - F.col("met") + F.col("rank")).drop("df", "rank")
+
+
 def _first_common(n: Column, m: Column, percent: int) -> Column:
-    """The last place in a set of n at which the first shingle shared with a set of m can be.
+    """The last place in a prefix of n's at which the first shingle shared with a set of m can be.
 
-    A pair shares ``asked`` shingles of each prefix, so the first of them has that many less one after it.
+    A pair shares ``asked`` shingles of both prefixes, so the first of them has that many less one after it. For a
+    prefix that is longer than the pair's level asks, the place moves by as much.
     """
     return n - _least_of(n, percent) + _least_of(F.greatest(n, m), percent) - _overlap(n, m, percent) + 1
 
@@ -326,18 +343,18 @@ def _rest(rows: DataFrame, percent: int) -> DataFrame:
     """
     mixed = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
     some = saved(rows.join(mixed.select("token"), "token"), "mixed")
-    one = some.select("token", *[F.col(c).alias(f"{c}_1") for c in ("class", "n", "l", "pos", "label")])
-    two = some.select("token", *[F.col(c).alias(f"{c}_2") for c in ("class", "n", "l", "pos", "label")])
-    n, m = F.col("n_1"), F.col("n_2")
+    one = some.select("token", *[F.col(c).alias(f"{c}_1") for c in ("class", "n", "l", "place", "label")])
+    two = some.select("token", *[F.col(c).alias(f"{c}_2") for c in ("class", "n", "l", "place", "label")])
+    n, m, lower = F.col("n_1"), F.col("n_2"), F.least("l_1", "l_2")
     met = one.join(two, "token").where(
         (F.col("class_1") < F.col("class_2"))
         & (F.col("label_1") != F.col("label_2"))
         & _may_link(n, m, percent)
-        & (F.col("pos_1") <= _first_common(n, m, percent))
-        & (F.col("pos_2") <= _first_common(m, n, percent))
+        & (F.col("place_1") <= _first_common(n, m, percent) + F.col("l_1") - lower)
+        & (F.col("place_2") <= _first_common(m, n, percent) + F.col("l_2") - lower)
     )
-    asked = _asked(n, m, F.least("l_1", "l_2"), percent)
-    pairs = met.select(F.col("class_1").alias("a"), F.col("class_2").alias("b"), F.least("l_1", "l_2").alias("lower"), asked.alias("asked")).distinct()
+    asked = _asked(n, m, lower, percent)
+    pairs = met.select(F.col("class_1").alias("a"), F.col("class_2").alias("b"), lower.alias("lower"), asked.alias("asked")).distinct()
     at = _level_of(F.col("pos"), F.col("n"), percent)
     lists = rows.groupBy("class").agg(F.collect_list(F.struct("token", at.alias("at"))).alias("tokens"))
 
@@ -387,10 +404,10 @@ def link_components(
     )
     shared = prefixes.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high")
     met = saved(prefixes.join(shared.select("token"), "token").dropDuplicates(["token", "class"]), "shared")
-    wanted = saved(met.groupBy("class").agg(F.count("*").alias("met")), "wanted")
-    met = saved(met.join(wanted, "class"), "shared")
+    met = saved(_placed(met, percent), "placed")
+    wanted = met.select("class").distinct()
     packed = texts.mapInArrow(_packed, "class long, data binary")
-    packed = saved(packed.join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"]), "texts")
+    packed = saved(packed.join(wanted, "class", "left_semi").dropDuplicates(["class"]), "texts")
 
     labels = None
     for number in range(ROUNDS + 1):
