@@ -5,6 +5,7 @@ Values that do not fit become null, never an error; fields that a frame lacks ar
 
 from __future__ import annotations
 
+import ast
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -102,3 +103,20 @@ def seconds_of_day(time: Column) -> Column:
     """From HH:mm:ss text."""
     part = F.split(time, ":")
     return part[0].try_cast("int") * 3600 + part[1].try_cast("int") * 60 + part[2].try_cast("int")
+
+
+def field_of(name: str, kind: str, **more) -> Field:
+    """From a type text: a name, or a name with settings, such as numeric(dec=2, sign='-')."""
+    match = re.fullmatch(r"\s*(\w+)\s*(?:\((.*)\))?\s*", kind)
+    if not match:
+        raise ValueError(f"not a type: {kind}")
+    settings = {}
+    for part in re.findall(r"(\w+)\s*=\s*('[^']*'|\"[^\"]*\"|[-+.\w]+)", match[2] or ""):
+        settings[part[0]] = ast.literal_eval(part[1])
+    return Field(name, match[1], **settings, **more)
+
+
+def fields_of(rows: Sequence[dict]) -> list[Field]:
+    """A record layout kept as a table: name, type and, where they matter, width, tag and description."""
+    known = ("width", "tag", "description")
+    return [field_of(r["name"], r.get("type") or "string", **{k: r[k] for k in known if r.get(k) is not None}) for r in rows]

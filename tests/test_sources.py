@@ -112,3 +112,15 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert run() == [("A", "d1"), ("B", "d1"), ("C", "d2")] and sum(calls) == 3
     (source / "3.txt").write_text("d1;Z\n")
     assert run() == [("C", "d2"), ("Z", "d1")]
+
+
+def test_layouts_from_a_table(spark):
+    from tapewright.functions.fields import field_of, fields_of
+    from tapewright.sources.layouts import INDEX_MONTHS, TRADES
+
+    rows = [{"name": "code", "type": "character", "width": 4}, {"name": "price", "type": "numeric(dec=2, sign='-')", "width": 6}, {"name": "day", "type": "date(format='%d%m%Y')", "width": 8}]
+    df = spark.createDataFrame([("AB  00012531122023",)], "value string")
+    assert [tuple(r) for r in readers.parse_fwf(df, "value", fields_of(rows)).collect()] == [("AB", -1.25, D(2023, 12, 31))]
+    assert len(TRADES) == 11 and len(INDEX_MONTHS) == 15
+    with pytest.raises(ValueError):
+        field_of("x", "numeric(")
