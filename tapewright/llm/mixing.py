@@ -15,7 +15,8 @@ Without a budget the smallest one is taken that has every row at least once: not
 
 Defined results: null sources and empty names are one source; null texts have no tokens; a row without
 tokens comes wherever it stands in a pass; a source without any token is passed once; rows that repeat
-an id are rows of their own (their order is that of their tokens); an empty table gives an empty one.
+an id are rows of their own (their order is that of their tokens); an empty table gives an empty one; input
+columns that are named like an added one give way to it.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from tapewright.llm.util import saved
 
 STEPS = 15  # exponents tried in one aggregation: four bisections
 TOLERANCE = 1e-12
+ADDED = ("mix_copy", "mix_block", "mix_tokens", "mix_weight", "mix_order")
 WORD = r"[^ \t\n\x0B\f\r]+"
 
 
@@ -158,4 +160,5 @@ def mix(
     rows = rows.withColumn("mix_copies", copies).where("mix_copies > 0")
     rows = rows.withColumn("mix_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mix_copies") - 1)))
     order = F.concat(block_order(F.col("mix_copy")), row_order(F.col("mix_copy")))
-    return rows.select("row.*", "mix_copy", "mix_block", "mix_tokens", "mix_weight", order.alias("mix_order"))
+    own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ADDED]
+    return rows.select(*own, "mix_copy", "mix_block", "mix_tokens", "mix_weight", order.alias("mix_order"))

@@ -11,7 +11,7 @@ def docs(spark):
     rows += [Row(doc_id=1000 + k, source="mid", text="a b c", mix_copy="x") for k in range(200)]
     rows += [Row(doc_id=2000 + k, source=None, text="a\tb\nc d", mix_copy=None) for k in range(50)]
     rows += [Row(doc_id=None, source="", text=None, mix_copy=None), Row(doc_id=7, source="empty", text="  ", mix_copy=None), Row(doc_id=7, source="empty", text=None, mix_copy=None)]
-    return spark.createDataFrame(rows, "doc_id long, source string, text string, mix_copy string").drop("mix_copy")
+    return spark.createDataFrame(rows, "doc_id long, source string, text string, mix_copy string")
 
 
 def test_bisection_meets_its_targets(spark):
