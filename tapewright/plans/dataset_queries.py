@@ -9,7 +9,7 @@ from tapewright.operators import curves as R
 from tapewright.operators import timeseries as X
 from tapewright.plans import datasets as DS
 from tapewright.plans.finance_queries import _CONTRACTS_SQL, _ENDS_SQL, _KNOTS_SQL, _USER_SQL, cal_all, contracts, knots
-from tapewright.plans.queries import _CAL24, _CAL_ALL, _RETURNS_SQL, _bars_sql, bars, cal24, query, returned, six
+from tapewright.plans.queries import _CAL24, _CAL_ALL, _RETURNS_SQL, bars, cal24, query, returned, six
 
 
 @query("""WITH m AS (SELECT CAST(ts AS DATE) AS refdate, CASE event_type WHEN 'click' THEN 'IGPM' WHEN 'view' THEN 'CDI' WHEN 'purchase' THEN 'IPCA' END AS symbol, value, event_id FROM events WHERE event_type IN ('click', 'view', 'purchase'))

@@ -17,7 +17,6 @@ from tapewright.operators import timeseries as X
 from tapewright.operators import transforms as T
 from tapewright.plans import api
 from tapewright.sources import readers, sinks
-from tapewright.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
