@@ -1,32 +1,17 @@
-"""What several operators share: scratch tables in the shared folder, byte tables, row keys."""
+"""What several operators share: scratch tables in the shared folder and byte tables."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from tapewright.functions.scratch import scratch, table
+
+__all__ = ["LOWER", "saved", "scratch", "table"]
 
 # bytes -> bytes: lower-cases A-Z and leaves every other byte as it is
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the folder that spark.checkpoint.dir names.
-
-    Where that setting is absent, a local session gets a temporary folder; on a cluster its
-    absence is an error, as executors would not see one another's files.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def saved(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """The same rows, written to the shared folder and read back: a cut in the lineage."""
     spark = df.sparkSession
@@ -37,11 +22,3 @@ def saved(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     writer.parquet(path)
     schema = df.select(*[c for c in df.columns if c not in partition_by], *partition_by).schema
     return spark.read.schema(schema).parquet(path)
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def text_or_empty(column: str = "text"):
-    return F.coalesce(F.col(column), F.lit(""))
