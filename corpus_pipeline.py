@@ -28,8 +28,9 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark passages go from the texts; a document of nothing else goes as a whole."""
-    return decontaminate(docs, table(spark, sf_dir, "benchmark")).withColumn("n_chars", F.length("text").cast("long"))
+    """Every benchmark passage that op8 finds goes from the texts; a document of nothing else goes as a whole."""
+    clean = decontaminate(docs, table(spark, sf_dir, "benchmark"), max_hit_words=1, max_coverage=0.0)
+    return clean.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

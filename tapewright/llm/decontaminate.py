@@ -293,23 +293,32 @@ def decontaminate(
 
     A document whose longest hit span has ``max_hit_words`` words or more, or whose share of hit words is
     ``max_coverage`` or more, loses its hit spans; if nothing but the items' words were in it, it
-    goes as a whole. Others stay as they are.
+    goes as a whole. Others stay as they are. What stood on both sides of a removed span can make a hit
+    together, so what was cut is read again until no document is over the limits.
     """
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_column).alias("text"))
-    found = contaminated_spans(packed, items, "row", "text", **options)
+    others = [c for c in docs.columns if c != text_column] or docs.columns
+    pending = docs.select(F.struct(*others).alias("row"), F.col(text_column).alias("text"))
+    kind = pending.schema["row"].dataType.simpleString()
     longest = F.aggregate("spans", F.lit(0), lambda n, s: F.greatest(n, s["e"] - s["s"]))
     hit = F.aggregate("spans", F.lit(0), lambda n, s: n + s["e"] - s["s"])
     over = (F.size("spans") > 0) & ((longest >= max_hit_words) | (hit >= F.col("n_words") * max_coverage))
-    cut = found.select("doc_id", "text", F.when(over, F.col("spans")).alias("spans"))
-    kind = found.schema["doc_id"].dataType.simpleString()
-    cleaned = cut.mapInArrow(_removed, f"row {kind}, text string, kept boolean").where("kept")
-    return cleaned.select(*[F.col("text" if c == text_column else f"row.`{c}`").alias(c) for c in docs.columns])
+    done = None
+    while True:
+        found = contaminated_spans(pending, items, "row", "text", **options)
+        cut = found.select("doc_id", "text", F.when(over, F.col("spans")).alias("spans"))
+        cut = saved(cut.mapInArrow(_removed, f"row {kind}, text string, kept boolean, cut boolean").where("kept"), "cut")
+        clean = cut.where("not cut").select("row", "text")
+        done = clean if done is None else done.unionByName(clean)
+        pending = cut.where("cut").select("row", "text")
+        if pending.isEmpty():
+            break
+    return done.select(*[F.col("text" if c == text_column else f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without the words of their spans; whole words go, with the blanks after them."""
     for batch in batches:
-        texts, kept = [], []
+        texts, kept, cut = [], [], []
         for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             if spans:
                 places = [m.span() for m in _PLACES.finditer(text)]
@@ -320,7 +329,9 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 parts.append(text[at:])
                 text = "".join(parts)
             kept.append(not spans or bool(_PLACES.search(text)))
+            cut.append(bool(spans))
             texts.append(text)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(texts, pa.string()), pa.array(kept, pa.bool_())], names=["row", "text", "kept"]
+            [batch.column(0), pa.array(texts, pa.string()), pa.array(kept, pa.bool_()), pa.array(cut, pa.bool_())],
+            names=["row", "text", "kept", "cut"],
         )

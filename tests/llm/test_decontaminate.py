@@ -69,3 +69,14 @@ def test_removal_and_empty_tables(spark):
     assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: "Clean words here, And after.", 3: "nothing at all", 4: None}
     assert decontamination_report(docs, bench.limit(0)).where("contaminated").count() == 0
     assert decontamination_report(docs.limit(0), bench).count() == 0
+
+
+def test_what_stands_around_a_removed_span_is_read_again(spark):
+    item = [f"q{k}" for k in range(18)]
+    text = " ".join(["own", *item[:9], *item, *item[9:], "words"])
+    docs = spark.createDataFrame([Row(doc_id=1, text=text), Row(doc_id=2, text="own words")])
+    bench = spark.createDataFrame([Row(item_id=5, text=" ".join(item))])
+    for options in ({}, {"max_hit_words": 1, "max_coverage": 0.0, "shard_words": 12}):
+        got = decontaminate(docs, bench, **options)
+        assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: "own words", 2: "own words"}
+        assert decontamination_report(got, bench).where("contaminated").count() == 0

@@ -2,10 +2,11 @@ import zlib
 
 import numpy as np
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from tapewright.llm import jaccard_join as J
-from tapewright.llm.decontaminate import Automaton, words_of
+from tapewright.llm.decontaminate import Automaton, decontamination_report, words_of
 from tapewright.llm.queries import tokenizer_path
 from tapewright.llm.token_files import Encoder
 from tapewright.llm.toxicity import THRESHOLD, fit
@@ -61,3 +62,17 @@ def test_stage_functions_return_the_columns_of_documents(spark):
     docs = table(spark, SF, "documents")
     for _, stage in P.STAGES[:-1]:
         assert stage(spark, docs, SF).columns == docs.columns
+
+
+def test_no_benchmark_text_is_left_after_decontamination(spark):
+    docs, bench = table(spark, SF, "documents"), table(spark, SF, "benchmark")
+    item = bench.where("text is not null").first()["text"]
+    own = " ".join(f"own{k}" for k in range(1200))
+    long = docs.limit(1).withColumns({"doc_id": F.lit(-1).cast("long"), "text": F.lit(f"{own} {item} {own}")})
+    docs = docs.unionByName(long)
+    before = {r["doc_id"]: r["contaminated"] for r in decontamination_report(docs, bench).collect()}
+    cleaned = P.decontamination(spark, docs, SF)
+    assert before[-1] and decontamination_report(cleaned, bench).where("contaminated").count() == 0
+    given = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = {r["doc_id"]: r["text"] for r in cleaned.collect()}
+    assert got[-1] == f"{own} {own}" and all(got[k] == t for k, t in given.items() if not before[k])
