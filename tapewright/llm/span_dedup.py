@@ -1,16 +1,19 @@
 """Substring deduplication by sliding spans of sentences.
 
-Every run of ``span`` consecutive sentences of every text is hashed (letters' case and blanks do not count).
+Runs of one to ``span`` consecutive sentences of every text are hashed (letters' case and blanks do not count),
+each if it has ``min_words`` words and shorter runs that are hashed do not cover it: where they do, they meet
+wherever it does.
 A run that occurs in several documents stays where it comes first, in the document of the least id; in all
 others, and where a document repeats itself, the sentences that it covers are removed. Since the runs
-slide by one sentence, a shared passage of m >= span sentences goes as a whole.
+slide by one sentence, a shared passage of m >= span sentences goes as a whole, and a shorter one of
+``min_words`` words too. What is missed are words of sentences that only in part belong to a passage.
 
 The runs of one hash are counted with map-side partial aggregation (least and greatest id), so that a
 line which a third of all documents share is one row per task in the shuffle. Runs are then joined with the repeated
 hashes alone; the join's hot key is an inner join that adaptive execution splits. Texts move once, to
 meet their sentence numbers.
 
-Defined results: a text of fewer sentences than a run is one run; runs of fewer than ``min_words`` words do
+Defined results: a text of fewer sentences than ``span`` has the runs that it can hold; runs of fewer than ``min_words`` words do
 not count; null and empty texts have no sentences and stay; rows that repeat an id are one document
 where it comes to being first, so they are not removed against each other; rows with a null id come after all
 others; further columns are kept.
@@ -51,58 +54,70 @@ def runs(pieces: list[str], span: int, min_words: int) -> Iterator[tuple[int, in
             yield at, xxhash.xxh3_64_intdigest(b"\n".join(plain[at : at + span])) - (1 << 63)
 
 
+def all_runs(pieces: list[str], span: int, min_words: int) -> Iterator[tuple[int, int, int]]:
+    """(first sentence, end, hash) of the runs of one to ``span`` sentences that count and that no shorter ones cover."""
+    words = [p.lower().split() for p in pieces]
+    plain = [" ".join(w).encode("utf-8", "surrogatepass") for w in words]
+    counts = list(map(len, words))
+    for at in range(len(pieces)):
+        total = 0
+        for end in range(at + 1, min(at + span, len(pieces)) + 1):
+            total += counts[end - 1]
+            if total < min_words:
+                continue
+            # the runs one sentence shorter cover this one if both count
+            if end - at == 1 or total - counts[end - 1] < min_words or total - counts[at] < min_words:
+                yield at, end, xxhash.xxh3_64_intdigest(b"\n".join(plain[at:end])) - (1 << 63)
+
+
 def _version(text: str | None) -> int:
     return xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
 def _spans(span: int, min_words: int):
-    """(run, id, version of the text, first sentence, whether the document has had it before)."""
-    names = ["run", "id", "version", "at", "again"]
+    """(run, id, version of the text, first sentence, end, whether the document has had it before)."""
+    names = ["run", "id", "version", "at", "end", "again"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [])
+            out: tuple[list, ...] = ([], [], [], [], [], [])
             for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 seen: set[int] = set()
                 version = _version(text)
-                for at, name in runs(sentences(text), span, min_words):
-                    for column, value in zip(out, (name, doc, version, at, name in seen), strict=True):
+                for at, end, name in all_runs(sentences(text), span, min_words):
+                    for column, value in zip(out, (name, doc, version, at, end, name in seen), strict=True):
                         column.append(value)
                     seen.add(name)
                 if len(out[0]) > 200_000:
                     yield _batch(out, names)
-                    out = ([], [], [], [], [])
+                    out = ([], [], [], [], [], [])
             yield _batch(out, names)
 
     return run
 
 
 def _batch(columns: tuple[list, ...], names: list[str]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_())
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
-def _cut(span: int):
-    """Texts without the sentences that the runs starting at ``starts`` cover."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, totals, gone = [], [], []
-            for text, starts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                pieces = sentences(text)
-                removed = sorted({i for at in starts or () for i in range(at, min(at + span, len(pieces)))})
-                if removed:
-                    out = set(removed)
-                    text = "".join(p for i, p in enumerate(pieces) if i not in out)
-                texts.append(text)
-                totals.append(len(pieces))
-                gone.append(removed)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(texts, pa.string()), pa.array(totals, pa.int64()), pa.array(gone, pa.list_(pa.int32()))],
-                names=["row", "text", "n_sentences", "removed"],
-            )
-
-    return run
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts without the sentences that the runs in ``starts`` cover."""
+    for batch in batches:
+        texts, totals, gone = [], [], []
+        for text, starts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            pieces = sentences(text)
+            removed = sorted({i for x in starts or () for i in range(x["at"], x["end"])})
+            if removed:
+                out = set(removed)
+                text = "".join(p for i, p in enumerate(pieces) if i not in out)
+            texts.append(text)
+            totals.append(len(pieces))
+            gone.append(removed)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(texts, pa.string()), pa.array(totals, pa.int64()), pa.array(gone, pa.list_(pa.int32()))],
+            names=["row", "text", "n_sentences", "removed"],
+        )
 
 
 def _versioned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,19 +132,19 @@ def removed_sentences(
     """row (all columns of the input), text (cleaned), n_sentences, removed (sentence numbers)."""
     number = F.coalesce(F.col(id_column).cast("long"), F.lit(LAST_ID))
     rows = docs.select(number.alias("id"), F.col(text_column).alias("text"))
-    found = rows.mapInArrow(_spans(span, min_words), "run long, id long, version long, at int, again boolean")
+    found = rows.mapInArrow(_spans(span, min_words), "run long, id long, version long, at int, end int, again boolean")
     found = saved(found, "spans")
     shared = found.where("not again").groupBy("run").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     shared = saved(shared.where("first != last").select("run", "first"), "repeated")
-    later = found.where("not again").hint("merge").join(shared, "run").where("id != first").select("id", "version", "at")
-    again = found.where("again").select("id", "version", "at")
-    starts = later.unionByName(again).groupBy("id", "version").agg(F.collect_set("at").alias("starts"))
+    later = found.where("not again").hint("merge").join(shared, "run").where("id != first").select("id", "version", "at", "end")
+    again = found.where("again").select("id", "version", "at", "end")
+    starts = later.unionByName(again).groupBy("id", "version").agg(F.collect_set(F.struct("at", "end")).alias("starts"))
     packed = docs.select(F.struct(*docs.columns).alias("row"), number.alias("id"), F.col(text_column).alias("text"))
     kind = packed.schema["row"].dataType.simpleString()
     packed = packed.mapInArrow(_versioned, f"row {kind}, id long, text string, version long")
     # always a merge join: what is moved then follows the input, however few documents have repeats
     met = packed.hint("merge").join(starts, ["id", "version"], "left").select("row", "text", "starts")
-    return met.mapInArrow(_cut(span), f"row {kind}, text string, n_sentences long, removed array<int>")
+    return met.mapInArrow(_cut, f"row {kind}, text string, n_sentences long, removed array<int>")
 
 
 def remove_repeats(docs: DataFrame, text_column: str = "text", **options) -> DataFrame:

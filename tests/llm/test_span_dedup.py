@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import Row
 
 from tapewright.llm.span_dedup import remove_repeats, removed_sentences, runs, sentences
@@ -39,3 +41,39 @@ def test_odd_rows(spark):
     found = [(r["row"]["doc_id"], len(r["removed"])) for r in removed_sentences(docs).collect()]
     assert sorted(found, key=str) == [(1, 0), (1, 0), (None, 3)]
     assert removed_sentences(docs.limit(0)).count() == 0
+
+
+def words(tag: str, n: int) -> str:
+    return " ".join(f"{tag}{k}" for k in range(n))
+
+
+def test_passages_of_few_whole_sentences_go(spark):
+    one = words("single", 55).capitalize() + ". "
+    two = words("left", 30).capitalize() + ". " + words("right", 28).capitalize() + ". "
+    # the first and last sentence of the passage run into the host text; two short ones are whole
+    merged = words("start", 20) + ". Inner " + words("inner", 8) + ". More " + words("more", 8) + ". Ending " + words("ending", 20)
+    texts = {}
+    for k in range(2):
+        own = words(f"host{k}x", 9).capitalize() + ". "
+        texts[2 * k] = own + one + own.upper().replace("HOST", "B") + two + words(f"after{k}y", 9) + "."
+        texts[2 * k + 1] = words(f"other{k}z", 5) + " " + merged + " " + words(f"tail{k}w", 5) + "."
+    docs = spark.createDataFrame([Row(doc_id=k, text=t) for k, t in texts.items()])
+    got = {r["doc_id"]: r["text"] for r in remove_repeats(docs).collect()}
+    assert got[0] == texts[0] and got[1] == texts[1]
+    assert "single" not in got[2].lower() and "left" not in got[2].lower() and "right" not in got[2].lower()
+    assert "inner" not in got[3].lower() and "more" not in got[3].lower() and "start19. " in got[3] and "tail1w4" in got[3]
+    assert "host1x" in got[2].lower() and "after1y8" in got[2]
+
+
+def test_hashed_runs_cover_what_all_runs_cover(spark):
+    rng = random.Random(5)
+    pool = [" ".join(rng.choices("abcdefgh", k=rng.randrange(1, 16))) + ". " for _ in range(12)]
+    texts = {k: "".join(rng.choices(pool, k=rng.randrange(12))) for k in range(120)}
+    docs = spark.createDataFrame([Row(doc_id=k, text=t) for k, t in texts.items()])
+    got = {r["row"]["doc_id"]: set(r["removed"]) for r in removed_sentences(docs).collect()}
+    wanted: dict = {k: set() for k in texts}
+    for span in (1, 2, 3):
+        many = {k: t for k, t in texts.items() if len(sentences(t)) >= span}
+        for k, gone in brute(many, span, 12).items():
+            wanted[k] |= set(gone)
+    assert got == wanted and any(wanted.values())
