@@ -346,11 +346,18 @@ def equities_returns_symbols_changes(i: Inputs) -> DataFrame:
     return S.relabel_returns(i["equities_returns"].join(old, "symbol", "left_semi"), i["equities_symbol_changes"])
 
 
-def adjusted_prices(i: Inputs, prices: str, returns: str, calendar: DataFrame | None = None) -> DataFrame:
-    """Prices with their returns, adjusted backwards; with a calendar also on its business days."""
-    r = T.distinct_on(i[returns], ["refdate", "symbol"], ["log_return"]).select("refdate", "symbol", F.col("log_return").alias("returns"))
-    met = i[prices].join(r, ["refdate", "symbol"], "left")
-    return X.adjust_prices(met, calendar=calendar, fill_calendar_gaps=calendar is not None).drop("returns")
+def adjusted_prices(i: Inputs, prices: str, returns: str, filled: bool = False, calendar: DataFrame | None = None) -> DataFrame:
+    """Days with a return or a price, adjusted backwards; if ``filled`` also on the calendar's business days.
+
+    A return without a price counts for all older days; a price without a return counts as one of 0.
+    """
+    if filled and calendar is None:
+        raise ValueError("filled prices need a calendar")
+    r = T.distinct_on(i[returns], ["refdate", "symbol"], ["log_return"])
+    r = r.select("refdate", "symbol", F.col("log_return").alias("returns"), F.lit(True).alias("__given"))
+    met = i[prices].join(r, ["refdate", "symbol"], "full")
+    met = met.withColumn("returns", F.when(F.col("__given"), F.col("returns")).otherwise(F.lit(0.0))).drop("__given")
+    return X.adjust_prices(met, calendar=calendar, fill_calendar_gaps=filled).drop("returns")
 
 
 def listed_funds_consolidated(i: Inputs) -> DataFrame:
@@ -541,7 +548,7 @@ DATASETS: dict[str, Callable[..., DataFrame]] = {
     "curves_dap_standard_returns": partial(curve_standard_returns, name="curves_dap_standard"),
     "cotahist": cotahist,
     "equities_adjusted_prices": partial(adjusted_prices, prices="equities_unadjusted_prices", returns="equities_returns"),
-    "equities_adjusted_prices_filled": partial(adjusted_prices, prices="equities_unadjusted_prices", returns="equities_returns"),
+    "equities_adjusted_prices_filled": partial(adjusted_prices, prices="equities_unadjusted_prices", returns="equities_returns", filled=True),
     "equities_etfs_returns": equities_etfs_returns,
     "equities_instrument_assets": equities_instrument_assets,
     "equities_register": equities_register,
@@ -565,7 +572,7 @@ DATASETS: dict[str, Callable[..., DataFrame]] = {
     "futures_win_adjusted_returns": partial(price_returns, name="futures_win_adjusted", price="price"),
     "indexes_prices": indexes_prices,
     "indexes_adjusted_prices": partial(adjusted_prices, prices="indexes_prices", returns="indexes_returns"),
-    "indexes_adjusted_prices_filled": partial(adjusted_prices, prices="indexes_prices", returns="indexes_returns"),
+    "indexes_adjusted_prices_filled": partial(adjusted_prices, prices="indexes_prices", returns="indexes_returns", filled=True),
     "indexes_composition_consolidated": indexes_composition_consolidated,
     "indexes_current_portfolio_consolidated": partial(copied, name="indexes_current_portfolio"),
     "indexes_theoretical_portfolio_consolidated": partial(copied, name="indexes_theoretical_portfolio"),

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,6 +45,22 @@ def test_returns_of_equities(market):
     assert build("equities_adjusted_prices_filled", prices, calendar=build_calendar(market["cotahist"].sparkSession, "2010-01-01", "2021-12-31")).count() > 2500
 
 
+@pytest.mark.parametrize(("name", "prices", "returns"), [("equities_adjusted_prices", "equities_unadjusted_prices", "equities_returns"), ("indexes_adjusted_prices", "indexes_prices", "indexes_returns")])
+def test_a_return_without_a_price_counts(spark, name, prices, returns):
+    rows = [(D(2024, 1, k), "A", c) for k, c in ((2, 10.0), (3, 11.0), (5, 13.0), (9, 14.0))]
+    p = spark.createDataFrame(rows, "refdate date, symbol string, close double").withColumns({c: F.col("close") for c in ("open", "high", "low")})
+    r = spark.createDataFrame([(D(2024, 1, 2), "A", 0.5), (D(2024, 1, 4), "A", 0.1), (D(2024, 1, 5), "A", 0.2), (D(2024, 1, 9), "A", 0.3)], "refdate date, symbol string, log_return double")
+    i, cal = {prices: p, returns: r}, build_calendar(spark, "2023-12-01", "2024-01-31")
+    wanted = {2: 14 * math.exp(-0.6), 3: 14 * math.exp(-0.6), 4: 14 * math.exp(-0.5), 5: 14 * math.exp(-0.3), 9: 14.0}
+    for options in ({}, {"calendar": cal}):
+        got = {x["refdate"].day: x for x in build(name, i, **options).collect()}
+        assert {k: x["close"] for k, x in got.items()} == pytest.approx(wanted) and got[4]["open"] is None
+    filled = {x["refdate"].day: x["close"] for x in build(f"{name}_filled", i, calendar=cal).collect()}
+    assert filled == pytest.approx({**wanted, 8: 14 * math.exp(-0.3)})
+    with pytest.raises(ValueError, match="calendar"):
+        build(f"{name}_filled", i)
+
+
 def test_universe(spark):
     rows = [(D(2016, 2, 1), "PETR4", "PETROBRAS", "PETR", 10), (D(2026, 7, 24), "PETR4", "PETROBRAS", "PETR", 10), (D(2016, 2, 1), "T1", "Ativo Teste ON", "T", 10), (D(2016, 2, 1), "X1", "X", "XX", 10), (D(2016, 2, 1), "F1", "F", "F", 20)]
     df = spark.createDataFrame(rows, "refdate date, symbol string, corporation_name string, instrument_asset string, instrument_market long").withColumns({"instrument_segment": F.lit(1), "security_category": F.lit(11)})
