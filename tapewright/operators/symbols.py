@@ -126,22 +126,28 @@ def symbol_changes(quotes: DataFrame, returns: DataFrame, tol: float = 0.005) ->
 def resolve_chains(edges: DataFrame, src: str, dst: str, max_depth: int = 20) -> DataFrame:
     """(src, terminal, depth) of every source, following edges to their end, by pointer doubling.
 
-    Each step joins the table with itself and doubles the length followed; a cycle ends at the depth limit.
+    Longer chains, and cycles, end exactly at step ``max_depth``: jumps of the powers of two that make it up follow each other.
     """
-    now = edges.select(F.col(src).alias("node"), F.col(dst).alias("end"), F.lit(1).alias("depth"))
-    now = now.groupBy("node").agg(F.min("end").alias("end"), F.min("depth").alias("depth"))
-    reach = 1
-    while reach < max_depth:
-        step = now.select(F.col("node").alias("end"), F.col("end").alias("beyond"), F.col("depth").alias("more"))
-        now = now.join(step, "end", "left").select(
-            "node",
-            F.when(F.col("depth") + F.coalesce("more", F.lit(0)) <= max_depth, F.coalesce("beyond", "end")).otherwise(F.col("end")).alias("end"),
-            F.least(F.col("depth") + F.coalesce("more", F.lit(0)), F.lit(max_depth)).alias("depth"),
-        )
-        reach *= 2
+    jump = edges.select(F.col(src).alias("node"), F.col(dst).alias("end"), F.lit(1).alias("depth"))
+    jump = jump.groupBy("node").agg(F.min("end").alias("end"), F.min("depth").alias("depth"))
+    now, left = None, max_depth
+    while left:
+        if left & 1:
+            now = jump if now is None else _then(now, jump)
+        left >>= 1
+        if left:
+            jump = _then(jump, jump)
     return now.select(F.col("node").alias(src), F.col("end").alias("terminal"), "depth")
 
 
+def _then(now: DataFrame, jump: DataFrame) -> DataFrame:
+    """Where ``jump`` leads from the ends of ``now``; a node without a jump stays."""
+    step = jump.select(F.col("node").alias("end"), F.col("end").alias("beyond"), F.col("depth").alias("more"))
+    return now.join(step, "end", "left").select(
+        "node", F.coalesce("beyond", "end").alias("end"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")
+    )
+
+
 def relabel_returns(returns: DataFrame, changes: DataFrame) -> DataFrame:
     """The history under each symbol's last name; where several rows meet on a day, the later name's stays."""
     ends = resolve_chains(changes, "old_symbol", "new_symbol").select(F.col("old_symbol").alias("symbol"), "terminal", "depth")
