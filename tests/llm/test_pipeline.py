@@ -1,16 +1,20 @@
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from tapewright.llm import jaccard_join as J
 from tapewright.llm.decontaminate import Automaton, decontamination_report, words_of
-from tapewright.llm.queries import tokenizer_path
+from tapewright.llm.queries import SQL, tokenizer_path
 from tapewright.llm.token_files import Encoder
 from tapewright.llm.toxicity import THRESHOLD, fit
-from tapewright.llm.util import table
+from tapewright.llm.util import saved, table
 
 SF = "/root/testdata/sf0.01"
 
@@ -76,3 +80,39 @@ def test_no_benchmark_text_is_left_after_decontamination(spark):
     given = {r["doc_id"]: r["text"] for r in docs.collect()}
     got = {r["doc_id"]: r["text"] for r in cleaned.collect()}
     assert got[-1] == f"{own} {own}" and all(got[k] == t for k, t in given.items() if not before[k])
+
+
+def plain_cut(text, grams):
+    """The text without the words of any gram, read again until there is none; None if no word is left."""
+    while words := words_of(text):
+        hit = {i for n in {len(g) for g in grams} for a in range(len(words) - n + 1) if tuple(words[a : a + n]) in grams for i in range(a, a + n)}
+        if not hit:
+            return text
+        starts = [m.start() for m in re.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text)] + [len(text)]
+        text = text[: starts[0]] + "".join(text[starts[i] : starts[i + 1]] for i in range(len(words)) if i not in hit)
+    return None
+
+
+def test_cut_texts_copies_and_tokens_equal_plain_loops(spark):
+    """All rows of the last three stages: cuts by plain loops, copies by the SQL of op9, ids by a tokenizer as loaded."""
+    duckdb, tokenizers = pytest.importorskip("duckdb"), pytest.importorskip("tokenizers")
+    docs = table(spark, SF, "documents")
+    for name, stage in P.STAGES[:2]:
+        docs = saved(stage(spark, docs, SF), name)
+    rows = docs.select("doc_id", "source", "text").toArrow().to_pylist()
+    for name, stage in P.STAGES[2:4]:
+        docs = saved(stage(spark, docs, SF), name)
+    got = Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in P.token_files(spark, docs, SF).collect())
+    items = [words_of(r["text"]) for r in pq.read_table(f"{SF}/benchmark.parquet").to_pylist()]
+    grams = {tuple(w[a : a + 10]) for w in items if w for a in range(max(1, len(w) - 9))}
+    cut = [{**r, "text": plain_cut(r["text"], grams) if words_of(r["text"]) else r["text"]} for r in rows]
+    left = [c for c, r in zip(cut, rows, strict=True) if c["text"] is not None or not words_of(r["text"])]
+    assert any(c["text"] != r["text"] for c, r in zip(cut, rows, strict=True))
+    with duckdb.connect() as db:
+        db.register("documents", pa.Table.from_pylist(left))
+        copies = dict(db.execute(f"SELECT doc_id, count(*) FROM ({SQL['op9_mixing']}) GROUP BY 1").fetchall())
+    tokenizer, wanted = tokenizers.Tokenizer.from_file(tokenizer_path()), Counter()
+    for r in left:
+        data = np.array([*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 0], "<u4").tobytes()
+        wanted[r["doc_id"], len(data) // 4, zlib.crc32(data)] += copies[r["doc_id"]]
+    assert got == wanted and max(wanted.values()) > 1
