@@ -1,13 +1,13 @@
 """Token ids of whole documents as Parquet list columns.
 
 A tokenised corpus is a Parquet folder with one row per document, in ascending id order over all
-files: ``doc_id``, ``part`` (the file's number), ``pos`` (the row's number in its file), ``n_tokens``
-and ``ids`` (list of 32-bit integers). Ids are dictionary-encoded (16 bits a token before
+files: ``doc_id``, ``part`` (the file's number), ``pos`` (the row's number in its file), ``offset`` (ids before
+the document in its file), ``n_tokens`` and ``ids`` (list of 32-bit integers). Ids are dictionary-encoded (16 bits a token before
 compression), the sorted metadata columns delta-encoded; row groups and pages are bounded, and the page
 index lets a reader skip to the documents it wants and leave out the ids where it only needs metadata.
 
 Documents are dealt to files by ranges of their id and encoded where they are written. The number of
-tokens before a document is the sum over earlier files plus a running sum inside its file; no task sees
+tokens before a document is the sum over earlier files plus its offset in its own; no task sees
 more than one file's rows, and only the files' totals (one row a file) are summed in one place.
 
 Defined results: a null or empty text has the end id alone; rows that repeat an id stay, side by side,
@@ -30,10 +30,11 @@ from pyspark.sql.window import Window
 END_ID = 0
 CACHED_PIECES = 400_000  # of each of two generations, per Python worker; about 150 MB together
 
-# fixed values: the published pre-tokenisation pattern of byte-level BPE, for texts of these characters
+# fixed values: the published pre-tokenisation pattern of byte-level BPE, for texts of these characters;
+# words come first, as nothing else begins with a letter or a blank and a letter
 _PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
 _PIECES = re.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\s+(?!\S)|\s+"
+    r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\s+(?!\S)|\s+"
 )
 
 WRITE_OPTIONS = {
@@ -47,11 +48,12 @@ WRITE_OPTIONS = {
 }
 
 
-def _byte_letters() -> dict[int, str]:
+def _byte_letters() -> str:
     """The letter that stands for each byte in a byte-level vocabulary: printable bytes for themselves."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in printable]
-    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+    letters = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+    return "".join(letters[b] for b in range(256))
 
 
 class Encoder(dict):
@@ -60,7 +62,8 @@ class Encoder(dict):
     The pieces that byte-level pre-tokenisation makes are encoded one by one and independently, so the
     ids of frequent pieces are kept: in this dictionary and, once that is full, in the one before it. A
     new piece goes to the tokenizer's model as the letters that stand for its bytes. Texts with characters
-    outside the plain set, and tokenizers of another kind, are encoded whole.
+    outside the plain set, texts that hold an added token (such as an end mark) and tokenizers of another
+    kind are encoded whole, as the tokenizer is loaded.
     """
 
     def __init__(self, path: str) -> None:
@@ -69,10 +72,12 @@ class Encoder(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         pre = self.tokenizer.pre_tokenizer
         self.model, self.before = self.tokenizer.model, {}
         self.letters = _byte_letters()
+        self.blank = self.letters[32]
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added)) if added else None
         self.by_piece = isinstance(pre, ByteLevel) and not pre.add_prefix_space and self.tokenizer.normalizer is None
 
     def whole(self, text: str) -> bytes:
@@ -84,13 +89,16 @@ class Encoder(dict):
             self.clear()
         found = self.before.get(piece)
         if found is None:
-            tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
-            found = np.array([t.id for t in tokens], "<u4").tobytes()
+            if piece.isascii() and piece[1:].isalpha():  # a blank or a letter, then letters
+                letters = piece.replace(" ", self.blank)
+            else:
+                letters = piece.encode().decode("latin-1").translate(self.letters)
+            found = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
         self[piece] = found
         return found
 
     def ids(self, text: str) -> bytes:
-        if self.by_piece and _PLAIN.fullmatch(text):
+        if self.by_piece and _PLAIN.fullmatch(text) and not (self.added and self.added.search(text)):
             return b"".join(map(self.__getitem__, _PIECES.findall(text)))
         return self.whole(text)
 
@@ -103,7 +111,7 @@ def _encoded(path: str, end_id: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.get(path) or _encoders.setdefault(path, Encoder(path))
-        pos = 0
+        pos = offset = 0
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
             for at in range(0, len(batch), 256):
@@ -114,9 +122,11 @@ def _encoded(path: str, end_id: int):
                 part = batch.slice(at, 256)
                 columns = {c: part.column(k) for k, c in enumerate(part.schema.names) if c != "text"}
                 columns["pos"] = pa.array(np.arange(pos, pos + len(data)))
+                columns["offset"] = pa.array(offset + offsets[:-1].astype(np.int64))
                 columns["n_tokens"] = pa.array(sizes)
                 columns["ids"] = pa.ListArray.from_arrays(pa.array(offsets), values)
                 pos += len(data)
+                offset += int(offsets[-1])
                 yield pa.RecordBatch.from_pydict(columns)
 
     return run
@@ -130,7 +140,7 @@ def encode(
     metadata: Sequence[str] = (),
     end_id: int = END_ID,
 ) -> DataFrame:
-    """Rows in ascending id order: doc_id, metadata, part, pos, n_tokens, ids (list of int)."""
+    """Rows in ascending id order: doc_id, metadata, part, pos, offset, n_tokens, ids (list of int)."""
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.col(text_column).alias("text"),
@@ -139,7 +149,7 @@ def encode(
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     ordered = ordered.withColumn("part", F.spark_partition_id())
     kept = [f.name + " " + f.dataType.simpleString() for f in ordered.schema if f.name != "text"]
-    encoded = ordered.mapInArrow(_encoded(tokenizer, end_id), ", ".join([*kept, "pos long, n_tokens long, ids array<int>"]))
+    encoded = ordered.mapInArrow(_encoded(tokenizer, end_id), ", ".join([*kept, "pos long, offset long, n_tokens long, ids array<int>"]))
     return encoded
 
 
@@ -163,20 +173,17 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = [zlib.crc32(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:3], pa.array(np.diff(offsets).astype(np.int64)), pa.array(sums, pa.int64())],
-            names=["doc_id", "part", "pos", "n_tokens", "ids_crc32"],
+            names=["doc_id", "part", "offset", "n_tokens", "ids_crc32"],
         )
 
 
 def token_report(spark: SparkSession, path: str) -> DataFrame:
     """From the files alone, one row per document: doc_id, start, n_tokens, ids_crc32."""
-    rows = read_tokens(spark, path, columns=("doc_id", "part", "pos", "ids"))
-    found = rows.mapInArrow(_checked, "doc_id long, part int, pos long, n_tokens long, ids_crc32 long")
+    rows = read_tokens(spark, path, columns=("doc_id", "part", "offset", "ids"))
+    found = rows.mapInArrow(_checked, "doc_id long, part int, offset long, n_tokens long, ids_crc32 long")
     totals = read_tokens(spark, path, columns=("part", "n_tokens")).groupBy("part").agg(F.sum("n_tokens").alias("total"))
-    # one row a file
+    # one row a file, so the number of files bounds the window and the broadcast
     before = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("before"))
-    inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("pos")) - F.col("n_tokens")
-    return (
-        found.withColumn("inside", inside)
-        .join(before, "part")
-        .select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
+    return found.join(F.broadcast(before), "part").select(
+        "doc_id", (F.col("before") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32"
     )
