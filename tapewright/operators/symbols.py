@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tapewright.functions.scratch import written
+
 
 def sessions(quotes: DataFrame, refdate: str = "refdate") -> DataFrame:
     """(refdate, session): the distinct dates numbered; as many rows as there are days."""
@@ -77,66 +79,91 @@ def isin_share_class(isin: Column, variant: str = "null") -> Column:
     return chain.otherwise(others[variant])
 
 
-def symbol_changes(quotes: DataFrame, returns: DataFrame, tol: float = 0.005) -> DataFrame:
-    """Renames: one symbol stops, another of the same class starts at the next session.
+RENAMED_TYPES = ("ACN", "UNT", "CDA")  # shares and units
 
-    quotes: refdate, symbol, close, isin; returns: refdate, symbol, pct_return. A pair counts if the new symbol's first
-    return fits the change from the old close to the new one (ret_match), or if there is no such
-    return and the suffixes agree; each symbol is in one pair at most.
-    """
-    numbered = quotes.join(F.broadcast(sessions(quotes)), "refdate")
-    last = numbered.agg(F.max("session").alias("__high"))
-    at = F.struct("session", "close")
-    spans = numbered.groupBy("symbol").agg(
-        F.min("session").alias("first"),
-        F.max("session").alias("last"),
+
+def _lives(quotes: DataFrame, margin: int) -> DataFrame:
+    """One row a symbol: its first and last session and close, its last ISIN and name, and whether it stops or starts inside."""
+    kind, code = isin_instrument_type(F.col("isin")), F.substring("isin", 10, 2)
+    quotes = quotes if "corporation_name" in quotes.columns else quotes.withColumn("corporation_name", F.lit(None).cast("string"))
+    held = quotes.where(kind.isin(*RENAMED_TYPES) & F.col("close").isNotNull())
+    numbered = held.join(F.broadcast(sessions(held)), "refdate")
+    lives = numbered.groupBy("symbol").agg(
+        F.min("session").alias("from"),
+        F.max("session").alias("to"),
         F.min("refdate").alias("first_date"),
         F.max("refdate").alias("last_date"),
-        F.min_by("close", at).alias("first_close"),
-        F.max_by("close", at).alias("last_close"),
-        F.substring(F.min("isin"), 7, 5).alias("class"),
+        F.min_by("close", F.struct("refdate", "close")).alias("first_close"),
+        F.max_by("close", F.struct("refdate", "close")).alias("last_close"),
+        F.max_by("isin", F.struct("refdate", "isin")).alias("isin"),
+        F.max_by("corporation_name", F.struct("refdate", "corporation_name")).alias("corporation_name"),
     )
-    suffix = F.regexp_extract("symbol", r"([0-9]+)$", 1)
-    spans = spans.withColumn("suffix", suffix)
-    old = spans.crossJoin(F.broadcast(last)).where(F.col("last") < F.col("__high"))
-    old = old.select(
-        F.col("symbol").alias("old_symbol"), F.col("last_date"), "last_close", "class", F.col("suffix").alias("old_suffix"), (F.col("last") + 1).alias("next")
+    ends = numbered.agg(F.min("session").alias("low"), F.max("session").alias("high"))
+    share_class = F.when(code == "OR", "ON").when(F.substring("isin", 10, 1) == "P", "PN").otherwise(kind)
+    return lives.crossJoin(F.broadcast(ends)).select(
+        "*",
+        kind.alias("isin_class"),
+        share_class.alias("share_class"),
+        F.substring("symbol", 5, 100).alias("suffix"),
+        (F.col("to") < F.col("high") - margin).alias("stops"),
+        (F.col("from") > F.col("low") + margin).alias("starts"),
+    )
+
+
+def symbol_changes(quotes: DataFrame, returns: DataFrame, tol: float = 0.005, margin: int = 5) -> DataFrame:
+    """Renames: one symbol stops for good, another of the same ISIN type starts at the next session.
+
+    quotes: refdate, symbol, close, isin, and corporation_name if there is one; returns: refdate, symbol, pct_return.
+    Stops and starts within ``margin`` sessions of the ends of the data do not count. A pair is taken if the new symbol's
+    first return is the change from the old close to the new one (ret_match; null where there is no return), or if the
+    suffixes agree and the share class stays, or PN becomes ON. Each symbol is in one pair at most: pairs that are each
+    other's best, by ret_match, share class and least change, then again among those left over; symbols decide ties.
+    """
+    lives = _lives(quotes, margin)
+    kept = ("symbol", "share_class", "isin", "corporation_name", "suffix")
+    old = lives.where("stops and last_close > 0").select(
+        *[F.col(c).alias(f"old_{c}") for c in kept], "last_date", "last_close", "isin_class", (F.col("to") + 1).alias("session")
     )
-    new = spans.where("first > 1").select(
-        F.col("symbol").alias("new_symbol"), "first_date", "first_close", F.col("class").alias("new_class"), F.col("suffix").alias("new_suffix"), F.col("first").alias("next")
+    new = lives.where("starts").select(
+        *[F.col(c).alias(f"new_{c}") for c in kept], F.col("first_date").alias("change_date"), "first_close", "isin_class", F.col("from").alias("session")
     )
-    met = old.join(new, "next").where(F.col("old_symbol") != F.col("new_symbol"))
-    first = returns.select(F.col("refdate").alias("first_date"), F.col("symbol").alias("new_symbol"), "pct_return")
-    met = met.join(first, ["first_date", "new_symbol"], "left")
-    change = F.col("first_close") / F.nullif(F.col("last_close"), F.lit(0.0)) - 1
-    same_class = F.col("class") == F.col("new_class")
-    met = met.withColumn("close_change_pct", change).withColumn("ret_match", F.abs(F.col("pct_return") - F.col("close_change_pct")) <= tol)
-    fits = same_class & (F.col("ret_match") | (F.col("pct_return").isNull() & (F.col("old_suffix") == F.col("new_suffix"))))
+    met = old.join(new, ["session", "isin_class"])
+    first = returns.select(F.col("refdate").alias("change_date"), F.col("symbol").alias("new_symbol"), "pct_return")
+    met = met.join(first, ["change_date", "new_symbol"], "left")
+    met = met.withColumn("close_change_pct", (F.col("first_close") - F.col("last_close")) / F.col("last_close"))
+    met = met.withColumn("ret_match", F.abs(F.col("pct_return") - F.col("close_change_pct")) <= tol)
+    same = F.col("old_share_class") == F.col("new_share_class")
+    stays = same | ((F.col("old_share_class") == "PN") & (F.col("new_share_class") == "ON"))
+    fits = F.coalesce("ret_match", F.lit(False)) | (stays & (F.col("old_suffix") == F.col("new_suffix")))
     order = [
         F.coalesce("ret_match", F.lit(False)).desc(),
-        (F.col("old_suffix") == F.col("new_suffix")).desc(),
+        same.desc(),
         F.abs("close_change_pct").asc_nulls_last(),
         F.col("old_symbol"),
         F.col("new_symbol"),
     ]
-    chosen = mutual_best(met.where(fits), "old_symbol", "new_symbol", order)
-    return chosen.select("old_symbol", "new_symbol", "last_date", "first_date", "last_close", "first_close", "close_change_pct", "pct_return", "ret_match")
+    chosen = mutual_best(written(met.where(fits), "renames"), "old_symbol", "new_symbol", order)
+    return chosen.select(
+        "old_symbol", "new_symbol", "change_date", "last_date", "last_close", "first_close", "close_change_pct", "pct_return", "ret_match",
+        "isin_class", "old_share_class", "new_share_class", "old_isin", "new_isin", "old_corporation_name", "new_corporation_name",
+    )
 
 
 def resolve_chains(edges: DataFrame, src: str, dst: str, max_depth: int = 20) -> DataFrame:
     """(src, terminal, depth) of every source, following edges to their end, by pointer doubling.
 
     Longer chains, and cycles, end exactly at step ``max_depth``: jumps of the powers of two that make it up follow each other.
+    Each doubling is written, so that the plan stays small and every row is joined once a doubling.
     """
     jump = edges.select(F.col(src).alias("node"), F.col(dst).alias("end"), F.lit(1).alias("depth"))
-    jump = jump.groupBy("node").agg(F.min("end").alias("end"), F.min("depth").alias("depth"))
+    jump = written(jump.groupBy("node").agg(F.min("end").alias("end"), F.min("depth").alias("depth")), "jumps")
     now, left = None, max_depth
     while left:
         if left & 1:
-            now = jump if now is None else _then(now, jump)
+            now = jump if now is None else written(_then(now, jump), "chains")
         left >>= 1
         if left:
-            jump = _then(jump, jump)
+            jump = written(_then(jump, jump), "jumps")
     return now.select(F.col("node").alias(src), F.col("end").alias("terminal"), "depth")
 
 
@@ -149,10 +176,7 @@ def _then(now: DataFrame, jump: DataFrame) -> DataFrame:
 
 
 def relabel_returns(returns: DataFrame, changes: DataFrame) -> DataFrame:
-    """The history under each symbol's last name; where several rows meet on a day, the later name's stays."""
-    ends = resolve_chains(changes, "old_symbol", "new_symbol").select(F.col("old_symbol").alias("symbol"), "terminal", "depth")
+    """All rows, those of renamed symbols under the last name; where two of them meet on a day, both stay."""
+    ends = resolve_chains(changes, "old_symbol", "new_symbol").select(F.col("old_symbol").alias("symbol"), "terminal")
     met = returns.join(ends, "symbol", "left")
-    met = met.withColumn("__to", F.coalesce("terminal", "symbol")).withColumn("__d", F.coalesce("depth", F.lit(0)))
-    one = Window.partitionBy("refdate", "__to").orderBy("__d", "symbol")
-    met = met.withColumn("__rn", F.row_number().over(one)).where("__rn = 1")
-    return met.withColumn("symbol", F.col("__to")).select(*returns.columns)
+    return met.withColumn("symbol", F.coalesce("terminal", "symbol")).select(*returns.columns)

@@ -31,11 +31,20 @@ def ds_economic_indicators(spark, d):
     return DS.DATASETS["economic_indicators"]({"economic_indicators_fwf": e}).withColumn("value", F.round("value", 9))
 
 
-@query("""WITH b AS (SELECT *, CASE WHEN event_type = 'click' THEN 1 / nullif(value, 0) ELSE value END AS p FROM events WHERE value IS NOT NULL)
-    SELECT CAST(ts AS DATE) AS refdate, event_type AS symbol, round(arg_min(p, ts), 6) AS open, round(max(p), 6) AS high, round(min(p), 6) AS low, round(arg_max(p, ts), 6) AS close FROM b WHERE p IS NOT NULL GROUP BY 1, 2""")
+@query("""WITH b AS (SELECT ts, CASE event_type WHEN 'click' THEN 'USD' ELSE upper(event_type) END AS currency, CASE WHEN event_type = 'view' THEN NULL ELSE value END AS ask, value + 1 AS parity_ask FROM events),
+    k AS (SELECT currency, count(ask) = 0 AS type_b FROM b GROUP BY 1),
+    v AS (SELECT ts, currency, CASE WHEN currency = 'USD' THEN ask ELSE parity_ask END AS p, currency = 'USD' OR type_b AS inv FROM b JOIN k USING (currency)),
+    c AS (SELECT CAST(ts AS DATE) AS refdate, currency, inv, arg_min(p, ts) AS o, max(p) AS h, min(p) AS l, arg_max(p, ts) AS c FROM v WHERE p IS NOT NULL AND NOT (inv AND p = 0) GROUP BY 1, 2, 3)
+    SELECT refdate, CASE WHEN currency = 'USD' THEN 'BRLUSD' ELSE currency || 'USD' END AS symbol, round(CASE WHEN inv THEN 1 / o ELSE o END, 6) AS open, round(CASE WHEN inv THEN 1 / l ELSE h END, 6) AS high,
+           round(CASE WHEN inv THEN 1 / h ELSE l END, 6) AS low, round(CASE WHEN inv THEN 1 / c ELSE c END, 6) AS close FROM c""")
 def ds_currency_consolidated(spark, d):
-    b = table(spark, d, "events").select(F.col("ts").alias("refdate"), F.col("event_type").alias("currency"), F.lit("all").alias("bulletin_type"), F.col("value").alias("ask"), F.col("event_id").alias("downloaded_at"))
-    found = DS.currency_candles({"fx_bulletins": b}, ("click",))
+    currency = F.when(F.col("event_type") == "click", "USD").otherwise(F.upper("event_type"))
+    ask = F.when(F.col("event_type") != "view", F.col("value"))
+    b = table(spark, d, "events").select(
+        F.col("ts").alias("refdate"), currency.alias("currency"), F.lit("all").alias("bulletin_type"), ask.alias("ask"),
+        (F.col("value") + 1).alias("parity_ask"), F.col("event_id").alias("downloaded_at"),
+    )
+    found = DS.DATASETS["currency_consolidated"]({"fx_bulletins": b})
     return found.select("refdate", "symbol", *[six(c) for c in DS.OHLC])
 
 

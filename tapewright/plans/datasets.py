@@ -85,7 +85,6 @@ SUBSCRIPTION_EVENTS = {
     "PRIORIDADE SUBS": "SUBSCRIPTION_PRIORITY",
     "SUBS C/ RENUNC": "SUBSCRIPTION_WITH_WAIVER",
 }
-INVERTED_CURRENCIES: tuple[str, ...] = ()
 
 OHLC = ("open", "high", "low", "close")
 
@@ -333,17 +332,37 @@ def equities_etfs_returns(i: Inputs) -> DataFrame:
 
 def equities_symbol_changes(i: Inputs) -> DataFrame:
     spot = i["cotahist"].where("instrument_market = 10")
-    return S.symbol_changes(spot, i["equities_returns"])
+    found = S.symbol_changes(spot, i["equities_returns"])
+    return found.select(
+        F.col("old_symbol").alias("src_symbol"),
+        F.col("new_symbol").alias("dest_symbol"),
+        "change_date",
+        F.col("last_close").alias("src_last_close"),
+        F.col("first_close").alias("dest_first_close"),
+        "close_change_pct",
+        "ret_match",
+        "isin_class",
+        F.col("old_share_class").alias("src_share_class"),
+        F.col("new_share_class").alias("dest_share_class"),
+        F.col("old_isin").alias("src_isin"),
+        F.col("new_isin").alias("dest_isin"),
+        F.col("old_corporation_name").alias("corporation_name_src"),
+        F.col("new_corporation_name").alias("corporation_name_dest"),
+    )
+
+
+def _renames(i: Inputs) -> DataFrame:
+    return i["equities_symbol_changes"].select(F.col("src_symbol").alias("old_symbol"), F.col("dest_symbol").alias("new_symbol"))
 
 
 def equities_symbol_spans_analysis(i: Inputs) -> DataFrame:
-    return S.symbol_spans(i["equities_unadjusted_prices"], changes=i["equities_symbol_changes"])
+    return S.symbol_spans(i["equities_unadjusted_prices"], changes=_renames(i))
 
 
 def equities_returns_symbols_changes(i: Inputs) -> DataFrame:
     """The history of renamed symbols under their last names; only what was renamed."""
-    old = i["equities_symbol_changes"].select(F.col("old_symbol").alias("symbol"))
-    return S.relabel_returns(i["equities_returns"].join(old, "symbol", "left_semi"), i["equities_symbol_changes"])
+    old = _renames(i).select(F.col("old_symbol").alias("symbol"))
+    return S.relabel_returns(i["equities_returns"].join(old, "symbol", "left_semi"), _renames(i))
 
 
 def adjusted_prices(i: Inputs, prices: str, returns: str, filled: bool = False, calendar: DataFrame | None = None) -> DataFrame:
@@ -497,11 +516,20 @@ def macro_series(i: Inputs) -> DataFrame:
     return T.case_map(s, "code", MACRO_CODES, "symbol").select("refdate", "symbol", "value")
 
 
-def currency_candles(i: Inputs, inverted: Sequence[str] = INVERTED_CURRENCIES) -> DataFrame:
-    """Daily candles of the bulletins' ask quotes; for some currencies of their inverse."""
+def currency_candles(i: Inputs) -> DataFrame:
+    """Daily candles of the bulletins' quotes against the dollar, the dollar's own as BRLUSD.
+
+    The dollar's quote is its ask, any other currency's its parity. The dollar, and currencies that never have an ask,
+    are inverted. Of bulletins that were fetched again the last download counts.
+    """
     b = i["fx_bulletins"].withColumnRenamed("refdate", "ts")
-    b = T.latest_per_key(b, ["currency", "ts", "bulletin_type"], ["-downloaded_at", "ask"])
-    return X.ohlc_candles(b, "currency", "ts", "ask", "bulletin_type", F.col("currency").isin(*inverted) if inverted else None).withColumnRenamed("currency", "symbol")
+    asked = b.groupBy(F.col("currency").alias("of")).agg((F.count("ask") == 0).alias("indirect"))  # a row a currency
+    b = T.latest_per_key(b, ["currency", "ts", "bulletin_type"], ["-downloaded_at", "ask", "parity_ask"])
+    dollar = F.col("currency") == "USD"
+    b = b.join(F.broadcast(asked), F.col("currency") == F.col("of")).withColumn("quote", F.when(dollar, F.col("ask")).otherwise(F.col("parity_ask")))
+    found = X.ohlc_candles(b, "currency", "ts", "quote", "bulletin_type", dollar | F.col("indirect"))
+    symbol = F.when(dollar, "BRLUSD").otherwise(F.concat("currency", F.lit("USD")))
+    return found.select("refdate", symbol.alias("symbol"), *OHLC)
 
 
 def long_union(i: Inputs, parts: Mapping[str, str], value: str) -> DataFrame:

@@ -22,19 +22,32 @@ def load_dataset(spark: SparkSession, path: str, schema: T.StructType | str | No
     return df.select(*columns) if columns else df
 
 
+FILES_BROADCAST = 100_000  # a row a file is broadcast up to so many files
+
+
 def _numbered(spark: SparkSession, path: str, encoding: str) -> DataFrame:
-    """Lines with their file and their place in it (``value``, ``file``, ``at``)."""
+    """Lines with their file, the place of their block in it and an order inside the block (``value``, ``file``, ``block``, ``at``)."""
     reader = spark.read if encoding.lower().replace("_", "-") in ("utf-8", "utf8") else spark.read.option("encoding", encoding)
-    return reader.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    meta = (F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    return reader.text(path).select("value", *meta, F.monotonically_increasing_id().alias("at"))
+
+
+def _with_start(lines: DataFrame) -> DataFrame:
+    """Adds ``first``, the order of the file's first line: the least one of the block that starts the file."""
+    starts = lines.where("block = 0").groupBy("file").agg(F.min("at").alias("first"))
+    few = len(lines.inputFiles()) <= FILES_BROADCAST
+    return lines.join(F.broadcast(starts) if few else starts, "file")
 
 
-def _after_first(lines: DataFrame, skip: int) -> DataFrame:
-    """Without the first lines of each file; the place of a file's first line is one row a file."""
-    if not skip:
+def _after_first(lines: DataFrame, skip: int, skip_if_startswith: str | None = None) -> DataFrame:
+    """Without the first lines of each file, and without the next one if it starts so."""
+    if not skip and not skip_if_startswith:
         return lines
-    starts = lines.groupBy("file").agg(F.array_sort(F.slice(F.array_sort(F.collect_list(F.when(F.col("at") % (1 << 33) < skip, F.col("at")))), 1, skip)).alias("first"))
-    met = lines.join(F.broadcast(starts), "file")
-    return met.where(~F.array_contains("first", F.col("at"))).drop("first")
+    place = F.col("at") - F.col("first")
+    gone = place.between(0, skip - 1)
+    if skip_if_startswith:
+        gone = gone | ((place == skip) & F.col("value").startswith(skip_if_startswith))
+    return _with_start(lines).where(~gone).drop("first")
 
 
 def read_csv(
@@ -46,9 +59,9 @@ def read_csv(
     names: Sequence[str] | None = None,
     encoding: str = "utf-8",
 ) -> DataFrame:
-    """Text columns of a delimited file; without ``names`` the first line has them.
+    """Text columns of delimited files; without ``names`` the first line has them.
 
-    ``skip_if_startswith`` drops a file's first line if it starts so.
+    ``skip`` lines of each file go; ``skip_if_startswith`` drops the next one if it starts so.
     """
     options = {"sep": separator, "encoding": encoding, "mode": "PERMISSIVE"}
     if not skip and not skip_if_startswith:
@@ -57,11 +70,7 @@ def read_csv(
         return spark.read.options(**options, header="false").schema(", ".join(f"`{n}` string" for n in names)).csv(path)
     if not names:
         raise ValueError("names are needed where lines are skipped")
-    lines = _after_first(_numbered(spark, path, encoding), skip)
-    if skip_if_startswith:
-        first = lines.groupBy("file").agg(F.min("at").alias("first"))
-        lines = lines.join(F.broadcast(first), "file")
-        lines = lines.where(~((F.col("at") == F.col("first")) & F.col("value").startswith(skip_if_startswith)))
+    lines = _after_first(_numbered(spark, path, encoding), skip, skip_if_startswith)
     schema = ", ".join(f"`{n}` string" for n in names)
     return lines.select(F.from_csv("value", schema, {"sep": separator}).alias("row")).select("row.*")
 

@@ -21,13 +21,9 @@ def write_partitioned(df: DataFrame, path: str, partitioning: Sequence[str], sch
     out = shaped(df, schema)
     if not partitioning:
         return write_single(out, path)
-    (
-        out.repartition(*partitioning, F.floor(F.rand(7) * 4))  # few files a partition, but not one task for a large one
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitioning)
-        .parquet(path)
-    )
+    # adaptive execution splits a large partition among tasks and joins small ones, by the sizes that it sees
+    rows = out.hint("rebalance", *partitioning)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitioning).parquet(path)
 
 
 def write_single(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:

@@ -37,19 +37,25 @@ def ingest_new_files(
     partitioning: Sequence[str],
     checkpoint: str,
     max_files: int | None = None,
+    replace: bool = True,
 ) -> None:
     """Parses the files that were not seen before and replaces their partitions; ends when none is left.
 
-    ``parse`` gets text lines (value, file). A repeated run changes nothing. Two files of one partition must come in
-    one batch to be both kept: a later batch replaces the partition.
+    ``parse`` gets text lines (value, file). A repeated run changes nothing. A later batch replaces the partitions that
+    it has, as a file that was fetched again does. Where files of one partition come bit by bit, ``replace=False`` keeps
+    all of them: each batch then writes its own ``batch=N`` folder inside the partition, which a repeated batch replaces.
     """
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     lines = reader.load(source_dir).select("value", F.col("_metadata.file_path").alias("file"))
 
-    def write(batch: DataFrame, _: int) -> None:
-        write_partitioned(parse(batch), target, partitioning)
+    def write(batch: DataFrame, number: int) -> None:
+        rows = parse(batch)
+        if replace:
+            write_partitioned(rows, target, partitioning)
+        else:
+            write_partitioned(rows.withColumn("batch", F.lit(number)), target, [*partitioning, "batch"])
 
     query = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

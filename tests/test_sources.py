@@ -124,3 +124,43 @@ def test_layouts_from_a_table(spark):
     assert len(TRADES) == 11 and len(INDEX_MONTHS) == 15
     with pytest.raises(ValueError):
         field_of("x", "numeric(")
+
+
+def test_lines_are_skipped_in_every_file(spark, tmp_path):
+    for k in range(6):
+        (tmp_path / f"{k}.txt").write_text("HEAD\n" + "".join(f"{k}{j}\n" for j in range(2)))
+    (tmp_path / "short.txt").write_text("HEAD\n")
+    (tmp_path / "empty.txt").write_text("")
+    fields = [Field("a", width=1), Field("b", width=1)]
+    wanted = sorted((str(k), str(j)) for k in range(6) for j in range(2))
+    assert sorted(tuple(r) for r in readers.read_fwf(spark, str(tmp_path), fields, skip=1).collect()) == wanted
+    got = readers.read_csv(spark, str(tmp_path), names=["v"], skip=1)
+    assert sorted(r["v"] for r in got.collect()) == sorted(a + b for a, b in wanted)
+    got = readers.read_csv(spark, str(tmp_path), names=["v"], skip=1, skip_if_startswith="1")
+    assert sorted(r["v"] for r in got.collect()) == sorted(a + b for a, b in wanted if (a, b) != ("1", "0"))
+    got = readers.read_csv(spark, str(tmp_path), names=["v"], skip_if_startswith="HEAD")
+    assert sorted(r["v"] for r in got.collect()) == sorted(a + b for a, b in wanted)
+    assert readers.read_csv(spark, str(tmp_path), names=["v"], skip=3).count() == 0
+    # a file of several blocks
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        (tmp_path / "big").mkdir()
+        (tmp_path / "big" / "one.txt").write_text("HEAD\n" + "".join(f"{j % 10}x\n" for j in range(200)))
+        assert readers.read_csv(spark, str(tmp_path / "big"), names=["v"], skip=1).where("v like '%x'").count() == 200
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_batches_of_one_partition_can_be_kept(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+
+    def parse(lines):
+        part = F.split("value", ";")
+        return lines.select(part[0].alias("refdate"), part[1].alias("symbol"))
+
+    for k, text in enumerate(("d1;A\n", "d1;B\nd2;C\n", "d1;D\n")):
+        (source / f"{k}.txt").write_text(text)
+        ingest.ingest_new_files(spark, str(source), parse, str(tmp_path / "out"), ["refdate"], str(tmp_path / "check"), replace=False)
+    got = spark.read.parquet(str(tmp_path / "out")).select("refdate", "symbol").collect()
+    assert sorted(tuple(r) for r in got) == [("d1", "A"), ("d1", "B"), ("d1", "D"), ("d2", "C")]
