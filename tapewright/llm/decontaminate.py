@@ -6,13 +6,13 @@ item, so a match of at least ``window`` words marks its words as hit, and an ite
 window is hit when it occurs whole. A word that no item has resets the automaton, so only runs of
 known words are walked.
 
-Only the items are broadcast, in shards of at most ``SHARD_WORDS`` words; there are as many passes over
-the documents as there are shards, and the spans of all passes are merged per document. Documents are
-never shuffled when one shard is enough.
+Only the items are broadcast, in shards of at most ``SHARD_WORDS`` words. One shard takes one pass over the
+documents without a shuffle. With more of them every pass reads the texts and writes its hits alone, and the spans of
+all passes are merged per document.
 
 Defined results: a null or empty text has no words; a null or empty item has no windows; repeated
-items are separate items with separate ids; items with a null id are ignored, as they cannot be
-named; without items nothing is hit; further columns of the input are ignored.
+items are separate items with separate ids; items with a null id hit like others, count as one item together and
+are not named in the digest; without items nothing is hit; further columns of the input are ignored or kept.
 """
 
 from __future__ import annotations
@@ -24,8 +24,9 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructType
 
-from tapewright.llm.util import saved
+from tapewright.llm.util import fields_of, named, packed, saved
 
 WINDOW = 10
 SHARD_WORDS = 200_000  # an automaton of that many words takes about 250 MB in a Python worker
@@ -173,10 +174,10 @@ def _automaton(items: Broadcast, window: int) -> Automaton:
     return _built[1]
 
 
-def _joined(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Sorted spans, those that meet made one."""
     out: list[tuple[int, int]] = []
-    for start, end in sorted(a + b):
+    for start, end in sorted(spans):
         if out and out[-1][1] >= start:
             out[-1] = out[-1][0], max(end, out[-1][1])
         else:
@@ -184,44 +185,47 @@ def _joined(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[in
     return out
 
 
+_SPAN_LIST = ArrayType(StructType().add("s", IntegerType()).add("e", IntegerType()))
+_FOUND = StructType().add("n_words", LongType()).add("spans", _SPAN_LIST).add("items", ArrayType(StringType()))
+
+
 def _streamed(items: Broadcast, window: int):
-    """One pass: adds what this shard's items hit to the spans and items of the passes before."""
+    """What one shard's items hit: n_words, spans and items of a text."""
+    span = pa.struct([("s", pa.int32()), ("e", pa.int32())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(_FOUND)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             automaton = _automaton(items, window)
             counts, spans, names = [], [], []
-            rows = zip(*(batch.column(k).to_pylist() for k in (1, 3, 4)), strict=True)
-            for text, before, met_before in rows:
-                words = words_of(text)
+            for text in batch:
+                words = words_of(text.as_py())
                 found, met = automaton.spans(words)
-                if before:
-                    found = _joined(found, [(x["s"], x["e"]) for x in before])
                 counts.append(len(words))
                 spans.append([{"s": a, "e": b} for a, b in found])
-                names.append(sorted(met.union(met_before or ())))
-            span = pa.struct([("s", pa.int32()), ("e", pa.int32())])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(counts, pa.int64()),
-                    pa.array(spans, pa.list_(span)),
-                    pa.array(names, pa.list_(pa.string())),
-                ],
-                names=["doc_id", "text", "n_words", "spans", "items"],
-            )
+                names.append(sorted(met, key=lambda name: (name is None, name)))
+            columns = [pa.array(counts, pa.int64()), pa.array(spans, pa.list_(span)), pa.array(names, pa.list_(pa.string()))]
+            yield pa.StructArray.from_arrays(columns, names=["n_words", "spans", "items"])
 
     return run
 
 
-def _shards(items: DataFrame, window: int, shard_words: int) -> Iterator[list[tuple[str, bytes]]]:
+@F.arrow_udf(_SPAN_LIST)
+def _united(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The spans of several shards as sorted spans that do not meet."""
+    span = pa.struct([("s", pa.int32()), ("e", pa.int32())])
+    for batch in batches:
+        found = [_joined([(x["s"], x["e"]) for x in spans.as_py() or ()]) for spans in batch]
+        yield pa.array([[{"s": a, "e": b} for a, b in spans] for spans in found], pa.list_(span))
+
+
+def _shards(items: DataFrame, window: int, shard_words: int) -> Iterator[list[tuple[str | None, bytes]]]:
     """Lists of (item id as text, its words), of at most ``shard_words`` words each; one at least.
 
     Rows come to the driver one partition at a time and only one shard is held. An item longer than a
     shard is cut into pieces that overlap by a window less one word, which keeps every window.
     """
-    shard: list[tuple[str, bytes]] = []
+    shard: list[tuple[str | None, bytes]] = []
     size, given = 0, False
     for row in items.toLocalIterator():
         words = words_of(row["text"])
@@ -236,40 +240,58 @@ def _shards(items: DataFrame, window: int, shard_words: int) -> Iterator[list[tu
         yield shard
 
 
+def _usable(items: DataFrame, item_column: str, item_text_column: str) -> DataFrame:
+    item, text = named(item_column, item_text_column)
+    return items.select(item.cast("string").alias("id"), text.alias("text")).where("text is not null")
+
+
 def contaminated_spans(
     docs: DataFrame,
     items: DataFrame,
-    id_column: str = "doc_id",
     text_column: str = "text",
     item_column: str = "item_id",
     item_text_column: str = "text",
     window: int = WINDOW,
     shard_words: int = SHARD_WORDS,
 ) -> DataFrame:
-    """One row per input row: id, text, n_words, spans [s, e) of word numbers, items met."""
-    spark = docs.sparkSession
-    kind = docs.schema[id_column].dataType.simpleString()
-    schema = f"doc_id {kind}, text string, n_words long, spans array<struct<s:int,e:int>>, items array<string>"
-    named = items.select(F.col(item_column).cast("string").alias("id"), F.col(item_text_column).alias("text"))
-    done = docs.select(
-        F.col(id_column).alias("doc_id"),
-        F.col(text_column).alias("text"),
-        F.lit(0).cast("long").alias("n_words"),
-        F.expr("cast(array() as array<struct<s:int,e:int>>)").alias("spans"),
-        F.expr("cast(array() as array<string>)").alias("items"),
+    """row (all columns of the input), found: n_words, spans [s, e) of word numbers, items met (with null ids).
+
+    One shard takes one pass without a shuffle. With more of them the input is written once with a number for each
+    row; every pass reads its texts and writes only the rows that it hits, and these are joined in at the end.
+    """
+    context = docs.sparkSession.sparkContext
+    rows = docs.select(packed(docs).alias("row"))
+    text = F.col("row")[text_column]
+    shards = _shards(_usable(items, item_column, item_text_column), window, shard_words)
+    shard, after = next(shards), next(shards, None)
+    if after is None:
+        return rows.withColumn("found", _streamed(context.broadcast(shard), window)(text))
+    rows = saved(rows.withColumn("at", F.monotonically_increasing_id()), "numbered")
+    passes = []
+    while shard is not None:
+        streamed = _streamed(context.broadcast(shard), window)
+        found = saved(rows.select("at", streamed(text).alias("found")), "shard")
+        passes.append(found)
+        shard, after = after, next(shards, None)
+    counts = passes[0].select("at", F.col("found.n_words").alias("n_words"))
+    hits = None
+    for found in passes:
+        some = found.where(F.size("found.items") > 0).select("at", "found.spans", "found.items")
+        hits = some if hits is None else hits.unionByName(some)
+    hits = hits.groupBy("at").agg(
+        F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")
     )
-    passes = 0
-    for shard in _shards(named.where("id is not null and text is not null"), window, shard_words):
-        if passes:
-            done = saved(done, "decontaminated")  # else every pass would hold its automaton at once
-        done = done.mapInArrow(_streamed(spark.sparkContext.broadcast(shard), window), schema)
-        passes += 1
-    return done
+    hits = hits.select("at", _united("spans").alias("spans"), "items")
+    met = rows.join(counts, "at").join(hits, "at", "left")
+    no_spans, no_items = (F.expr(f"cast(array() as {kind})") for kind in ("array<struct<s:int,e:int>>", "array<string>"))
+    found = F.struct("n_words", F.coalesce("spans", no_spans).alias("spans"), F.coalesce("items", no_items).alias("items"))
+    return met.select("row", found.alias("found"))
 
 
-def decontamination_report(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+def decontamination_report(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """One row per input row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    found = contaminated_spans(docs, items, **options)
+    rows = docs.select(*[c.alias(n) for c, n in zip(named(id_column, text_column), ("doc_id", "text"), strict=True)])
+    found = contaminated_spans(rows, items, **options).select("row.doc_id", "found.*")
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["e"] - s["s"])
     return found.select(
         "doc_id",
@@ -281,57 +303,96 @@ def decontamination_report(docs: DataFrame, items: DataFrame, **options) -> Data
     )
 
 
+def _is_over(spans: list, n_words: int, max_hit_words: int, max_coverage: float) -> bool:
+    sizes = [b - a for a, b in spans]
+    return bool(sizes) and (max(sizes) >= max_hit_words or sum(sizes) >= n_words * max_coverage)
+
+
+def _without(text: str, spans: list) -> str:
+    """The text without the words of its spans, and without the blanks after them."""
+    places = [m.span() for m in _PLACES.finditer(text)]
+    at, parts = 0, []
+    for start, end in spans:
+        parts.append(text[at : places[start][0]])
+        at = places[end][0] if end < len(places) else len(text)
+    return "".join([*parts, text[at:]])
+
+
+def _cleaned(items: Broadcast, window: int, max_hit_words: int, max_coverage: float):
+    """A list of the clean text, or of nothing where the items' words were all that a text had."""
+
+    @F.arrow_udf(ArrayType(StringType()))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            automaton = _automaton(items, window)
+            out = []
+            for value in batch:
+                text, cut = value.as_py(), False
+                while True:
+                    words = words_of(text)
+                    spans = automaton.spans(words)[0]
+                    if not _is_over(spans, len(words), max_hit_words, max_coverage):
+                        break
+                    text, cut = _without(text, spans), True
+                out.append([text] if not cut or _PLACES.search(text) else [])
+            yield pa.array(out, pa.list_(pa.string()))
+
+    return run
+
+
+def _cut(max_hit_words: int, max_coverage: float):
+    """The same for spans that are known already: text after one cut (none where nothing is left), whether it was cut."""
+
+    @F.arrow_udf(StructType().add("texts", ArrayType(StringType())).add("cut", BooleanType()))
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, found in batches:
+            out, cut = [], []
+            for text, hit in zip(texts.to_pylist(), found.to_pylist(), strict=True):
+                spans = [(x["s"], x["e"]) for x in hit["spans"]]
+                cut.append(_is_over(spans, hit["n_words"], max_hit_words, max_coverage))
+                if cut[-1]:
+                    text = _without(text, spans)
+                out.append([text] if not cut[-1] or _PLACES.search(text) else [])
+            yield pa.StructArray.from_arrays([pa.array(out, pa.list_(pa.string())), pa.array(cut)], names=["texts", "cut"])
+
+    return run
+
+
 def decontaminate(
     docs: DataFrame,
     items: DataFrame,
     text_column: str = "text",
+    item_column: str = "item_id",
+    item_text_column: str = "text",
     max_hit_words: int = 40,
     max_coverage: float = 0.2,
-    **options,
+    window: int = WINDOW,
+    shard_words: int = SHARD_WORDS,
 ) -> DataFrame:
     """The input's rows and columns without the text that comes from the items.
 
     A document whose longest hit span has ``max_hit_words`` words or more, or whose share of hit words is
     ``max_coverage`` or more, loses its hit spans; if nothing but the items' words were in it, it
     goes as a whole. Others stay as they are. What stood on both sides of a removed span can make a hit
-    together, so what was cut is read again until no document is over the limits.
+    together, so what was cut is read again until no document is over the limits: at once where all items are one
+    shard, else by another round of passes over the rows that were cut.
     """
-    others = [c for c in docs.columns if c != text_column] or docs.columns
-    pending = docs.select(F.struct(*others).alias("row"), F.col(text_column).alias("text"))
-    kind = pending.schema["row"].dataType.simpleString()
-    longest = F.aggregate("spans", F.lit(0), lambda n, s: F.greatest(n, s["e"] - s["s"]))
-    hit = F.aggregate("spans", F.lit(0), lambda n, s: n + s["e"] - s["s"])
-    over = (F.size("spans") > 0) & ((longest >= max_hit_words) | (hit >= F.col("n_words") * max_coverage))
-    done = None
+    context = docs.sparkSession.sparkContext
+    limits = max_hit_words, max_coverage
+    shards = _shards(_usable(items, item_column, item_text_column), window, shard_words)
+    shard = next(shards)
+    if next(shards, None) is None:
+        clean = _cleaned(context.broadcast(shard), window, *limits)(*named(text_column))
+        rows = docs.select(packed(docs, but=text_column).alias("row"), F.explode(clean).alias("text"))
+        return rows.select(*fields_of(docs, text_column))
+    done, pending = None, docs
     while True:
-        found = contaminated_spans(pending, items, "row", "text", **options)
-        cut = found.select("doc_id", "text", F.when(over, F.col("spans")).alias("spans"))
-        cut = saved(cut.mapInArrow(_removed, f"row {kind}, text string, kept boolean, cut boolean").where("kept"), "cut")
-        clean = cut.where("not cut").select("row", "text")
+        found = contaminated_spans(pending, items, text_column, item_column, item_text_column, window, shard_words)
+        (text,) = named(text_column)
+        cut = found.select("row", _cut(*limits)(F.col("row")[text_column], "found").alias("clean"))
+        cut = saved(cut.select("row", "clean.cut", F.explode("clean.texts").alias("text")), "cut")
+        clean = cut.where("not cut").select(*fields_of(docs, text_column))
         done = clean if done is None else done.unionByName(clean)
-        pending = cut.where("cut").select("row", "text")
+        pending = cut.where("cut").select(*fields_of(docs, text_column))
         if pending.isEmpty():
-            break
-    return done.select(*[F.col("text" if c == text_column else f"row.`{c}`").alias(c) for c in docs.columns])
-
-
-def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts without the words of their spans; whole words go, with the blanks after them."""
-    for batch in batches:
-        texts, kept, cut = [], [], []
-        for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            if spans:
-                places = [m.span() for m in _PLACES.finditer(text)]
-                at, parts = 0, []
-                for x in spans:
-                    parts.append(text[at : places[x["s"]][0]])
-                    at = places[x["e"]][0] if x["e"] < len(places) else len(text)
-                parts.append(text[at:])
-                text = "".join(parts)
-            kept.append(not spans or bool(_PLACES.search(text)))
-            cut.append(bool(spans))
-            texts.append(text)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(texts, pa.string()), pa.array(kept, pa.bool_()), pa.array(cut, pa.bool_())],
-            names=["row", "text", "kept", "cut"],
-        )
+            return done

@@ -35,10 +35,11 @@ import zstandard
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 from pyspark.sql.window import Window
 
 from tapewright.llm.components import components
-from tapewright.llm.util import LOWER, saved
+from tapewright.llm.util import LOWER, at_most, fields_of, named, saved
 
 FREQUENT = 100_000  # entries of the frequency table that every task gets (1.6 MB)
 MAX_LEVEL = 8
@@ -383,8 +384,8 @@ def _merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
 def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return rows.withColumn("label", F.col("class"))
-    named = labels.select(F.col("node").alias("class"), "label")
-    return rows.join(named, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    known = labels.select(F.col("node").alias("class"), "label")
+    return rows.join(known, "class", "left").withColumn("label", F.coalesce("label", "class"))
 
 
 def link_components(
@@ -392,12 +393,13 @@ def link_components(
 ) -> DataFrame:
     """One row per input row: doc_id, class, n_shingles, component_id (the least id that links reach)."""
     context = docs.sparkSession.sparkContext
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    (id_of,), (text_of,) = named(id_column), named(text_column)
+    rows = docs.select(id_of.cast("long").alias("doc_id"), text_of.alias("text"))
     texts = rows.select("text")
     found = saved(rows.mapInArrow(_sets(k), "doc_id long, class long, n long, token long, df long"), "sets")
     sets = found.where("token is null").select("doc_id", "class", "n")
-    top = found.where("token is not null").groupBy("token").agg(F.sum("df").alias("df"))
-    top = sorted((r["token"] % (1 << 64), r["df"]) for r in top.orderBy(F.desc("df"), "token").limit(FREQUENT).collect())
+    top = saved(found.where("token is not null").groupBy("token").agg(F.sum("df").alias("df")), "frequent")
+    top = sorted((r["token"] % (1 << 64), r["df"]) for r in at_most(top, F.col("df"), FREQUENT).collect())
     frequent = context.broadcast((np.array([t for t, _ in top], np.uint64), np.array([d for _, d in top], np.int64)))
     prefixes = saved(
         texts.mapInArrow(_prefixes(k, percent, frequent), "token long, class long, n long, l long, pos long"), "prefixes"
@@ -418,10 +420,10 @@ def link_components(
             labels = _merged(labels, new)
 
     classes = sets.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("first"))
-    named = _labelled(classes, labels)
-    least = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    named = saved(named.join(least, "label").select("class", "component_id"), "components")
-    linked = sets.where("n > 0").join(named, "class").select("doc_id", "class", "n", "component_id")
+    labelled = _labelled(classes, labels)
+    least = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
+    labelled = saved(labelled.join(least, "label").select("class", "component_id"), "components")
+    linked = sets.where("n > 0").join(labelled, "class").select("doc_id", "class", "n", "component_id")
     alone = sets.where("n = 0").select("doc_id", "class", "n", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumnRenamed("n", "n_shingles")
 
@@ -431,10 +433,10 @@ def component_report(docs: DataFrame, **options) -> DataFrame:
     return link_components(docs, **options).select("doc_id", "n_shingles", "component_id")
 
 
-def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+@F.arrow_udf(LongType())
+def _class_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        names = [class_of(words_of(t)) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.int64())], names=["row", "class"])
+        yield pa.array([class_of(words_of(text.as_py())) for text in batch], pa.int64())
 
 
 def near_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
@@ -444,9 +446,6 @@ def near_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     """
     found = link_components(docs, id_column, text_column, **options)
     gone = found.where("n_shingles > 0 and doc_id is not null and doc_id != component_id").select("doc_id", "class").distinct()
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_column).alias("text"))
-    kind = packed.schema["row"].dataType.simpleString()
-    rows = packed.mapInArrow(_named, f"row {kind}, class long").withColumn("doc_id", F.col(f"row.`{id_column}`").cast("long"))
-    return rows.join(gone, ["doc_id", "class"], "left_anti").select(
-        *[F.col(f"row.`{c}`").alias(c) for c in docs.columns]
-    )
+    (id_of,), (text_of,) = named(id_column), named(text_column)
+    rows = docs.select(F.struct(*named(*docs.columns)).alias("row"), id_of.cast("long").alias("doc_id"), _class_of(text_of).alias("class"))
+    return rows.join(gone, ["doc_id", "class"], "left_anti").select(*fields_of(docs))

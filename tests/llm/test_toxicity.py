@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import Row
 
-from tapewright.llm.toxicity import DRIFT, Model, drop_toxic, held_out, toxicity_report
+from tapewright.llm.toxicity import DRIFT, Model, _rate, drop_toxic, held_out, toxicity_report
 
 
 def brute(scores):
@@ -29,6 +29,39 @@ def test_segments_equal_the_definition():
         assert sorted(x[2] for x in got) == sorted(x[2] for x in brute(scores)), (words, got, brute(scores))
 
 
+def test_the_scan_is_linear():
+    """Passages that never merge, and ones that fall step by step: twice the text takes about twice the steps."""
+    import time
+
+    model = Model(weights={b"bad": 1.0, b"good": -0.9})
+    for unit in ([b"bad"] + [b"x"] * 41, [b"bad", b"good"], [b"good", b"bad", b"good"]):
+        began = time.process_time()
+        found = model.segments(unit * 60_000)
+        assert time.process_time() - began < 20 and found
+    assert len(model.segments(([b"bad"] + [b"x"] * 41) * 16_000)) == 16_000
+
+
+def test_lambda_and_sizes():
+    import math
+
+    weights = {-DRIFT: 9_000, 1.5: 40, -0.7: 300, 2.5: 5}
+    rate = _rate(weights)
+    total = sum(weights.values())
+    assert abs(sum(n / total * math.exp(rate * w) for w, n in weights.items()) - 1) < 1e-6
+
+
+def test_at_most_keeps_the_greatest(spark):
+    from pyspark.sql import functions as F
+
+    from tapewright.llm.util import at_most
+
+    rows = spark.range(1, 1001).withColumn("size", F.col("id") % 100 + 1.0)
+    for most in (0, 5, 10, 250, 5000):
+        kept = [r["size"] for r in at_most(rows, F.col("size"), most).collect()]
+        assert len(kept) <= most and len(kept) >= min(1000, most) - 20
+        assert not kept or min(kept) > max([r["size"] for r in rows.collect() if r["size"] not in kept], default=0)
+
+
 def docs_and_labels(spark, n=600):
     rng = random.Random(2)
     vocabulary = [f"{a}{b}ord" for a in "bcdfghjklm" for b in "aeiou"]
@@ -63,6 +96,29 @@ def test_empty_tables(spark):
     assert toxicity_report(docs.limit(0), labels).count() == 0
 
 
+def test_odd_columns_and_very_long_texts(spark):
+    docs, labels = docs_and_labels(spark)
+    odd = docs.withColumnRenamed("row", "a.b`c").union(docs.limit(1).selectExpr("9999L", "repeat('scum word ', 200000)", "score", "row"))
+    rows = {r["doc_id"]: r for r in toxicity_report(odd, labels).collect()}
+    assert rows[9999]["predicted"] == 1
+    assert drop_toxic(odd, labels).columns == odd.columns and drop_toxic(odd, labels).count() < odd.count()
+
+
+def test_held_out_rows_of_the_test_data(spark):
+    """Trained without them, labelled rows are told apart."""
+    import os
+
+    import pytest
+
+    path = "/root/testdata/sf0.1"
+    if not os.path.exists(path):
+        pytest.skip("no test data")
+    labels = spark.read.parquet(f"{path}/labels.parquet")
+    rows = toxicity_report(spark.read.parquet(f"{path}/documents.parquet"), labels).join(labels, "doc_id").where("held_out")
+    found = {(r["toxic"], r["predicted"]): r["count"] for r in rows.groupBy("toxic", "predicted").count().collect()}
+    assert found[1, 1] >= 0.9 * (found[1, 1] + found.get((1, 0), 0)) and found.get((0, 1), 0) <= 0.01 * found[0, 0]
+
+
 def test_held_out_is_by_crc32(spark):
     import zlib
 
