@@ -16,7 +16,7 @@ from tapewright.llm.quality import KEEP, score
 from tapewright.llm.span_dedup import removed_sentences
 from tapewright.llm.token_files import token_report, write_tokens
 from tapewright.llm.toxicity import toxicity_report
-from tapewright.llm.warc import derive_records
+from tapewright.llm.warc import derivatives, read_warc, responses, write_records
 from tapewright.llm.util import scratch, table
 
 
@@ -46,7 +46,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive_records(table(spark, sf_dir, "pages"))
+    """The pages as WARC files, and the derivatives of what is read from these."""
+    path = scratch(spark, "warc")
+    write_records(responses(table(spark, sf_dir, "pages")), path)
+    return derivatives(read_warc(spark, path))
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

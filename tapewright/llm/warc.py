@@ -1,18 +1,24 @@
-"""Derived WARC records: for every response one metadata and one conversion record, linked to it.
+"""Derivatives of WARC files: for every response one metadata and one conversion record, linked to it.
 
-A response is a page's url and body; where the body starts with an HTTP status line, its header block
-is split off and its fields are kept. The response's own record id and payload digest are computed, not
-stored: a version-5 UUID of the source id and url, and the SHA-1 of the payload in base 32. The metadata
-record (application/warc-fields) holds what is known of the response: id, digest, status, header
-fields, title, language and outgoing links. The conversion record (text/plain) holds the visible text. Both name the
-response in WARC-Refers-To, and each other in WARC-Concurrent-To; block and payload digests are those of
-their own bytes, so that a reader can check them.
+``read_warc`` reads WARC files (plain or gzip, also with a member per record) as rows of one record: its id, type,
+target, date, fields, stored digests and block bytes. Records are told apart by Spark's text reader, with the end of a
+record and the next one's version as the line separator, so a plain file is split among tasks and no file is held as a
+whole; a block that holds that mark itself is put together by its Content-Length as far as its own part reaches.
 
-One pass without a shuffle; a record never holds more than its page. ``write_records`` writes the
-records as WARC 1.1 text, one gzip file per partition.
+``derivatives`` makes two records of every response: the metadata record (application/warc-fields) holds what is known of the
+response: its id, payload digest, status, HTTP header fields, title, language and outgoing links. The conversion record
+(text/plain) holds the visible text. Both name the response in WARC-Refers-To with its own record id, keep its date and
+target, and name each other in WARC-Concurrent-To; the payload digest is the stored one where there is one (``digest_ok`` tells
+whether the bytes have it), and block and payload digests of the new records are those of their own bytes.
+
+``responses`` turns a table of pages into response records, with ids as version-5 UUIDs of the page's id and address, and
+``write_records`` writes records as WARC 1.1 text, one file a partition. Everything is one pass without a shuffle; a task holds
+a few records at a time, and pages are scanned in linear time.
 
 Defined results: a null body is empty; a null url gives the empty target "urn:none"; a null id is the id
-"none"; rows that repeat give records of the same ids; further columns are ignored.
+"none"; a page without a date has that of ``DATE``; rows that repeat give records of the same ids; records of other types are
+left out of the derivatives; a block shorter than its Content-Length is taken as far as it goes, and ``whole`` is false;
+bytes that are not text in the stated or default encoding become replacement signs; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,26 +31,33 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapewright.llm.util import named
+
 DATE = "1970-01-01T00:00:00Z"  # where the source has no date
 _SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:tapewright:warc")
 
-_HEAD = re.compile(r"HTTP/[0-9.]+ ([0-9]{3})[^\r\n]*\r?\n((?:[^\r\n]+\r?\n)*)\r?\n")
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_BREAK = re.compile(
-    r"</?(?:p|div|br|h[1-6]|li|ul|ol|tr|table|section|article|header|footer|nav|blockquote|pre|hr|title|head|body)\b[^>]*>", re.I
+_HEAD = re.compile(rb"HTTP/[0-9.]+ ([0-9]{3})[^\r\n]*\r?\n")
+_CHARSET = re.compile(r"charset\s*=\s*[\"']?([A-Za-z0-9_.:-]+)", re.I)
+_TAG = re.compile(r"<(?:/?([A-Za-z][A-Za-z0-9]*)|[!?])")
+_HREF = re.compile(r"\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_LANG = re.compile(r"\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
+_HIDDEN = {name: re.compile(rf"</{name}", re.I) for name in ("script", "style", "noscript", "template")}
+_BREAKS = frozenset(
+    "p div br h1 h2 h3 h4 h5 h6 li ul ol tr table section article header footer nav blockquote pre hr title head body".split()
 )
-_TAG = re.compile(r"</?[A-Za-z!?][^>]*>")
-_TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.S | re.I)
-_LANG = re.compile(r"<html[^>]*\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
-_LINK = re.compile(r"<a\b[^>]*\bhref\s*=\s*[\"']([^\"'>]*)", re.I)
 
 COLUMNS = (
     "page_id", "warc_type", "record_id", "refers_to", "concurrent_to", "target_uri", "date", "content_type",
-    "block_digest", "payload_digest", "source_digest", "content_length", "block",
+    "block_digest", "payload_digest", "source_digest", "digest_ok", "content_length", "block",
 )
+_KINDS = {"digest_ok": "boolean", "content_length": "long"}
+RECORD = (
+    "page_id string, warc_type string, record_id string, target_uri string, date string, content_type string, "
+    "block_digest string, payload_digest string, fields map<string,string>, whole boolean, block binary"
+)
 
 
 def digest(data: bytes) -> str:
@@ -55,90 +68,237 @@ def record_id(kind: str, page: str, url: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(_SPACE, f'{kind} {page} {url}')}>"
 
 
-def split_response(body: str) -> tuple[str | None, list[tuple[str, str]], str]:
+def split_response(body: str | bytes) -> tuple[str | None, list[tuple[str, str]], str | bytes]:
     """Status, header fields and payload."""
-    if not (match := _HEAD.match(body)):
+    data = body.encode("utf-8", "surrogatepass") if isinstance(body, str) else body
+    if not (match := _HEAD.match(data)):
         return None, [], body
-    fields = [tuple(x.strip() for x in line.split(":", 1)) for line in match[2].splitlines() if ":" in line]
-    return match[1], fields, body[match.end() :]
+    fields, at = [], match.end()
+    while True:
+        end = data.find(b"\n", at)
+        if end < 0:
+            return None, [], body  # the header never ends
+        line = data[at:end].rstrip(b"\r").decode("utf-8", "replace")
+        at = end + 1
+        if not line:
+            break
+        name, colon, value = line.partition(":")
+        if colon:
+            fields.append((name.strip(), value.strip()))
+    payload = data[at:]
+    return match[1].decode(), fields, payload.decode("utf-8", "surrogatepass") if isinstance(body, str) else payload
+
+
+class Page:
+    """Visible text, title, language and links of a page, from one scan over its tags."""
+
+    def __init__(self, page: str) -> None:
+        self.title: str | None = None
+        self.language: str | None = None
+        self.links: list[str] = []
+        parts: list[str] = []
+        at, titled = 0, -1  # titled: where the parts of an open title begin
+        while (start := page.find("<", at)) >= 0:
+            parts.append(page[at:start])
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                parts.append(" ")
+                at = end + 3 if end >= 0 else len(page)
+                continue
+            tag = _TAG.match(page, start)
+            if not tag:
+                parts.append("<")
+                at = start + 1
+                continue
+            end = page.find(">", start)
+            if end < 0:  # no tag ends any more: the rest is text
+                parts.append(page[start:])
+                at = len(page)
+                break
+            name, closing, at = (tag[1] or "").lower(), page[start + 1] == "/", end + 1
+            if name in _HIDDEN and not closing:
+                ends = _HIDDEN[name].search(page, at)
+                parts.append(" ")
+                at = ends.start() if ends else len(page)
+                continue
+            if name == "title":
+                if not closing and titled < 0 and self.title is None:
+                    titled = len(parts)
+                elif closing and titled >= 0:
+                    self.title, titled = _one_line("".join(parts[titled:])), -1
+            elif name == "a" and not closing and (href := _HREF.search(page, start, end + 1)):
+                self.links.append(_one_line(href[1] or href[2] or href[3] or ""))
+            elif name == "html" and self.language is None and (lang := _LANG.search(page, start, end + 1)):
+                self.language = lang[1]
+            if name in _BREAKS:
+                parts.append("\n")
+        parts.append(page[at:])
+        lines = (" ".join(line.split()) for line in html.unescape("".join(parts)).split("\n"))
+        self.text = "\n".join(line for line in lines if line)
 
 
 def plain_text(page: str) -> str:
     """The visible text: hidden elements gone, block elements on lines of their own."""
-    text = _TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub(" ", page)))
-    lines = (" ".join(line.split()) for line in html.unescape(text).split("\n"))
-    return "\n".join(line for line in lines if line)
+    return Page(page).text
 
 
 def _one_line(value: str) -> str:
-    return " ".join(html.unescape(_TAG.sub("", value)).split())
+    return " ".join(html.unescape(value).split())
+
 
+def _decoded(payload: bytes, fields: list[tuple[str, str]]) -> str:
+    """Text in the encoding that the header or the page's first bytes state; else UTF-8."""
+    stated = next((v for k, v in fields if k.lower() == "content-type"), "")
+    found = _CHARSET.search(stated) or _CHARSET.search(payload[:1024].decode("ascii", "ignore"))
+    try:
+        return payload.decode(found[1] if found else "utf-8", "replace")
+    except LookupError:
+        return payload.decode("utf-8", "replace")
 
-def derive(page_id: str | None, url: str | None, body: str | None, date: str | None) -> list[dict]:
-    """The metadata and the conversion record of one response."""
-    page, target, body = page_id or "none", url or "urn:none", body or ""
-    status, fields, payload = split_response(body)
-    source = digest(payload.encode("utf-8", "surrogatepass"))
-    response, meta, text = (record_id(kind, page, target) for kind in ("response", "metadata", "conversion"))
-    known = [("refers-to", response), ("payload-digest", source), ("payload-length", str(len(payload.encode("utf-8", "surrogatepass"))))]
+
+def derive(record: dict) -> list[tuple]:
+    """The metadata and the conversion record of one response, in the order of ``COLUMNS``."""
+    target, page_id = record["target_uri"] or "urn:none", record["page_id"]
+    status, fields, payload = split_response(record["block"] or b"")
+    stored, own = record["payload_digest"], digest(payload)
+    source, response = stored or own, record["record_id"]
+    meta, text = (record_id(kind, response, target) for kind in ("metadata", "conversion"))
+    page = Page(_decoded(payload, fields))
+    known = [("refers-to", response), ("payload-digest", source), ("payload-length", str(len(payload)))]
     known += [("http-status", status)] if status else []
     known += [(f"http-header-{name.lower()}", value) for name, value in fields]
-    known += [("title", _one_line(m[1]))] if (m := _TITLE.search(payload)) else []
-    known += [("language", m[1])] if (m := _LANG.search(payload)) else []
-    known += [("outlink", _one_line(x)) for x in _LINK.findall(payload)]
+    known += [("title", page.title)] if page.title else []
+    known += [("language", page.language)] if page.language else []
+    known += [("outlink", x) for x in page.links]
     blocks = (
         ("metadata", meta, text, "application/warc-fields", "".join(f"{k}: {v}\r\n" for k, v in known)),
-        ("conversion", text, meta, "text/plain; charset=utf-8", plain_text(payload)),
+        ("conversion", text, meta, "text/plain; charset=utf-8", page.text),
     )
     out = []
-    for kind, own, other, content, block in blocks:
+    for kind, name, other, content, block in blocks:
         data = block.encode("utf-8", "replace")
         out.append(
-            dict(
-                zip(
-                    COLUMNS,
-                    (page_id, kind, own, response, other, target, date or DATE, content, digest(data), digest(data), source, len(data), data.decode()),
-                    strict=True,
-                )
-            )
+            (page_id, kind, name, response, other, target, record["date"] or DATE, content, digest(data), digest(data), source, source == own, len(data), data.decode())
         )
     return out
 
 
 def _derived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    types = [{"boolean": pa.bool_(), "long": pa.int64()}.get(_KINDS.get(c, ""), pa.string()) for c in COLUMNS]
+    for batch in batches:
+        for at in range(0, len(batch), 200):
+            records = [r for row in batch.slice(at, 200).to_pylist() for r in derive(row)]
+            columns = list(zip(*records, strict=True)) or [[]] * len(COLUMNS)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=list(COLUMNS))
+
+
+def derivatives(records: DataFrame) -> DataFrame:
+    """Two rows per response, with the columns ``COLUMNS``; content_length in bytes."""
+    rows = records.where("warc_type = 'response'").select("page_id", "record_id", "target_uri", "date", "payload_digest", "block")
+    return rows.mapInArrow(_derived, ", ".join(f"{c} {_KINDS.get(c, 'string')}" for c in COLUMNS))
+
+
+def responses(
+    pages: DataFrame, id_column: str = "page_id", url_column: str = "url", body_column: str = "html", date_column: str | None = None
+) -> DataFrame:
+    """A response record for every page; a body that begins with an HTTP status line is a whole response."""
+    page, url, body = named(id_column, url_column, body_column)
+    date = named(date_column)[0].cast("string") if date_column else F.lit(None).cast("string")
+    rows = pages.select(page.cast("string").alias("page_id"), url.alias("url"), body.alias("body"), date.alias("date"))
+    return rows.mapInArrow(_responses, RECORD)
+
+
+_RECORD_TYPES = (pa.string(),) * 8 + (pa.map_(pa.string(), pa.string()), pa.bool_(), pa.binary())
+_RECORD_NAMES = (
+    "page_id", "warc_type", "record_id", "target_uri", "date", "content_type", "block_digest", "payload_digest", "fields", "whole", "block",
+)
+
+
+def _records(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * len(_RECORD_NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _RECORD_TYPES, strict=True)], names=list(_RECORD_NAMES))
+
+
+def _responses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, len(batch), 500):
-            records = [r for row in zip(*(c.slice(at, 500).to_pylist() for c in batch.columns), strict=True) for r in derive(*row)]
-            arrays = [pa.array([r[c] for r in records], pa.int64() if c == "content_length" else pa.string()) for c in COLUMNS]
-            yield pa.RecordBatch.from_arrays(arrays, names=list(COLUMNS))
+        for at in range(0, len(batch), 200):
+            out = []
+            for page_id, url, body, date in zip(*(c.slice(at, 200).to_pylist() for c in batch.columns), strict=True):
+                data, page, target = (body or "").encode("utf-8", "surrogatepass"), page_id or "none", url or "urn:none"
+                payload = split_response(data)[2]
+                name = record_id("response", page, target)
+                kind = "application/http; msgtype=response"
+                out.append((page_id, "response", name, target, date or DATE, kind, digest(data), digest(payload), [("X-Page-ID", page)], True, data))
+            yield _records(out)
 
 
 def derive_records(
     pages: DataFrame, id_column: str = "page_id", url_column: str = "url", body_column: str = "html", date_column: str | None = None
 ) -> DataFrame:
-    """Two rows per input row, with the columns ``COLUMNS``; content_length in bytes."""
-    date = F.col(date_column).cast("string") if date_column else F.lit(None).cast("string")
-    rows = pages.select(F.col(id_column).cast("string").alias("page_id"), F.col(url_column).alias("url"), F.col(body_column).alias("body"), date.alias("date"))
-    schema = ", ".join(f"{c} {'long' if c == 'content_length' else 'string'}" for c in COLUMNS)
-    return rows.mapInArrow(_derived, schema)
-
-
-def write_records(records: DataFrame, path: str) -> None:
-    """The records as WARC 1.1, gzip-compressed, one file a partition; records end with two line ends."""
-    head = F.concat_ws(
-        "\r\n",
-        F.lit("WARC/1.1"),
-        F.concat(F.lit("WARC-Type: "), "warc_type"),
-        F.concat(F.lit("WARC-Record-ID: "), "record_id"),
-        F.concat(F.lit("WARC-Date: "), "date"),
-        F.concat(F.lit("WARC-Target-URI: "), "target_uri"),
-        F.concat(F.lit("WARC-Refers-To: "), "refers_to"),
-        F.concat(F.lit("WARC-Concurrent-To: "), "concurrent_to"),
-        F.concat(F.lit("WARC-Block-Digest: "), "block_digest"),
-        F.concat(F.lit("WARC-Payload-Digest: "), "payload_digest"),
-        F.concat(F.lit("Content-Type: "), "content_type"),
-        F.concat(F.lit("Content-Length: "), F.col("content_length").cast("string")),
-        F.lit(""),
-        F.lit(""),
-    )
-    records.select(F.concat(head, "block", F.lit("\r\n")).alias("value")).write.option("lineSep", "\r\n").option("compression", "gzip").text(path)
+    """The derivatives of a table of pages."""
+    return derivatives(responses(pages, id_column, url_column, body_column, date_column))
+
+
+def _line(name: str, value: Column | str) -> Column:
+    """A header line, or nothing where the value is null."""
+    return F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
+
+
+def write_records(records: DataFrame, path: str, compression: str = "gzip") -> None:
+    """Records as WARC 1.1, one file a partition. With ``compression="none"`` the files can be sought and split."""
+    own = set(records.columns)
+    lines = [("WARC-Type", "warc_type"), ("WARC-Record-ID", "record_id"), ("WARC-Date", "date"), ("WARC-Target-URI", "target_uri")]
+    lines += [("WARC-Refers-To", "refers_to"), ("WARC-Concurrent-To", "concurrent_to"), ("WARC-Block-Digest", "block_digest")]
+    lines += [("WARC-Payload-Digest", "payload_digest"), ("Content-Type", "content_type")]
+    block = F.col("block").cast("binary")
+    head = [F.coalesce(_line(name, F.col(c)), F.lit("")) for name, c in lines if c in own]
+    if "fields" in own:
+        known = F.map_filter("fields", lambda k, _: F.lower(k).like("x-%"))
+        head.append(F.coalesce(F.array_join(F.transform(F.map_entries(known), lambda e: F.concat(e["key"], F.lit(": "), e["value"], F.lit("\r\n"))), ""), F.lit("")))
+    head.append(_line("Content-Length", F.octet_length(block).cast("string")))
+    whole = F.concat(F.concat(F.lit("WARC/1.1\r\n"), *head, F.lit("\r\n")).cast("binary"), block, F.lit("\r\n").cast("binary"))
+    records.select(whole.cast("string").alias("value")).write.option("lineSep", "\r\n").option("compression", compression).text(path)
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), 200):
+            yield _records([r for data in batch.column(0).slice(at, 200).to_pylist() if (r := parse(data))])
+
+
+def parse(data: bytes) -> tuple | None:
+    """One record from its version line (the word WARC/ may be missing) to the end of its block; None if it is none."""
+    lines, at = [], 0
+    while True:
+        end = data.find(b"\n", at)
+        if end < 0:
+            return None
+        line = data[at:end].rstrip(b"\r").decode("utf-8", "replace")
+        at = end + 1
+        if not line:
+            break
+        if line[:1] in " \t" and lines:
+            lines[-1] += " " + line.strip()  # a folded field
+        else:
+            lines.append(line)
+    fields: dict[str, str] = {}
+    for line in lines[1:]:
+        name, colon, value = line.partition(":")
+        if colon:
+            fields.setdefault(name.strip().lower(), value.strip())
+    if not re.fullmatch(r"(?:WARC/)?\d+\.\d+", lines[0].strip() if lines else "") or "warc-type" not in fields:
+        return None
+    length = int(fields["content-length"]) if fields.get("content-length", "").isdigit() else len(data) - at
+    block = data[at : at + length]
+    get = fields.get
+    return (
+        get("x-page-id"), get("warc-type"), get("warc-record-id"), get("warc-target-uri"), get("warc-date"), get("content-type"),
+        get("warc-block-digest"), get("warc-payload-digest"), list(fields.items()), len(block) == length, block,
+    )
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """Records of WARC files: page_id (of X-Page-ID, where pages were written), warc_type, record_id, target_uri, date,
+    content_type, block_digest, payload_digest, fields (all header fields, names in lower case), whole, block (bytes)."""
+    pieces = spark.read.option("lineSep", "\r\n\r\nWARC/").text(path)
+    return pieces.select(F.col("value").cast("binary").alias("value")).mapInArrow(_parsed, RECORD)

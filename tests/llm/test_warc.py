@@ -3,7 +3,7 @@ import re
 
 from pyspark.sql import Row
 
-from tapewright.llm.warc import derive_records, digest, plain_text, split_response, write_records
+from tapewright.llm.warc import Page, derivatives, derive_records, digest, parse, plain_text, read_warc, responses, split_response, write_records
 
 PAGE = "<html lang='de'><head><title>A &amp; B</title><style>p{}</style><script>var t='</p>'</script></head><body><!-- x --><p>One <b>two</b></p><p>3 &lt; 4<a href='/x'>link</a></body></html>"
 
@@ -36,3 +36,62 @@ def test_records_link_to_their_response_and_hold_true_digests(spark, tmp_path):
         assert data[at:].startswith(b"WARC/1.1\r\n") and data[head + size : head + size + 4] == b"\r\n\r\n"
         at, count = head + size + 4, count + 1
     assert count == 12
+
+
+def test_files_keep_ids_dates_headers_and_digests(spark, tmp_path):
+    """Files as crawlers write them: a member per record, foreign digests, folded fields, other record types, odd bytes."""
+    latin = "<html><meta charset=iso-8859-1><title>Caf\u00e9</title><p>\u00fcber".encode("latin-1")
+    http = b"HTTP/1.1 200 OK\r\nServer: s\r\nContent-Type: text/html; charset=ISO-8859-1\r\n\r\n" + latin
+    page = b"HTTP/1.1 200 OK\r\nX: y\r\n\r\n<p>a\r\n\r\nb \xff\x00 c</p>"
+
+    def record(kind, name, block, more=b"", version=b"WARC/1.0"):
+        head = b"%s\r\nWARC-Type: %s\r\nWARC-Record-ID: <urn:uuid:%s>\r\nWARC-Date: 2024-05-0%sT00:00:00Z\r\n" % (version, kind, name, name)
+        head += b"WARC-Target-URI: http://e.com/%s\r\n%sContent-Length: %d\r\n\r\n" % (name, more, len(block))
+        return head + block + b"\r\n\r\n"
+
+    records = [
+        record(b"warcinfo", b"1", b"software: x\r\n"),
+        record(b"request", b"2", b"GET / HTTP/1.1\r\nHost: e.com\r\n\r\n"),
+        record(b"response", b"3", http, b"WARC-Payload-Digest: " + digest(latin).encode() + b"\r\n"),
+        record(b"response", b"4", page, b"WARC-Payload-Digest: sha1:WRONG\r\nX-Long: one\r\n two\r\n", b"WARC/1.1"),
+        record(b"response", b"5", b""),
+    ]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in records))
+    (tmp_path / "in" / "b.warc").write_bytes(b"".join(records))
+    read = read_warc(spark, str(tmp_path / "in"))
+    found = read.collect()
+    assert len(found) == 10 and all(r["whole"] for r in found)
+    by_id = {r["record_id"]: r for r in found}
+    assert bytes(by_id["<urn:uuid:3>"]["block"]) == http and bytes(by_id["<urn:uuid:4>"]["block"]) == page
+    assert by_id["<urn:uuid:4>"]["fields"]["x-long"] == "one two"
+    rows = [r for r in derivatives(read).collect()]
+    assert len(rows) == 12 and {r["refers_to"] for r in rows} == {f"<urn:uuid:{k}>" for k in (3, 4, 5)}
+    text = {r["refers_to"][10]: r for r in rows if r["warc_type"] == "conversion"}
+    meta = {r["refers_to"][10]: r for r in rows if r["warc_type"] == "metadata"}
+    assert text["3"]["block"] == "Caf\u00e9\n\u00fcber" and text["3"]["date"] == "2024-05-03T00:00:00Z" and text["3"]["digest_ok"]
+    assert text["4"]["source_digest"] == "sha1:WRONG" and not text["4"]["digest_ok"] and text["4"]["target_uri"] == "http://e.com/4"
+    assert "http-header-server: s\r\n" in meta["3"]["block"] and "title: Caf\u00e9\r\n" in meta["3"]["block"]
+    write_records(derivatives(read), str(tmp_path / "out"), "none")
+    again = {(r["record_id"], r["date"], bytes(r["block"]).decode()) for r in read_warc(spark, str(tmp_path / "out")).collect()}
+    assert again == {(r["record_id"], r["date"], r["block"]) for r in rows}
+
+
+def test_pages_survive_the_files(spark, tmp_path):
+    bodies = [PAGE, "HTTP/1.1 404 Not Found\r\nServer: s\r\n\r\n<p>gone", None, "", "a\r\n\r\nb\n\nc \u4e2d" * 5]
+    pages = spark.createDataFrame([(i, f"http://e.com/{i}", b) for i, b in enumerate(bodies)] + [(None, None, "x")], "page_id long, url string, html string")
+    made = responses(pages)
+    write_records(made, str(tmp_path / "w"))
+    rows = {tuple(r) for r in derivatives(read_warc(spark, str(tmp_path / "w"))).drop("page_id").collect()}
+    assert rows == {tuple(r) for r in derivatives(made).drop("page_id").collect()} and len(rows) == 12
+
+
+def test_open_tags_take_linear_time():
+    import time
+
+    for unit in ("<a ", "<title>", "<script>", "<!--", "<", "</", "<p", "<a href=", "<style ", "&lt", "<title", "<html lang "):
+        began = time.process_time()
+        Page(unit * 200_000)
+        assert time.process_time() - began < 5, unit
+    assert Page("a < b <c").text == "a < b <c" and Page("<TITLE>x</TITLE><A HREF='/u'>v</a>").links == ["/u"]
+    assert parse(b"nothing") is None and parse(b"WARC/1.0\r\n\r\n") is None
