@@ -61,3 +61,58 @@ def test_separates_junk_and_keeps_good(spark):
     assert {r["evidence"] for r in score(docs, marked.limit(0)).collect()} == {0.0}
     assert score(docs.limit(0), marked).count() == 0
     assert features(None) == features("") == [0] * 9
+
+
+def auc(marks, scores) -> float:
+    """Share of (good, bad) pairs in the right order, ties by half."""
+    order = sorted(zip(scores, marks, strict=True))
+    below = total = at = 0.0
+    while at < len(order):
+        same = [m for s, m in order[int(at) :] if s == order[int(at)][0]]
+        bad = same.count(0)
+        total += same.count(1) * (below + bad / 2)
+        below += bad
+        at += len(same)
+    return total / (marks.count(0) * marks.count(1))
+
+
+def test_labelled_rows_are_judged_without_their_own_label(spark):
+    """Random labels on random words cannot be told apart; a table that saw them would do so."""
+    rng = random.Random(8)
+    rows = [Row(doc_id=i, text=" ".join(f"w{rng.randrange(10**9)}" for _ in range(20)), source="s", lang="l") for i in range(600)]
+    labels = [Row(doc_id=i, quality=rng.randrange(2)) for i in range(600)]
+    found = score(spark.createDataFrame(rows), spark.createDataFrame(labels)).select("id", "evidence").collect()
+    marks = [labels[r["id"]]["quality"] for r in found]
+    assert 0.4 < auc(marks, [r["evidence"] for r in found]) < 0.6
+
+
+def test_words_alone_tell_apart(spark):
+    rng = random.Random(9)
+    rows = [Row(doc_id=i, text=" ".join(rng.choices(["spam", "buy"] if i % 3 == 0 else ["good", "text"], k=2) + rng.choices(["a", "b", "c", "d"], k=6)), source="s", lang="l") for i in range(600)]
+    labels = [Row(doc_id=i, quality=int(i % 3 != 0)) for i in range(0, 600, 2)]
+    found = score(spark.createDataFrame(rows), spark.createDataFrame(labels)).collect()
+    rest = [(int(r["id"] % 3 != 0), r["score"]) for r in found if r["id"] % 2]
+    assert auc([m for m, _ in rest], [s for _, s in rest]) > 0.99
+
+
+def test_sparse_sites_shrink(spark):
+    rng = random.Random(3)
+    rows = [Row(id=i, host=f"h{i % 40}" if i >= 40 else f"lone{i}", path="p", posterior=0.9 if i % 40 < 20 else 0.3) for i in range(2000)]
+    rng.shuffle(rows)
+    found = {r["id"]: r for r in pooled(spark.createDataFrame(rows), 0.6).collect()}
+    lone, large = found[0], found[40]
+    assert abs(lone["path_mean"] - 0.6) < abs(large["path_mean"] - 0.6) and large["path_mean"] == pytest.approx(0.9, abs=0.02)
+
+
+def test_unseen_labels_of_the_test_data(spark):
+    import os
+
+    path = "/root/testdata/sf0.1"
+    if not os.path.exists(path):
+        pytest.skip("no test data")
+    labels = spark.read.parquet(f"{path}/labels.parquet")
+    found = score(spark.read.parquet(f"{path}/documents.parquet"), labels).join(labels, F.col("id") == F.col("doc_id"))
+    rows = found.where("quality is not null").select("quality", "evidence", "score").collect()
+    figures = [auc([r["quality"] for r in rows], [r[c] for r in rows]) for c in ("evidence", "score")]
+    print("AUC of unseen labels", figures)
+    assert min(figures) > 0.9
