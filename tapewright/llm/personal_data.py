@@ -11,8 +11,9 @@ leftmost, non-overlapping matches of
     phone  \\+[0-9][\\x20().0-9-]+[0-9]                   8 to 15 digits
 
 without a search over the whole text for each; a match that fails its check is dropped and not tried
-again. Two more kinds come from the other anchors: ``url`` (an address that holds a user name, or a
-mailto: or tel: link) and ``account`` (an identifier after a cue such as "iban" or "account no").
+again. Three more kinds come from the other anchors: ``url`` (an address that holds a user name, or a
+mailto: or tel: link), ``account`` (an identifier after a cue such as "iban" or "account no") and ``secret`` (what is
+assigned to a cue such as "password" or "token", and keys of a known form that begin with their cue).
 
 Texts stay in their partition; there is no shuffle. Defined results: a null text is an empty text and
 has no spans; repeated rows are rows of their own; further columns are ignored by the report and kept
@@ -29,14 +30,30 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from tapewright.llm.util import named
 
 BASE = ("email", "ip", "card", "phone")
-ADDED = ("url", "account")
+ADDED = ("url", "account", "secret")
 KINDS = BASE + ADDED
 
 SCHEMES = ("http://", "https://", "ftp://", "mailto:", "tel:")
 CUES = ("iban", "account", "acct", "konto", "cuenta", "compte", "passport", "ssn")
 
+SECRET_CUES = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "api-key", "access_key", "private_key")
+# fixed values: the published forms of keys that begin with a mark of their own
+KEY_FORMS = {
+    "akia": re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"),
+    "ghp_": re.compile(r"ghp_[0-9A-Za-z]{36}"),
+    "sk-": re.compile(r"sk-[0-9A-Za-z_-]{20,}"),
+    "sk_live_": re.compile(r"sk_live_[0-9A-Za-z]{16,}"),
+    "xoxb-": re.compile(r"xoxb-[0-9A-Za-z-]{20,}"),
+    "aiza": re.compile(r"AIza[0-9A-Za-z_-]{35}"),
+    "eyj": re.compile(r"eyJ[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]*"),
+    "-----begin": re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"),
+}
+
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
@@ -51,6 +68,9 @@ _AFTER_CUE = re.compile(
 )
 
 
+_ASSIGNED = re.compile(r"[\"']?[ \t]{0,4}[:=][ \t]{0,4}[\"']?([^\s\"'<>,;]{6,})")
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for k, d in enumerate(reversed(digits)):
@@ -74,6 +94,10 @@ def anchors() -> ahocorasick.Automaton:
         automaton.add_word(scheme, (scheme, len(scheme)))
     for cue in CUES:
         automaton.add_word(cue, ("cue", len(cue)))
+    for cue in SECRET_CUES:
+        automaton.add_word(cue, ("assigned", len(cue)))
+    for mark in KEY_FORMS:
+        automaton.add_word(mark, (mark, len(mark)))
     automaton.make_automaton()
     return automaton
 
@@ -81,8 +105,8 @@ def anchors() -> ahocorasick.Automaton:
 def find(text: str, automaton: ahocorasick.Automaton, anchored: str | None = None) -> dict[str, list[tuple[int, int]]]:
     """Spans in code points, end exclusive, by kind. ``anchored``: the text with cues in lower case."""
     found: dict[str, list[tuple[int, int]]] = {kind: [] for kind in KINDS}
-    emails, ips, cards, phones, urls, accounts = found.values()
-    mail_from = dot_to = digit_to = dial_to = url_to = account_to = 0
+    emails, ips, cards, phones, urls, accounts, secrets = found.values()
+    mail_from = dot_to = digit_to = dial_to = url_to = account_to = secret_to = 0
     size = len(text)
     for last, (kind, width) in automaton.iter(text if anchored is None else anchored):
         at = last + 1 - width
@@ -126,6 +150,14 @@ def find(text: str, automaton: ahocorasick.Automaton, anchored: str | None = Non
                 if iban(value) or (6 <= len(value) <= 20 and sum(map(str.isdigit, value)) >= 6):
                     account_to = match.end(1)
                     accounts.append((match.start(1), account_to))
+        elif kind == "assigned":
+            if last + 1 >= secret_to and (match := _ASSIGNED.match(text, last + 1)):
+                secret_to = match.end(1)
+                secrets.append((match.start(1), secret_to))
+        elif kind in KEY_FORMS:
+            if at >= secret_to and not (at and text[at - 1].isalnum()) and (match := KEY_FORMS[kind].match(text, at)):
+                secret_to = match.end()
+                secrets.append((at, secret_to))
         elif at >= url_to and not (at and text[at - 1].isalnum()):
             parser = _MAIL_URL if kind == "mailto:" else _TEL_URL if kind == "tel:" else _USER_URL
             if match := parser.match(text, last + 1):
@@ -153,32 +185,36 @@ def _scan(text: str, automaton: ahocorasick.Automaton) -> dict[str, list[tuple[i
 def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     automaton = anchors()
     for batch in batches:
-        counts: list[list[int]] = [[] for _ in BASE]
+        counts: list[list[int]] = [[] for _ in KINDS]
         digests, spans = [], []
-        for text in batch.column(1).to_pylist():
-            found = _scan(text or "", automaton)
-            for column, kind in zip(counts, BASE, strict=True):
+        for text in batch.column(1):
+            found = _scan(text.as_py() or "", automaton)
+            for column, kind in zip(counts, KINDS, strict=True):
                 column.append(len(found[kind]))
             digests.append(hashlib.sha256(_written(found, BASE).encode()).hexdigest())
             spans.append(_written(found, KINDS))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()), pa.array(spans, pa.string())],
-            names=["doc_id", *(f"n_{kind}" for kind in BASE), "base_sha256", "spans"],
-        )
+        columns = [pa.array(c, pa.int64()) for c in counts]
+        columns[len(BASE) : len(BASE)] = pa.array(digests, pa.string()), pa.array(spans, pa.string())
+        names = ["doc_id", *(f"n_{kind}" for kind in BASE), "base_sha256", "spans", *(f"n_{kind}" for kind in ADDED)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
 
 
 def personal_data_report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans."""
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    counts = ", ".join(f"n_{kind} long" for kind in BASE)
-    return rows.mapInArrow(_report, f"doc_id long, {counts}, base_sha256 string, spans string")
+    """One row per input row: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_url, n_account, n_secret, n_spans (of all kinds)."""
+    (id_of,), (text_of,) = named(id_column), named(text_column)
+    rows = docs.select(id_of.cast("long").alias("doc_id"), text_of.alias("text"))
+    counts, more = (", ".join(f"n_{kind} long" for kind in kinds) for kinds in (BASE, ADDED))
+    found = rows.mapInArrow(_report, f"doc_id long, {counts}, base_sha256 string, spans string, {more}")
+    return found.withColumn("n_spans", sum((F.col(f"n_{kind}") for kind in KINDS[1:]), F.col(f"n_{KINDS[0]}")))
 
 
-def _masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+@F.arrow_udf(StringType())
+def _masked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     automaton = anchors()
     for batch in batches:
         out = []
-        for text in batch.column(1).to_pylist():
+        for value in batch:
+            text = value.as_py()
             if text:
                 found = _scan(text, automaton)
                 spans = sorted((a, -b, kind) for kind in KINDS for a, b in found[kind])
@@ -189,12 +225,9 @@ def _masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     at = max(at, -b)
                 text = "".join(parts) + text[at:]
             out.append(text)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["row", "text"])
+        yield pa.array(out, pa.string())
 
 
 def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """The input's rows and columns; every span in the text becomes its kind in angle brackets."""
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_column).alias("text"))
-    kind = packed.schema["row"].dataType.simpleString()
-    masked = packed.mapInArrow(_masked, f"row {kind}, text string")
-    return masked.select(*[F.col("text" if c == text_column else f"row.`{c}`").alias(c) for c in docs.columns])
+    return docs.select(*[_masked(c).alias(n) if n == text_column else c for n, c in zip(docs.columns, named(*docs.columns), strict=True)])
