@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tapewright.llm.decontaminate import decontaminate
 from tapewright.llm.jaccard_join import near_dedup
-from tapewright.llm.mixing import mix
+from tapewright.llm.mixing import mixed
 from tapewright.llm.queries import REPETITION_LIMIT, tokenizer_path
 from tapewright.llm.token_files import token_report, write_tokens
 from tapewright.llm.toxicity import drop_toxic
@@ -35,7 +35,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once, those of small sources up to REPETITION_LIMIT times."""
-    return mix(docs, repetition_limit=REPETITION_LIMIT).select(*docs.columns)
+    return mixed(docs, repetition_limit=REPETITION_LIMIT)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

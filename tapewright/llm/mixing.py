@@ -16,7 +16,7 @@ Without a budget the smallest one is taken that has every row at least once: not
 Defined results: null sources and empty names are one source; null texts have no tokens; a row without
 tokens comes wherever it stands in a pass; a source without any token is passed once; rows that repeat
 an id are rows of their own (their order is that of their tokens); an empty table gives an empty one; input
-columns that are named like an added one give way to it.
+columns that are named like an added one come back as ``input_`` and their name; ``mixed`` leaves all names alone.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tapewright.llm.util import saved
+from tapewright.llm.util import named, packed, saved
 
 STEPS = 15  # exponents tried in one aggregation: four bisections
 TOLERANCE = 1e-12
@@ -113,6 +113,20 @@ def plan(
     )
 
 
+def _own_name(column: str, docs: DataFrame) -> str:
+    """What an input column is called in the result."""
+    name = column
+    while name in ADDED or (name != column and name in docs.columns):
+        name = f"input_{name}"
+    return name
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``mix`` with the input's columns alone."""
+    found = mix(docs, **options)
+    return found.select(*[named(_own_name(c, docs))[0].alias(c) for c in docs.columns])
+
+
 def mix(
     docs: DataFrame,
     source_column: str = "source",
@@ -128,17 +142,17 @@ def mix(
     Columns: those of the input, then mix_copy (the pass), mix_block, mix_tokens, mix_weight, and mix_order,
     by which the rows of a pass over a source are sorted.
     """
-    source = F.coalesce(F.col(source_column).cast("string"), F.lit(""))
-    key = F.coalesce(F.col(id_column).cast("string"), F.lit(""))
-    counted = docs.select(source.alias("mix_source"), token_count(F.col(text_column)).alias("mix_tokens"))
+    source, key, text = named(source_column, id_column, text_column)
+    source, key = (F.coalesce(c.cast("string"), F.lit("")) for c in (source, key))
+    counted = docs.select(source.alias("mix_source"), token_count(text).alias("mix_tokens"))
     sources = saved(plan(counted, repetition_limit, target_entropy, budget_tokens), "mix-plan")
-    packed = docs.select(
-        F.struct(*docs.columns).alias("row"),
+    whole = docs.select(
+        packed(docs).alias("row"),
         source.alias("mix_source"),
         key.alias("mix_key"),
-        token_count(F.col(text_column)).alias("mix_tokens"),
+        token_count(text).alias("mix_tokens"),
     )
-    placed = packed.join(sources, "mix_source").withColumn(
+    placed = whole.join(sources, "mix_source").withColumn(
         "mix_block", F.pmod(_number(F.concat(F.lit(f"{seed}:block:"), "mix_key")), F.col("mix_blocks"))
     )
 
@@ -160,5 +174,5 @@ def mix(
     rows = rows.withColumn("mix_copies", copies).where("mix_copies > 0")
     rows = rows.withColumn("mix_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mix_copies") - 1)))
     order = F.concat(block_order(F.col("mix_copy")), row_order(F.col("mix_copy")))
-    own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ADDED]
+    own = [F.col("row")[c].alias(_own_name(c, docs)) for c in docs.columns]
     return rows.select(*own, "mix_copy", "mix_block", "mix_tokens", "mix_weight", order.alias("mix_order"))

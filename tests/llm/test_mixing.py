@@ -2,8 +2,9 @@ import math
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
-from tapewright.llm.mixing import find_exponent, mix
+from tapewright.llm.mixing import find_exponent, mix, mixed
 
 
 def docs(spark):
@@ -54,3 +55,13 @@ def test_budget_is_kept_by_block_permutations(spark):
     assert sorted(map(str, rows)) == sorted(map(str, again))
     other = mix(d, target_entropy=0.9, budget_tokens=3000, seed=1).collect()
     assert {r["doc_id"] for r in other} != {r["doc_id"] for r in rows}
+
+
+def test_clashing_and_odd_names_and_long_texts(spark):
+    d = docs(spark).withColumns({"a.b`c": F.lit(1), "input_mix_copy": F.lit(1)})
+    rows = mix(d, repetition_limit=2.0)
+    assert {"input_input_mix_copy", "input_mix_copy", "a.b`c", "mix_copy"} <= set(rows.columns) and rows.where("input_input_mix_copy = 'clash'").count() == 300
+    same = mixed(d, repetition_limit=2.0)
+    assert same.columns == d.columns and same.where("mix_copy = 'clash'").count() == 300
+    long = spark.createDataFrame([Row(doc_id=1, source="s", text="w " * 500_000), Row(doc_id=2, source="t", text="w")])
+    assert {r["doc_id"]: r["mix_tokens"] for r in mix(long, repetition_limit=2.0).collect()} == {1: 500_000, 2: 1}
