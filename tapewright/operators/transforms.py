@@ -180,8 +180,12 @@ def filter_latest_date(df: DataFrame, date_column: str = "refdate") -> DataFrame
     return df.join(F.broadcast(latest), F.col(date_column) == F.col("__latest")).drop("__latest")
 
 
-def filter_date_range(df: DataFrame, date_column: str, start: Any, end: Any) -> DataFrame:
-    if start is not None and end is not None and str(start) > str(end):
+def filter_date_range(df: DataFrame, date_column: str, start: Any = None, end: Any = None) -> DataFrame:
+    """Rows from start to end; without them from 2000-01-01 to today."""
+    start = "2000-01-01" if start is None else start
+    if end is None:
+        return df.where(F.col(date_column).between(F.lit(start).cast("date"), F.current_date()))
+    if str(start) > str(end):
         raise ValueError(f"start {start} is after end {end}")
     return df.where(F.col(date_column).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 

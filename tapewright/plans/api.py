@@ -70,26 +70,41 @@ def get_prices(prices: DataFrame, symbols: str | Sequence[str], start: Any = Non
 SYMBOL_KINDS = {
     "etf": ("listed_funds", "fund_type = 'ETF'", "symbol"),
     "fii": ("listed_funds", "fund_type = 'FII'", "symbol"),
+    "fixed-income-etf": ("listed_funds", "fund_type = 'Fixed Income ETF'", "symbol"),
+    "fietf": ("listed_funds", "fund_type = 'Fixed Income ETF'", "symbol"),
     "index": ("indexes", "true", "symbol"),
     "company": ("companies", "true", "trading_name"),
+    "company-name": ("instrument_assets", "true", "instrument_asset"),
+    "company-trading-name": ("companies", "true", "trading_name"),
+    "company-cvm-code": ("companies", "true", "code_cvm"),
     "sector": ("industry_sectors", "true", "sector"),
+    "industry-sector": ("industry_sectors", "true", "sector"),
+    "industry-subsector": ("industry_sectors", "true", "subsector"),
+    "industry-segment": ("industry_sectors", "true", "segment"),
     "equity": ("spot_market", "true", "symbol"),
 }
 
 
-def get_symbols(datasets: Mapping[str, DataFrame], kind: str, sector: str | None = None, index: str | None = None) -> DataFrame:
-    """(symbol) sorted; an unknown kind or an absent dataset gives none. Equities by sector or index, too."""
-    name, condition, column = SYMBOL_KINDS.get(kind, ("", "", ""))
+def get_symbols(
+    datasets: Mapping[str, DataFrame], kind: str, sector: str | None = None, index: str | None = None, end_month: int | None = None
+) -> DataFrame:
+    """(symbol) sorted; an unknown kind or an absent dataset gives none.
+
+    Equities by sector or index, too; of an index the members of its last date, or of the last one with that ``end_month``.
+    """
+    name, condition, column = SYMBOL_KINDS.get(kind.lower(), ("", "", ""))
     if name not in datasets:
         some = next(iter(datasets.values()))
         return some.sparkSession.createDataFrame([], "symbol string")
     df = datasets[name].where(condition)
     df = filter_latest_date(df) if "refdate" in df.columns else df
-    df = df.select(F.col(column).alias("symbol"))
+    df = df.select(F.col(column).cast("string").alias("symbol"))
     if sector is not None:
         df = df.join(datasets["companies"].where(F.col("sector") == sector).select("symbol"), "symbol", "left_semi")
     if index is not None:
-        members = filter_latest_date(datasets["index_members"]).where(F.col("index") == index)
+        members = datasets["index_members"]
+        members = members if end_month is None else members.where(F.col("end_month") == end_month)
+        members = filter_latest_date(members).where(F.col("index") == index)
         df = df.join(members.select("symbol"), "symbol", "left_semi")
     return df.where("symbol is not null").distinct().orderBy("symbol")
 
@@ -98,8 +113,9 @@ def get_industry_sectors(companies: DataFrame, columns: Sequence[str] = ("sector
     return companies.select(*columns).distinct().orderBy(*columns)
 
 
-def describe_datasets(datasets: Mapping[str, DataFrame]) -> DataFrame:
-    """(dataset, column, type) of every dataset."""
-    rows = [(name, f.name, f.dataType.simpleString()) for name, df in datasets.items() for f in df.schema]
+def describe_datasets(datasets: Mapping[str, DataFrame], partitions: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """(dataset, column, type) of every dataset; with ``partitions`` also whether the column is one of its partition columns."""
     spark = next(iter(datasets.values())).sparkSession
-    return spark.createDataFrame(rows, "dataset string, column string, type string")
+    rows = [(name, f.name, f.dataType.simpleString(), f.name in (partitions or {}).get(name, ())) for name, df in datasets.items() for f in df.schema]
+    found = spark.createDataFrame(rows, "dataset string, column string, type string, is_partition boolean")
+    return found if partitions is not None else found.drop("is_partition")

@@ -170,12 +170,11 @@ def read_json(spark, d):
     """Whole-file JSON with the rows in an array beside a constant of the file."""
     path = scratch(spark, "json")
     e = table(spark, d, "events").withColumn("p", F.from_json("props", "k long"))
-    rows = e.select(F.struct("event_id", "user_id", F.col("p.k").alias("k")).alias("r"), F.pmod("event_id", F.lit(64)).alias("g"))
+    rows = e.select(F.struct("event_id", "user_id", F.col("p.k").alias("k")).alias("r"), F.floor(F.col("event_id") / 5000).alias("g"))
     files = rows.groupBy("g").agg(F.collect_list("r").alias("rows")).select(F.struct(F.struct(F.lit("events").alias("source")).alias("header"), "rows").alias("doc"))
-    files.select("doc.*").write.json(path)
+    files.select("doc.*").write.option("maxRecordsPerFile", 1).json(path)  # one document a file
     schema = "header struct<source string>, rows array<struct<event_id long, user_id long, k long>>"
-    found = spark.read.schema(schema).json(path)
-    return found.select(F.col("header.source").alias("source"), F.inline("rows"))
+    return readers.read_json(spark, path, "rows", {"source": "header.source"}, schema)
 
 
 @query("SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
@@ -246,16 +245,17 @@ def drop_cross_day_rows(spark, d):
     return readers.drop_cross_day_rows(met, "day", "message_day", "user_id").select("event_id", "user_id")
 
 
-@query("""SELECT n_name, r_name, DATE '2024-01-02' AS trade_date FROM nation JOIN region ON n_regionkey = r_regionkey""")
+@query("""SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS refdate, o_orderkey AS id, o_orderstatus AS symbol FROM orders""")
 def read_xml_indexes(spark, d):
-    """Rows of one element with the header date of the message beside them."""
+    """A message per month of orders, each with its own date."""
     path = scratch(spark, "indexes")
-    rows = table(spark, d, "nation").join(F.broadcast(table(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
-    one = F.format_string("<IndxInf><N>%s</N><R>%s</R></IndxInf>", "n_name", "r_name")
-    rows.agg(F.concat(F.lit("<Doc><TradDt>2024-01-02</TradDt>"), F.concat_ws("", F.collect_list(one)), F.lit("</Doc>")).alias("value")).write.text(path)
-    header = readers.xml_rows(spark, path, "Doc", "TradDt string").select(F.to_date("TradDt").alias("trade_date"))
-    body = readers.read_xml(spark, path, "IndxInf", [Field("n_name", tag="N"), Field("r_name", tag="R")], "N string, R string")
-    return body.crossJoin(F.broadcast(header.limit(1)))
+    one = F.format_string("<IndxInf><Id>%d</Id><TckrSymb>%s</TckrSymb></IndxInf>", "o_orderkey", "o_orderstatus")
+    months = table(spark, d, "orders").groupBy(F.trunc("o_orderdate", "month").alias("first")).agg(F.concat_ws("", F.collect_list(one)).alias("rows"))
+    head_text = F.concat(F.lit("<Doc><TradDt><Dt>"), F.col("first").cast("string"), F.lit("</Dt></TradDt>"))
+    messages = months.select(F.concat(head_text, "rows", F.lit("</Doc>")).alias("value"))
+    messages.write.option("maxRecordsPerFile", 1).text(path)  # one message a file
+    fields = [Field("id", "integer", tag="Id"), Field("symbol", tag="TckrSymb")]
+    return readers.read_xml_indexes(spark, path, {"IndxInf": fields}, {"IndxInf": "Id string, TckrSymb string"})["IndxInf"]
 
 
 @query("SELECT page_id, regexp_extract(html, '<html\\b[^>]*\\blang=\"([^\"]*)\"', 1) AS lang FROM pages")

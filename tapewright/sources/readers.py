@@ -32,11 +32,16 @@ def _numbered(spark: SparkSession, path: str, encoding: str) -> DataFrame:
     return reader.text(path).select("value", *meta, F.monotonically_increasing_id().alias("at"))
 
 
+def _by_file(rows: DataFrame, of_files: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows with what is known of their file: a row a file, broadcast while the files are few enough."""
+    few = len(rows.inputFiles()) <= FILES_BROADCAST
+    return rows.join(F.broadcast(of_files) if few else of_files, "file", how)
+
+
 def _with_start(lines: DataFrame) -> DataFrame:
     """Adds ``first``, the order of the file's first line: the least one of the block that starts the file."""
     starts = lines.where("block = 0").groupBy("file").agg(F.min("at").alias("first"))
-    few = len(lines.inputFiles()) <= FILES_BROADCAST
-    return lines.join(F.broadcast(starts) if few else starts, "file")
+    return _by_file(lines, starts)
 
 
 def _after_first(lines: DataFrame, skip: int, skip_if_startswith: str | None = None) -> DataFrame:
@@ -110,7 +115,7 @@ def read_fwf_multi(
     heads = lines.where(F.col("value").startswith(header_code))
     date = F.try_to_timestamp(F.substring("value", refdate_start, refdate_width), F.lit("yyyyMMdd")).cast("date")
     dates = heads.groupBy("file").agg(F.min(date).alias("refdate"))
-    met = lines.join(F.broadcast(dates), "file", "left")
+    met = _by_file(lines, dates, "left")
     out = {}
     for code, fields in datasets.items():
         rows = met.where(F.col("value").startswith(code)).withColumn("value", F.substring("value", 3, 1 << 20))
@@ -158,10 +163,39 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, fields: Sequence[Fiel
     return apply_fields(df.select(*[_xml_value(df, f).alias(f.name) for f in fields]), fields)
 
 
-def xml_rows(spark: SparkSession, path: str, row_tag: str, schema: Any = None) -> DataFrame:
+def xml_rows(spark: SparkSession, path: str, row_tag: str, schema: Any = None, with_file: bool = False) -> DataFrame:
+    """One row per element of that name; ``with_file`` adds the file it is in."""
     reader = spark.read.format("xml").option("rowTag", row_tag).option("inferSchema", "false").option("ignoreNamespace", "true")
     reader = reader.option("mode", "DROPMALFORMED")
-    return (reader.schema(schema) if schema is not None else reader).load(path)
+    found = (reader.schema(schema) if schema is not None else reader).load(path)
+    return found.select("*", F.col("_metadata.file_path").alias("file")) if with_file else found
+
+
+def _message_values(spark: SparkSession, path: str, tag: str, child: str, name: str) -> DataFrame:
+    """(file, value) of a child of the element that each message has once."""
+    rows = xml_rows(spark, path, tag, f"`{child}` string", with_file=True)
+    return rows.groupBy("file").agg(F.max(F.trim(child)).alias(name))
+
+
+def read_xml_indexes(
+    spark: SparkSession,
+    path: str,
+    datasets: Mapping[str, Sequence[Field]],
+    schemas: Mapping[str, Any] | None = None,
+    date_tag: str = "TradDt",
+    date_child: str = "Dt",
+) -> dict[str, DataFrame]:
+    """Tables of index messages by their element (``datasets``: element -> fields); every row has its own message's date
+    as refdate. A message without a date is an error when its rows are read."""
+    dates = _message_values(spark, path, date_tag, date_child, "__date")
+    out = {}
+    for tag, fields in datasets.items():
+        df = xml_rows(spark, path, tag, (schemas or {}).get(tag), with_file=True)
+        met = _by_file(df, dates, "left")
+        missing = F.raise_error(F.concat(F.lit(f"{date_tag} not found in "), "file"))
+        date = F.coalesce(F.to_date("__date"), missing.cast("date"))
+        out[tag] = apply_fields(met.select(date.alias("refdate"), *[_xml_value(df, f).alias(f.name) for f in fields]), fields)
+    return out
 
 
 def _xml_value(df: DataFrame, f: Field) -> Column:
@@ -177,21 +211,31 @@ def _xml_value(df: DataFrame, f: Field) -> Column:
 
 
 def read_xml_instruments(
-    spark: SparkSession, path: str, datasets: Mapping[str, Sequence[Field]], row_tag: str = "Instrm", info: str = "InstrmInf", schema: Any = None
-) -> dict[str, DataFrame]:
-    """One scan; an instrument belongs to the dataset of the child that its ``info`` element has."""
-    df = xml_rows(spark, path, row_tag, schema)
+    spark: SparkSession, path: str, datasets: Mapping[str, Sequence[Field]], row_tag: str = "Instrm", info: str = "InstrmInf",
+    schema: Any = None, header_tag: str | None = None, created: str = "CreDtAndTm",
+) -> dict[str, DataFrame]:
+    """One scan; an instrument belongs to the dataset of the child that its ``info`` element has.
+
+    With ``header_tag`` (the element of a message that holds its creation time) every row has that as creation_date.
+    """
+    df = xml_rows(spark, path, row_tag, schema, with_file=header_tag is not None)
+    more = []
+    if header_tag:
+        df = _by_file(df, _message_values(spark, path, header_tag, created, "creation_date"), "left")
+        more = ["creation_date"]
     known = df.schema[info].dataType.names if info in df.columns else []
     out = {}
     for tag, fields in datasets.items():
         rows = df.where(F.col(info)[tag].isNotNull()) if tag in known else df.limit(0)
-        out[tag] = apply_fields(rows.select(*[_xml_value(df, f).alias(f.name) for f in fields]), fields)
+        out[tag] = apply_fields(rows.select(*more, *[_xml_value(df, f).alias(f.name) for f in fields]), fields)
     return out
 
 
 def latest_message(df: DataFrame, day_column: str, created_column: str, message_column: str) -> DataFrame:
-    """Rows of each day's last message only; messages without a creation time do not count."""
+    """Rows of each day's last message only; messages without a creation time do not count, and no usable one is an error."""
     known = df.where(F.col(created_column).isNotNull())
+    if known.isEmpty():
+        raise ValueError("no message with a creation time")
     last = known.groupBy(day_column).agg(F.max(F.struct(created_column, message_column)).alias("__last"))
     met = known.join(last, day_column)
     return met.where(F.col(message_column) == F.col("__last")[message_column]).drop("__last")

@@ -164,3 +164,47 @@ def test_batches_of_one_partition_can_be_kept(spark, tmp_path):
         ingest.ingest_new_files(spark, str(source), parse, str(tmp_path / "out"), ["refdate"], str(tmp_path / "check"), replace=False)
     got = spark.read.parquet(str(tmp_path / "out")).select("refdate", "symbol").collect()
     assert sorted(tuple(r) for r in got) == [("d1", "A"), ("d1", "B"), ("d1", "D"), ("d2", "C")]
+
+
+def test_index_messages_have_their_own_dates(spark, tmp_path):
+    for k, date in enumerate(("2024-01-02", "2024-01-03")):
+        rows = "".join(f"<IndxInf><T>A{k}{j}</T></IndxInf>" for j in range(2)) + f"<BDRInf><T>B{k}</T></BDRInf>"
+        (tmp_path / f"{k}.xml").write_text(f"<Doc><BizGrp><TradDt><Dt>{date}</Dt></TradDt>{rows}</BizGrp></Doc>")
+    fields = [Field("symbol", tag="T")]
+    got = readers.read_xml_indexes(spark, str(tmp_path), {"IndxInf": fields, "BDRInf": fields}, {"IndxInf": "T string", "BDRInf": "T string"})
+    assert sorted((str(r["refdate"]), r["symbol"]) for r in got["IndxInf"].collect()) == [
+        ("2024-01-02", "A00"), ("2024-01-02", "A01"), ("2024-01-03", "A10"), ("2024-01-03", "A11")
+    ]
+    assert sorted((str(r["refdate"]), r["symbol"]) for r in got["BDRInf"].collect()) == [("2024-01-02", "B0"), ("2024-01-03", "B1")]
+    (tmp_path / "2.xml").write_text("<Doc><IndxInf><T>C</T></IndxInf></Doc>")
+    with pytest.raises(Exception, match="TradDt not found"):
+        readers.read_xml_indexes(spark, str(tmp_path), {"IndxInf": fields}, {"IndxInf": "T string"})["IndxInf"].collect()
+
+
+def test_instruments_have_the_creation_time_of_their_message(spark, tmp_path):
+    for k in range(2):
+        body = f"<Instrm><InstrmInf><E><S>X{k}</S></E></InstrmInf></Instrm>"
+        (tmp_path / f"{k}.xml").write_text(f"<Doc><Hdr><CreDtAndTm>2024-01-0{k + 1}T10:00:00</CreDtAndTm></Hdr>{body}</Doc>")
+    fields = [Field("symbol", tag="InstrmInf/E/S")]
+    got = readers.read_xml_instruments(spark, str(tmp_path), {"E": fields}, schema="InstrmInf struct<E struct<S string>>", header_tag="Hdr")["E"]
+    assert sorted(tuple(r) for r in got.collect()) == [("2024-01-01T10:00:00", "X0"), ("2024-01-02T10:00:00", "X1")]
+    none = got.withColumn("day", F.lit(None).cast("date")).withColumn("creation_date", F.lit(None).cast("string"))
+    with pytest.raises(ValueError):
+        readers.latest_message(none, "day", "creation_date", "symbol")
+
+
+def test_partition_columns_and_kinds(spark):
+    from tapewright.operators.transforms import filter_date_range
+    from tapewright.plans import api
+
+    df = spark.createDataFrame([("A", "x", "1", 3)], "symbol string, trading_name string, code_cvm string, end_month int")
+    found = api.describe_datasets({"companies": df}, {"companies": ["symbol"]}).collect()
+    assert [(r["column"], r["is_partition"]) for r in found] == [("symbol", True), ("trading_name", False), ("code_cvm", False), ("end_month", False)]
+    assert [r["symbol"] for r in api.get_symbols({"companies": df}, "company-cvm-code").collect()] == ["1"]
+    funds = spark.createDataFrame([(D(2024, 1, 1), "ETF", "A"), (D(2024, 1, 2), "Fixed Income ETF", "B")], "refdate date, fund_type string, symbol string")
+    assert [r["symbol"] for r in api.get_symbols({"listed_funds": funds}, "FIETF").collect()] == ["B"]
+    dates = spark.createDataFrame([(D(1999, 1, 1),), (D(2005, 1, 1),), (D(2999, 1, 1),)], "refdate date")
+    assert [r["refdate"] for r in filter_date_range(dates, "refdate").collect()] == [D(2005, 1, 1)]
+    assert filter_date_range(dates, "refdate", end="2004-01-01").count() == 0
+    with pytest.raises(ValueError):
+        filter_date_range(dates, "refdate", "2005-01-01", "2004-01-01")
