@@ -67,20 +67,21 @@ def maturity_to_date(spark, d):
 # ---- rates
 
 
-@query("""WITH o AS (SELECT o_orderkey, o_totalprice / 10 AS p, o_custkey % 300 AS n FROM orders)
-    SELECT o_orderkey, round((100000 / nullif(p, 0) - 1) * 360 / nullif(n, 0), 6) AS simple, round(pow(100000 / nullif(p, 0), 252.0 / nullif(n, 0)) - 1, 4) AS discrete FROM o WHERE p BETWEEN 20000 AND 100000 AND n > 200""")
+@query("""WITH o AS (SELECT o_orderkey, 20000 + o_totalprice / 10 AS p, o_custkey % 300 AS n FROM orders)
+    SELECT o_orderkey, round((100000 / nullif(p, 0) - 1) * 360 / nullif(n, 0), 6) AS simple, round(ln(pow(100000 / nullif(p, 0), 252.0 / nullif(n, 0))), 6) AS log_discrete FROM o""")
 def implied_rate(spark, d):
-    o = table(spark, d, "orders").select("o_orderkey", (F.col("o_totalprice") / 10).alias("p"), (F.col("o_custkey") % 300).alias("n")).where("p between 20000 and 100000 and n > 200")
+    """The discrete rate spans many powers of ten, so its logarithm is compared."""
+    o = table(spark, d, "orders").select("o_orderkey", (F.col("o_totalprice") / 10 + 20000).alias("p"), (F.col("o_custkey") % 300).alias("n"))
     o = R.implied_rate(o, "p", "simple", "n")
     o = R.implied_rate(o, "p", "discrete", "n", "discrete")
-    return o.select("o_orderkey", six("simple"), F.round("discrete", 4).alias("discrete"))
+    return o.select("o_orderkey", six("simple"), F.round(F.log(F.col("discrete") + 1), 6).alias("log_discrete"))
 
 
-@query("""WITH o AS (SELECT o_orderkey, o_orderstatus AS product, CASE WHEN o_custkey % 11 = 0 THEN 0 ELSE o_totalprice / 10 END AS p, o_custkey % 200 + 100 AS du FROM orders WHERE o_totalprice > 300000)
+@query("""WITH o AS (SELECT o_orderkey, o_orderstatus AS product, CASE WHEN o_custkey % 11 = 0 THEN 0 ELSE o_totalprice / 10 END AS p, o_custkey % 200 + 100 AS du FROM orders)
     SELECT o_orderkey, CASE WHEN product = 'F' THEN round(pow(100000 / CASE WHEN p > 0 THEN p END, 252.0 / du) - 1, 5)
         WHEN product = 'O' THEN round((100000 / CASE WHEN p > 0 THEN p END - 1) * 360 / (du * 3 // 2), 5) END AS rate FROM o""")
 def rate_from_settlement(spark, d):
-    o = table(spark, d, "orders").where("o_totalprice > 300000")
+    o = table(spark, d, "orders")
     price = F.when(F.col("o_custkey") % 11 == 0, 0.0).otherwise(F.col("o_totalprice") / 10)
     du = F.col("o_custkey") % 200 + 100
     return o.select("o_orderkey", R.rate_from_settlement(F.col("o_orderstatus"), price, du, F.expr("(o_custkey % 200 + 100) * 3 div 2"), ["F"], ["O"]).alias("rate"))
@@ -326,11 +327,12 @@ def dq_coverage(spark, d):
     return Q.dq_coverage(events(spark, d), cal24(spark), group_column="user_id")
 
 
-@query(f"""WITH {_CAL_ALL}, o AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_custkey % 50 = 0), x AS (SELECT * FROM o WHERE d >= (SELECT max(d) FROM o) - 365)
+@query(f"""WITH {_CAL_ALL}, o AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus = 'P'), x AS (SELECT * FROM o WHERE d >= (SELECT max(d) FROM o) - 365)
     SELECT {_F.format(rule='date_gaps')}, '*' AS series, CAST(cal_date AS VARCHAR) AS detail, CAST(1 AS BIGINT) AS count FROM cal
     WHERE is_bizday AND cal_date BETWEEN (SELECT min(d) FROM x) AND (SELECT max(d) FROM x) AND cal_date NOT IN (SELECT d FROM x) AND (SELECT count(*) FROM x) > 1""")
 def dq_date_gaps(spark, d):
-    return Q.dq_date_gaps(table(spark, d, "orders").where("o_custkey % 50 = 0"), cal_all(spark), "o_orderdate", 365)
+    """Business days of the last year without an order that is in part filled."""
+    return Q.dq_date_gaps(table(spark, d, "orders").where("o_orderstatus = 'P'"), cal_all(spark), "o_orderdate", 365)
 
 
 @query(f"""WITH x AS (SELECT count(*) AS n, min(l_quantity) AS lo, max(l_quantity) AS hi FROM lineitem WHERE l_quantity < 3 OR l_quantity > 45)
