@@ -46,21 +46,11 @@ MAX_LEVEL = 8
 SCAN_COST, CHECK_COST = 1.0, 20.0
 ROUNDS = 1
 _SLICE = 2_000_000  # shingles held at once
+SEEN = 100_000  # classes that a task knows at once to pass over repeats
 
 _C2, _C3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-_hashes = _WordHashes()
-
-
 def words_of(text: str | None) -> list[bytes]:
     """Lower-cased (A-Z only) words between blanks, tabs and line ends."""
     return (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
@@ -77,7 +67,7 @@ def shingles(words: list[bytes], k: int) -> np.ndarray:
     """Sorted distinct hashes of all runs of k words."""
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     width = min(k, len(h))
     count = len(h) - width + 1
     z = np.full(count, width, np.uint64)
@@ -140,7 +130,7 @@ def _sets(k: int):
                 words = words_of(text)
                 name = class_of(words)
                 if name not in seen:
-                    if len(seen) > 500_000:
+                    if len(seen) > SEEN:
                         seen.clear()
                     tokens = shingles(words, k)
                     seen[name] = len(tokens)
@@ -184,7 +174,7 @@ def _prefixes(k: int, percent: int, frequent: Broadcast):
                 name = class_of(words)
                 if not words or name in seen:
                     continue
-                if len(seen) > 500_000:
+                if len(seen) > SEEN:
                     seen.clear()
                 seen.add(name)
                 tokens = shingles(words, k)
@@ -220,7 +210,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words = words_of(text)
                 name = class_of(words)
                 if words and name not in seen:
-                    if len(seen) > 500_000:
+                    if len(seen) > SEEN:
                         seen.clear()
                     seen.add(name)
                     names.append(name)
