@@ -152,3 +152,169 @@ def ds_curves_di1(spark, d):
     n = o.select("refdate", F.lit("RT").alias("indicator_group"), F.lit("DI1").alias("symbol"), F.lit(11.65).alias("value"))
     found = DS.DATASETS["curves_di1"]({"futures": f, "economic_indicators": n}, calendar=cal_all(spark))
     return found.select("refdate", "symbol", "adjusted_tax", "maturity_date", "business_days")
+
+
+# ---- companies and equities; each SQL is written from the published rules of its dataset
+
+_REGISTER_SQL = """reg AS (SELECT CAST(o_orderdate AS DATE) AS refdate, 'S' || o_custkey AS symbol, CASE o_custkey % 9 WHEN 0 THEN 'TAXA' ELSE 'A' || o_custkey % 97 END AS instrument_asset,
+        CASE WHEN o_custkey % 13 = 0 THEN 'Ativo Teste ON' WHEN o_custkey % 17 = 0 THEN 'XX' WHEN o_custkey % 19 = 0 THEN NULL ELSE 'Corp ' || o_custkey END AS corporation_name,
+        CASE WHEN o_orderstatus = 'P' THEN 20 ELSE 10 END AS instrument_market, CASE WHEN o_orderpriority = '5-LOW' THEN 2 ELSE 1 END AS instrument_segment,
+        o_custkey % 23 AS security_category, CASE WHEN o_orderkey % 11 = 0 THEN DATE '9999-12-31' ELSE CAST(o_orderdate AS DATE) END AS trading_start_date, o_orderkey FROM orders)"""
+
+
+def register(spark, d):
+    o, key = table(spark, d, "orders"), F.col("o_custkey")
+    never, refdate = F.lit("9999-12-31").cast("date"), F.to_date("o_orderdate")
+    named = F.when(key % 13 == 0, "Ativo Teste ON").when(key % 17 == 0, "XX").when(key % 19 == 0, None).otherwise(F.concat(F.lit("Corp "), key.cast("string")))
+    return o.select(
+        refdate.alias("refdate"), F.concat(F.lit("S"), key.cast("string")).alias("symbol"),
+        F.when(key % 9 == 0, "TAXA").otherwise(F.concat(F.lit("A"), (key % 97).cast("string"))).alias("instrument_asset"),
+        named.alias("corporation_name"), F.when(F.col("o_orderstatus") == "P", 20).otherwise(10).alias("instrument_market"),
+        F.when(F.col("o_orderpriority") == "5-LOW", 2).otherwise(1).alias("instrument_segment"), (key % 23).alias("security_category"),
+        F.when(F.col("o_orderkey") % 11 == 0, never).otherwise(refdate).alias("trading_start_date"), "o_orderkey",
+    )
+
+
+_SPOT_SQL = """spot AS (SELECT * FROM reg WHERE instrument_market = 10 AND instrument_segment = 1 AND instrument_asset <> 'TAXA' AND trading_start_date <> DATE '9999-12-31'
+        AND security_category IN (1, 11, 6, 21, 3, 13) AND corporation_name NOT ILIKE '%TESTE%' AND corporation_name <> 'XX')"""
+
+
+@query(f"WITH {_REGISTER_SQL}, {_SPOT_SQL} SELECT refdate, symbol, instrument_asset, corporation_name, o_orderkey FROM spot")
+def ds_equities_spot_market(spark, d):
+    found = DS.DATASETS["equities_spot_market"]({"instruments_equities": register(spark, d)})
+    return found.select("refdate", "symbol", "instrument_asset", "corporation_name", "o_orderkey")
+
+
+@query(f"""WITH {_REGISTER_SQL} SELECT instrument_asset, max(refdate) AS refdate FROM reg WHERE security_category IN (11, 13) AND instrument_market = 10 AND instrument_segment = 1
+    AND instrument_asset <> 'TAXA' AND trading_start_date <> DATE '9999-12-31' GROUP BY 1""")
+def ds_equities_instrument_assets(spark, d):
+    return DS.DATASETS["equities_instrument_assets"]({"instruments_equities": register(spark, d)})
+
+
+_NAMES_SQL = """info AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS refdate, CASE WHEN o_custkey % 10 = 0 THEN '0' ELSE CAST(o_custkey AS VARCHAR) END AS codeCVM,
+        ' ' || o_orderstatus || ' ' AS tradingName, 'I' || o_custkey % 83 AS issuingCompany FROM orders),
+    names AS (SELECT refdate, codeCVM AS code_cvm, trim(tradingName) AS trading_name, issuingCompany AS instrument_asset FROM info WHERE codeCVM <> '0'
+        QUALIFY row_number() OVER (PARTITION BY codeCVM, tradingName, issuingCompany ORDER BY refdate DESC) = 1)"""
+
+
+def company_info(spark, d):
+    key = F.col("o_custkey")
+    return table(spark, d, "orders").select(
+        F.to_date("o_orderdate").alias("refdate"), F.when(key % 10 == 0, "0").otherwise(key.cast("string")).alias("codeCVM"),
+        F.concat(F.lit(" "), "o_orderstatus", F.lit(" ")).alias("tradingName"), F.concat(F.lit("I"), (key % 83).cast("string")).alias("issuingCompany"),
+    )
+
+
+@query(f"WITH {_NAMES_SQL} SELECT refdate, code_cvm, trading_name, instrument_asset FROM names")
+def ds_companies_names(spark, d):
+    return DS.DATASETS["companies_names"]({"company_info": company_info(spark, d)})
+
+
+@query("""WITH raw AS (SELECT DISTINCT 'I' || l_suppkey % 83 AS issuingCompany, CASE WHEN l_linenumber % 2 = 0 THEN '' ELSE 'BRA' || lpad(CAST(l_partkey % 300 AS VARCHAR), 3, '0') || 'ACNOR1' END AS assetIssued,
+        'BRB' || lpad(CAST(l_partkey % 300 AS VARCHAR), 3, '0') || CASE l_linenumber % 3 WHEN 0 THEN 'ACNPA1' WHEN 1 THEN 'ACNPR2' ELSE 'UNT0R1' END AS isinCode, l_returnflag AS label, l_tax AS factor,
+        CAST(date_trunc('year', l_shipdate) AS DATE) AS approvedOn, CAST(date_trunc('month', l_shipdate) AS DATE) AS lastDatePrior, CAST(l_shipdate AS DATE) AS refdate FROM lineitem),
+    dedup AS (SELECT *, coalesce(nullif(assetIssued, ''), isinCode) AS asset FROM raw
+        QUALIFY row_number() OVER (PARTITION BY issuingCompany, coalesce(nullif(assetIssued, ''), isinCode), label, lastDatePrior, approvedOn, factor ORDER BY refdate DESC, isinCode) = 1),
+    names AS (SELECT 'I' || s_suppkey % 83 AS issuing_company, CAST(max(s_suppkey) AS VARCHAR) AS code_cvm FROM supplier WHERE s_suppkey % 83 < 60 GROUP BY 1),
+    symbols AS (SELECT DISTINCT 'BRB' || lpad(CAST(p_partkey % 300 AS VARCHAR), 3, '0') || 'ACNPR2' AS isin, 'T' || p_partkey % 300 AS symbol FROM part)
+    SELECT code_cvm, issuingCompany AS issuing_company, symbol, asset AS asset_isin, CASE WHEN substr(asset, 10, 2) = 'OR' THEN 'ON' WHEN substr(asset, 10, 1) = 'P' THEN 'PN' ELSE 'UNT' END AS share_class,
+        label AS event_type_raw, factor, approvedOn AS approved_on, lastDatePrior AS ex_date, isinCode AS isin
+    FROM dedup LEFT JOIN names ON issuingCompany = issuing_company LEFT JOIN symbols ON asset = symbols.isin""")
+def ds_stock_events(spark, d):
+    def three(column):
+        return F.lpad((F.col(column) % 300).cast("string"), 3, "0")
+
+    line = F.col("l_linenumber")
+    kind = F.when(line % 3 == 0, "ACNPA1").when(line % 3 == 1, "ACNPR2").otherwise("UNT0R1")
+    events = table(spark, d, "lineitem").select(
+        F.concat(F.lit("I"), (F.col("l_suppkey") % 83).cast("string")).alias("issuingCompany"),
+        F.when(line % 2 == 0, "").otherwise(F.concat(F.lit("BRA"), three("l_partkey"), F.lit("ACNOR1"))).alias("assetIssued"),
+        F.concat(F.lit("BRB"), three("l_partkey"), kind).alias("isinCode"), F.col("l_returnflag").alias("label"), F.col("l_tax").alias("factor"),
+        F.trunc("l_shipdate", "year").alias("approvedOn"), F.trunc("l_shipdate", "month").alias("lastDatePrior"), F.to_date("l_shipdate").alias("refdate"),
+    )
+    suppliers = table(spark, d, "supplier").where("s_suppkey % 83 < 60")
+    names = suppliers.select(
+        F.concat(F.lit("I"), (F.col("s_suppkey") % 83).cast("string")).alias("instrument_asset"), F.col("s_suppkey").alias("code_cvm"),
+        F.date_add(F.lit("2024-01-01").cast("date"), F.col("s_suppkey").cast("int")).alias("refdate"), F.lit("x").alias("trading_name"),
+    )
+    part = table(spark, d, "part")
+    symbols = part.select(F.concat(F.lit("BRB"), three("p_partkey"), F.lit("ACNPR2")).alias("isin"), F.concat(F.lit("T"), (F.col("p_partkey") % 300).cast("string")).alias("symbol"))
+    return DS.DATASETS["stock_events"]({"stock_dividends": events, "companies_names": names, "companies_symbols": symbols})
+
+
+@query(f"""WITH {_REGISTER_SQL}, {_SPOT_SQL}, sym AS (SELECT DISTINCT symbol FROM spot WHERE security_category IN (1, 11, 13)),
+    daily AS (SELECT CAST(o_orderdate AS DATE) AS refdate, 'S' || o_custkey AS symbol, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice / 10000 - 20 END AS osc, o_orderkey FROM orders),
+    cot AS (SELECT 'S' || o_custkey AS symbol, min(o_totalprice) AS c0, max(o_totalprice) AS c1, count(*) AS n FROM orders GROUP BY 1),
+    bul AS (SELECT 'S' || o_custkey AS symbol, o_totalprice / 100000 AS mag, CASE o_orderstatus WHEN 'F' THEN '-' WHEN 'O' THEN '+' ELSE '/' END AS sign, CASE WHEN o_orderpriority = '1-URGENT' THEN 3 ELSE 2 END AS bdi FROM orders),
+    u AS (SELECT DATE '2021-06-10' AS refdate, symbol, c1 / c0 - 1 AS p FROM cot JOIN sym USING (symbol) WHERE n % 2 = 0
+        UNION ALL SELECT refdate, symbol, coalesce(osc, 0) / 100 FROM daily JOIN sym USING (symbol)
+        UNION ALL SELECT DATE '2016-02-29', symbol, CASE WHEN sign = '-' THEN -1 ELSE 1 END * mag / 100 FROM bul JOIN sym USING (symbol) WHERE bdi = 2 AND sign IN ('+', '-', '='))
+    SELECT refdate, symbol, round(p, 6) AS pct_return, round(ln(1 + p), 6) AS log_return FROM u""")
+def ds_equities_returns(spark, d):
+    """Oscillations of all orders; the two gap days from pairs of prices and from signed bulletins."""
+    spot = DS.DATASETS["equities_spot_market"]({"instruments_equities": register(spark, d)})
+    o = table(spark, d, "orders").withColumn("symbol", F.concat(F.lit("S"), F.col("o_custkey").cast("string")))
+    daily = o.select(F.to_date("o_orderdate").alias("refdate"), "symbol", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice") / 10000 - 20).alias("oscillation"))
+    sums = o.groupBy("symbol").agg(F.min("o_totalprice").alias("c0"), F.max("o_totalprice").alias("c1"), F.count("*").alias("n"))
+    days = (("2021-06-09", "c0", F.lit(0).cast("long")), ("2021-06-10", "c1", F.col("n") % 2))
+    parts = [sums.select(F.lit(day).cast("date").alias("refdate"), "symbol", F.col(c).alias("close"), moved.alias("distribution_id")) for day, c, moved in days]
+    sign = F.when(F.col("o_orderstatus") == "F", "-").when(F.col("o_orderstatus") == "O", "+").otherwise("/")
+    bulletin = o.select(
+        F.lit("2016-02-29").cast("date").alias("refdate"), F.col("symbol").alias("cod_negociacao"), (F.col("o_totalprice") / 100000).alias("oscilacao_preco"),
+        sign.alias("sinal_oscilacao_preco"), F.when(F.col("o_orderpriority") == "1-URGENT", 3).otherwise(2).alias("cod_bdi"), F.lit(1.0).alias("preco_ult"),
+    )
+    found = DS.DATASETS["equities_returns"](
+        {"equities_spot_market": spot, "price_reports": daily, "cotahist": parts[0].unionByName(parts[1]), "bulletin_stocks": bulletin}
+    )
+    return found.select("refdate", "symbol", six("pct_return"), six("log_return"))
+
+
+# ---- futures
+
+_BULLETIN_SQL = """bul AS (SELECT CAST(o_orderdate AS DATE) + 4000 AS refdate, ' ' || CASE o_orderstatus WHEN 'F' THEN 'DI1' WHEN 'O' THEN 'DDI' ELSE 'DOL' END || CASE WHEN o_custkey % 5 = 0 THEN 'A' ELSE 'F' END || lpad(CAST(o_custkey % 90 AS VARCHAR), 2, '0') || ' ' AS cod_gts,
+        CASE o_orderstatus WHEN 'F' THEN 'DI1' WHEN 'O' THEN 'DDI' ELSE 'DOL' END AS commodity, CASE WHEN o_custkey % 7 = 0 THEN '1' ELSE '2' END AS market, CASE WHEN o_custkey % 11 = 0 THEN 0 ELSE 20000 + o_totalprice / 10 END AS settle,
+        o_custkey % 300 AS du, o_custkey % 400 AS dc, o_orderkey FROM orders)"""
+
+
+def derivatives_daily(spark, d):
+    o, key = table(spark, d, "orders"), F.col("o_custkey")
+    commodity = F.when(F.col("o_orderstatus") == "F", "DI1").when(F.col("o_orderstatus") == "O", "DDI").otherwise("DOL")
+    settle = F.when(key % 11 == 0, 0.0).otherwise(F.col("o_totalprice") / 10 + 20000)
+    code = F.concat(F.lit(" "), commodity, F.when(key % 5 == 0, "A").otherwise("F"), F.lpad((key % 90).cast("string"), 2, "0"), F.lit(" "))
+    same = {c: settle for c in ("cot_primeiro_negocio", "cot_maior_negocio", "cot_menor_negocio", "cot_ult_negocio", "cot_med_negocios", "cot_ajuste")}
+    return o.select(
+        F.date_add(F.to_date("o_orderdate"), 4000).alias("data_geracao_arquivo"), code.alias("cod_gts"), commodity.alias("cod_mercadoria"),
+        F.when(key % 7 == 0, "1").otherwise("2").alias("cod_mercado"), F.to_date("o_orderdate").alias("data_vencimento"), F.lit(1.0).alias("tamanho_contr"),
+        (key % 300).alias("num_dias_saques"), (key % 400).alias("num_dias_corridos"), F.col("o_orderkey").alias("qtd_contr"), F.lit(2.0).alias("volume_real"),
+        F.lit(3).alias("qtd_contr_aberto"), F.lit(4.0).alias("valor_ajuste_contr"), *[v.alias(k) for k, v in same.items()],
+    )
+
+
+_BD_SQL = """bd AS (SELECT refdate, trim(cod_gts) AS symbol, commodity, substr(trim(cod_gts), 4) AS expiration_code, nullif(settle, 0) AS adjusted_quote,
+        CASE WHEN commodity IN ('DI1', 'OC1', 'DAP') AND settle > 0 AND du > 0 THEN round(ln(1 + round(pow(100000.0 / settle, 252.0 / du) - 1, 5)), 3)
+             WHEN commodity IN ('DDI', 'DCO') AND settle > 0 AND dc > 0 THEN round((100000.0 / settle - 1) * 360.0 / dc, 5) END AS rate, o_orderkey AS traded_contracts
+        FROM bul WHERE market = '2' AND refdate >= DATE '2006-05-22' AND regexp_matches(trim(cod_gts), '^[A-Z0-9]{3}[FGHJKMNQUVXZ][0-9]{2}$'))"""
+
+
+@query(f"WITH {_BULLETIN_SQL}, {_BD_SQL} SELECT refdate, symbol, commodity, expiration_code, round(adjusted_quote, 4) AS adjusted_quote, rate, traded_contracts FROM bd")
+def ds_futures_bd(spark, d):
+    """Discrete rates span many powers of ten: their logarithm is compared."""
+    found = DS.DATASETS["futures_bd"]({"derivatives_daily": derivatives_daily(spark, d)})
+    rate = F.when(F.col("commodity") == "DI1", F.round(F.log(F.col("adjusted_tax") + 1), 3)).otherwise(F.col("adjusted_tax"))
+    return found.select("refdate", "symbol", "commodity", "expiration_code", F.round("adjusted_quote", 4).alias("adjusted_quote"), rate.alias("rate"), "traded_contracts")
+
+
+@query("""WITH fc AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS refdate, 'F' || l_partkey % 50 AS symbol FROM lineitem WHERE l_returnflag <> 'R'),
+    p AS (SELECT CAST(l_shipdate AS DATE) AS refdate, 'F' || l_partkey % 50 AS symbol, CASE WHEN l_linenumber = 4 THEN NULL ELSE l_quantity END AS traded_contracts, l_extendedprice AS volume, l_orderkey * 10 + l_linenumber AS open_interest, l_tax AS tax FROM lineitem)
+    SELECT refdate, symbol, traded_contracts, volume, round(tax / 100, 8) AS adjusted_tax, open_interest FROM fc JOIN p USING (refdate, symbol)
+    QUALIFY row_number() OVER (PARTITION BY refdate, symbol ORDER BY traded_contracts DESC NULLS LAST, volume DESC NULLS LAST, open_interest DESC NULLS LAST) = 1""")
+def ds_futures_bvbg(spark, d):
+    line = table(spark, d, "lineitem").withColumns({"refdate": F.to_date("l_shipdate"), "symbol": F.concat(F.lit("F"), (F.col("l_partkey") % 50).cast("string"))})
+    contracts = line.where("l_returnflag <> 'R'").select("refdate", "symbol").distinct()
+    contracts = contracts.withColumns({"instrument_asset": F.lit("X"), "expiration_code": F.lit("F24"), "maturity_date": F.col("refdate"), "contract_multiplier": F.lit(1.0)})
+    prices = line.select(
+        "refdate", "symbol", F.when(F.col("l_linenumber") != 4, F.col("l_quantity")).alias("traded_contracts"), F.col("l_extendedprice").alias("volume"),
+        F.lit(1.0).alias("adjusted_quote"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("open_interest"), F.col("l_tax").alias("adjusted_tax"),
+    )
+    found = DS.DATASETS["futures_bvbg"]({"price_reports": prices, "instruments_futures": contracts})
+    return found.select("refdate", "symbol", "traded_contracts", "volume", F.round("adjusted_tax", 8).alias("adjusted_tax"), "open_interest")

@@ -28,6 +28,7 @@ INTRADAY_CUT = "2026-04-30"
 SHARE_CATEGORIES = (1, 11, 13)
 ETF_CATEGORY = 3
 SPOT_CATEGORIES = (1, 3, 6, 11, 13, 21)
+ASSET_CATEGORIES = (11, 13)
 DISCRETE_PRODUCTS, SIMPLE_PRODUCTS = ("DI1", "OC1", "DAP"), ("DDI", "DCO")
 OUTRIGHT = "^[A-Z0-9]{3}[FGHJKMNQUVXZ][0-9]{2}$"
 STANDARD_TERMS = {"DI1": (21, 42, 63, 126, 252, 378, 504, 756, 1008, 1260), "DAP": (504, 1260)}
@@ -97,9 +98,12 @@ def day(text: str) -> Column:
 
 
 def companies_names(i: Inputs) -> DataFrame:
-    """The last name of each company: code, trading name, issuer."""
-    rows = i["registry"].select("code_cvm", "trading_name", "instrument_asset", "refdate").distinct()
-    return T.latest_per_key(rows, ["code_cvm"], ["-refdate", "trading_name", "instrument_asset"])
+    """The last date of each code, trading name and issuer."""
+    rows = i["company_info"].where("codeCVM <> '0'")
+    rows = rows.groupBy("codeCVM", "tradingName", "issuingCompany").agg(F.max("refdate").alias("refdate"))
+    return rows.select(
+        "refdate", F.col("codeCVM").alias("code_cvm"), F.trim("tradingName").alias("trading_name"), F.col("issuingCompany").alias("instrument_asset")
+    )
 
 
 def companies_symbols(i: Inputs) -> DataFrame:
@@ -258,17 +262,26 @@ def equities_register(i: Inputs) -> DataFrame:
     return i["instruments_equities"]
 
 
+NEVER = "9999-12-31"  # the start of trading of what is registered only
+
+
+def _spot(register: DataFrame, categories: Sequence[int]) -> DataFrame:
+    """Registered instruments of the spot market that trade."""
+    kept = (F.col("instrument_market") == 10) & (F.col("instrument_segment") == 1) & (F.col("instrument_asset") != "TAXA")
+    if "trading_start_date" in register.columns:
+        kept = kept & (F.col("trading_start_date") != day(NEVER))
+    return register.where(kept & F.col("security_category").isin(*categories))
+
+
 def equities_spot_market(i: Inputs) -> DataFrame:
     """The tradable universe: spot market, no test instruments."""
-    r = i["instruments_equities"]
-    test = F.col("corporation_name").ilike("%TESTE%")
-    kept = (F.col("instrument_market") == 10) & (F.col("instrument_segment") == 1) & F.col("security_category").isin(*SPOT_CATEGORIES)
-    return r.where(kept & ~F.col("instrument_asset").isin("TAXA", "XX") & ~test)
+    name = F.col("corporation_name")
+    return _spot(i["instruments_equities"], SPOT_CATEGORIES).where(~name.ilike("%TESTE%") & (name != "XX"))
 
 
 def equities_instrument_assets(i: Inputs) -> DataFrame:
-    """The last row of each asset of the equity market."""
-    return T.latest_per_key(i["equities_spot_market"], ["instrument_asset"], ["-refdate", "symbol"])
+    """The last date of each asset that has shares or units on the spot market."""
+    return _spot(i["instruments_equities"], ASSET_CATEGORIES).groupBy("instrument_asset").agg(F.max("refdate").alias("refdate"))
 
 
 def equities_unadjusted_prices(i: Inputs) -> DataFrame:

@@ -62,11 +62,14 @@ def test_a_return_without_a_price_counts(spark, name, prices, returns):
 
 
 def test_universe(spark):
-    rows = [(D(2016, 2, 1), "PETR4", "PETROBRAS", "PETR", 10), (D(2026, 7, 24), "PETR4", "PETROBRAS", "PETR", 10), (D(2016, 2, 1), "T1", "Ativo Teste ON", "T", 10), (D(2016, 2, 1), "X1", "X", "XX", 10), (D(2016, 2, 1), "F1", "F", "F", 20)]
+    rows = [(D(2016, 2, 1), "PETR4", "PETROBRAS", "PETR", 10), (D(2026, 7, 24), "PETR4", "PETROBRAS", "PETR", 10), (D(2016, 2, 1), "T1", "Ativo Teste ON", "T", 10), (D(2016, 2, 1), "X1", "XX", "XONE", 10), (D(2016, 2, 1), "F1", "F", "F", 20)]
     df = spark.createDataFrame(rows, "refdate date, symbol string, corporation_name string, instrument_asset string, instrument_market long").withColumns({"instrument_segment": F.lit(1), "security_category": F.lit(11)})
     got = build("equities_spot_market", {"instruments_equities": df})
     assert [r["symbol"] for r in got.collect()] == ["PETR4", "PETR4"]
-    assert build("equities_instrument_assets", {"equities_spot_market": got}).first()["refdate"] == D(2026, 7, 24)
+    last = {r["instrument_asset"]: r["refdate"] for r in build("equities_instrument_assets", {"instruments_equities": df}).collect()}
+    assert last == {"PETR": D(2026, 7, 24), "T": D(2016, 2, 1), "XONE": D(2016, 2, 1)}
+    never = df.withColumn("trading_start_date", F.lit("9999-12-31").cast("date"))
+    assert build("equities_spot_market", {"instruments_equities": never}).count() == 0
 
 
 def futures(spark):
