@@ -208,3 +208,20 @@ def test_partition_columns_and_kinds(spark):
     assert filter_date_range(dates, "refdate", end="2004-01-01").count() == 0
     with pytest.raises(ValueError):
         filter_date_range(dates, "refdate", "2005-01-01", "2004-01-01")
+
+
+def test_layouts_type_their_records(spark, tmp_path):
+    from tapewright.sources import layouts as L
+
+    assert [sum(f.width for f in x) for x in (L.PRICE_HISTORY, L.ECONOMIC_INDICATORS)] == [245, 109]
+    assert [len(x) for x in (L.PRICE_HISTORY, L.REGISTERED_CONTRACTS, L.DERIVATIVES_DAILY, L.PRICE_REPORTS, L.COMPANY_REGISTRATION)] == [26, 31, 80, 30, 48]
+    values = {"regtype": "01", "refdate": "20240102", "symbol": "PETR4", "close": "0000000003725", "isin": "BRPETRACNPR6", "strike_price_in_points": "0000001500000"}
+    line = "".join(values.get(f.name, "").ljust(f.width) for f in L.PRICE_HISTORY)
+    (tmp_path / "h.txt").write_text("00HEADER".ljust(245) + "\n" + line + "\n" + "99".ljust(245) + "\n")
+    rows = readers.read_fwf(spark, str(tmp_path), L.PRICE_HISTORY).where("regtype = '01'").collect()
+    assert len(rows) == 1 and (rows[0]["refdate"], rows[0]["symbol"], rows[0]["close"], rows[0]["strike_price_in_points"]) == (D(2024, 1, 2), "PETR4", 37.25, 1.5)
+    tags = {f.name: f.tag for f in L.PRICE_REPORTS}
+    assert tags["close"] == "FinInstrmAttrbts/LastPric" and {f.name: f.kind for f in L.PRICE_REPORTS}["refdate"] == "date"
+    money = next(f for f in L.CASH_DIVIDENDS if f.name == "value_cash")
+    df = apply_fields(spark.createDataFrame([("1.234,5", "ON")], "value_cash string, type_stock string"), L.CASH_DIVIDENDS)
+    assert (money.thousands, money.decimal) == (".", ",") and tuple(df.first()) == (1234.5, "ON")
