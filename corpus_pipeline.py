@@ -1,6 +1,11 @@
 """From raw documents to token files: five stages, each over all rows that the one before kept.
 
 Counted as part of subpackage llm.
+
+Defined results: a document with a null or empty text, or with blanks alone, is kept by all stages and becomes the end id
+alone; a null id is kept and sorts first; a row that is repeated with its id stays as often as it comes; a null source is
+a source of its own; without usable labels nothing is toxic; without benchmark items nothing is cut; further columns are
+kept up to the last stage, whatever their names; empty tables give an empty result.
 """
 
 from __future__ import annotations

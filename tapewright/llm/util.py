@@ -22,8 +22,9 @@ def saved(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    schema = df.select(*[c for c in df.columns if c not in partition_by], *partition_by).schema
-    return spark.read.schema(schema).parquet(path)
+    fields = {f.name: f for f in df.schema}
+    last = [fields[c] for c in partition_by]
+    return spark.read.schema(StructType([f for f in df.schema if f.name not in partition_by] + last)).parquet(path)
 
 
 def _quoted(name: str) -> str:

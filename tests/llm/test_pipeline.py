@@ -116,3 +116,42 @@ def test_cut_texts_copies_and_tokens_equal_plain_loops(spark):
         data = np.array([*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 0], "<u4").tobytes()
         wanted[r["doc_id"], len(data) // 4, zlib.crc32(data)] += copies[r["doc_id"]]
     assert got == wanted and max(wanted.values()) > 1
+
+
+def odd_tables(spark, path, empty=False):
+    words = [f"word{k}" for k in range(60)]
+    texts = {
+        1: " ".join(words), 2: " ".join(words), 3: None, 4: "", 5: " \n ", 6: " ".join(words[:50] + ["other"] * 10), 7: "long " * 300_000,
+        8: " ".join(f"own{k}" for k in range(40)), 9: "item " + " ".join(f"bench{k}" for k in range(15)),
+    }
+    rows = [(k, t, "en", None if k == 8 else f"s{k % 2}", None, "clash", 1, 2) for k, t in texts.items()]
+    rows += [rows[7], (None, "no id here", None, "s1", 3, None, None, None), (None, None, None, None, None, None, None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row string, mix_copy int, `a.b` int"
+    docs = spark.createDataFrame([] if empty else rows, schema)
+    labels = spark.createDataFrame([] if empty else [(1, 1, 0), (8, 1, None), (None, 0, 1), (8, None, 0)], "doc_id long, quality int, toxic int")
+    items = [(1, " ".join(f"bench{k}" for k in range(15))), (2, None), (None, "")]
+    bench = spark.createDataFrame([] if empty else items, "item_id long, text string")
+    for name, df in (("documents", docs), ("labels", labels), ("benchmark", bench)):
+        df.write.parquet(f"{path}/{name}.parquet")
+    return docs
+
+
+def test_odd_rows_and_clashing_columns(spark, tmp_path):
+    """Nulls in every column, empty and very long texts, repeated rows, no usable labels."""
+    docs = odd_tables(spark, str(tmp_path))
+    for _, stage in P.STAGES[:-1]:
+        docs = saved(stage(spark, docs, str(tmp_path)), "stage")
+        assert set(docs.columns) == {"doc_id", "text", "lang", "source", "n_chars", "row", "mix_copy", "a.b"}
+    kept = Counter(r["doc_id"] for r in docs.select("doc_id").distinct().collect())
+    # 2 is a copy of 1; 6 shares too little with it; of 9 the benchmark's words go
+    assert set(kept) == {None, 1, 3, 4, 5, 6, 7, 8, 9}
+    by_id = {r["doc_id"]: r for r in docs.collect() if r["doc_id"] is not None}
+    assert by_id[9]["text"].strip() == "item" and by_id[1]["row"] == "clash" and by_id[1]["mix_copy"] == 1
+    assert docs.where("doc_id = 8").count() >= 2  # a repeated row stays as often
+    found = P.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in found} == set(kept) and {r["n_tokens"] for r in found if r["doc_id"] in (3, 4)} == {1}
+
+
+def test_empty_tables(spark, tmp_path):
+    odd_tables(spark, str(tmp_path), empty=True)
+    assert P.run(spark, str(tmp_path)).count() == 0
