@@ -1,4 +1,5 @@
 import random
+import zlib
 
 from pyspark.sql import Row
 
@@ -90,6 +91,49 @@ def test_finds_toxic_documents_and_leaves_clean_ones(spark):
     assert kept.columns == docs.columns and kept.count() == 480 + 2 + (1 if not [r for r in rows if r["doc_id"] is None][0]["predicted"] else 0)
 
 
+def test_weights_equal_plain_counts(spark):
+    """Words by documents that have them, then by contexts; log-odds with the prior; both sides."""
+    import math
+
+    from tapewright.llm.toxicity import MIN_WEIGHT, MIN_Z, PREFIX, PRIOR, fit
+
+    docs, labels = docs_and_labels(spark)
+    marks = {r["doc_id"]: r["toxic"] for r in labels.where("doc_id is not null and toxic is not null").collect()}
+    learnt = [r for r in docs.where("doc_id < 600").collect() if r["doc_id"] in marks and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2]
+    rows = [(r["text"].split(), marks[r["doc_id"]]) for r in learnt]
+    sizes = [sum(y == k for _, y in rows) for k in (0, 1)]
+
+    def weighed(counts):
+        out = {}
+        for feature, c in counts.items():
+            prior = PRIOR * sum(c)
+            parts = [(c[k] + prior) for k in (0, 1)]
+            weight = math.log(parts[1] / (sizes[1] + PRIOR * sum(sizes))) - math.log(parts[0] / (sizes[0] + PRIOR * sum(sizes)))
+            z = weight / math.sqrt(1 / parts[0] + 1 / parts[1])
+            if z <= -MIN_Z or (z >= MIN_Z and weight >= MIN_WEIGHT):
+                out[feature] = weight, z
+        return out
+
+    def named(word):
+        return [("w", word)] + ([("p", word[:PREFIX])] if len(word) > PREFIX else [])
+
+    counts, places = {}, {}
+    for words, y in rows:
+        for f in {f for w in words for f in named(w)}:
+            counts.setdefault(f, [0, 0])[y] += 1
+        for a, w, b in zip(["", *words[:-1]], words, [*words[1:], ""], strict=True):
+            for f in named(w):
+                places.setdefault(f, set()).add((a, b, y))
+    first = weighed(counts)
+    toxic = {f for f, (_, z) in first.items() if z > 0}
+    second = weighed({f: [sum(p[2] == k for p in places[f]) for k in (0, 1)] for f in toxic})
+    wanted = {f: w for f, (w, z) in second.items() if z > 0} | {f: w for f, (w, z) in first.items() if z < 0}
+    model = fit(docs, labels)
+    got = {("w", k.decode()): v for k, v in model.weights.items()} | {("p", k.decode()): v for k, v in model.prefixes.items()}
+    assert set(got) == set(wanted) and len(wanted) >= 3 and all(abs(got[k] - wanted[k]) < 1e-9 for k in wanted)
+    assert all(a <= b + 1e-12 for a, b in zip(model.probabilities, model.probabilities[1:], strict=False)) and 0 < model.space <= 1
+
+
 def test_empty_tables(spark):
     docs, labels = docs_and_labels(spark, 20)
     assert {r["score"] for r in toxicity_report(docs, labels.limit(0)).collect()} <= {0.0, 1e-6}
@@ -120,8 +164,6 @@ def test_held_out_rows_of_the_test_data(spark):
 
 
 def test_held_out_is_by_crc32(spark):
-    import zlib
-
     from pyspark.sql import functions as F
 
     rows = spark.range(200).select("id", held_out(F.col("id")).alias("h")).collect()
