@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapewright.llm.util import LOWER, saved
+from tapewright.llm.util import LOWER, named, saved
 
 FIRST_WIDTH = 64
 GROWTH = 4
@@ -74,11 +74,8 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     Of equal texts (after lower-casing A-Z), the row with the largest id is kept.
     """
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row_id"),
-        F.col(id_column).cast("long").alias("doc_id"),
-        F.col(text_column).alias("text"),
-    )
+    id_of, text_of = named(id_column, text_column)
+    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), id_of.cast("long").alias("doc_id"), text_of.alias("text"))
     # written once: row numbers stay the same from here on, also when an executor is lost
     chunks = saved(rows.mapInArrow(_cut, _CHUNKS), "radix", ("level",))
     base = chunks.where("level = 0").select("row_id", "doc_id", "text_sha256")

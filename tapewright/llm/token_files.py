@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tapewright.llm.util import named
+
 END_ID = 0
 CACHED_PIECES = 400_000  # of each of two generations, per Python worker; about 150 MB together
 
@@ -141,10 +143,9 @@ def encode(
     end_id: int = END_ID,
 ) -> DataFrame:
     """Rows in ascending id order: doc_id, metadata, part, pos, offset, n_tokens, ids (list of int)."""
+    id_of, text_of, *others = named(id_column, text_column, *metadata)
     rows = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"),
-        F.col(text_column).alias("text"),
-        *[F.col(c).alias(f"meta_{c}") for c in metadata],
+        id_of.cast("long").alias("doc_id"), text_of.alias("text"), *[c.alias(f"meta_{n}") for c, n in zip(others, metadata, strict=True)]
     )
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     ordered = ordered.withColumn("part", F.spark_partition_id())
