@@ -193,8 +193,7 @@ def ds_equities_instrument_assets(spark, d):
 
 _NAMES_SQL = """info AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS refdate, CASE WHEN o_custkey % 10 = 0 THEN '0' ELSE CAST(o_custkey AS VARCHAR) END AS codeCVM,
         ' ' || o_orderstatus || ' ' AS tradingName, 'I' || o_custkey % 83 AS issuingCompany FROM orders),
-    names AS (SELECT refdate, codeCVM AS code_cvm, trim(tradingName) AS trading_name, issuingCompany AS instrument_asset FROM info WHERE codeCVM <> '0'
-        QUALIFY row_number() OVER (PARTITION BY codeCVM, tradingName, issuingCompany ORDER BY refdate DESC) = 1)"""
+    names AS (SELECT max(refdate) AS refdate, codeCVM AS code_cvm, trim(tradingName) AS trading_name, issuingCompany AS instrument_asset FROM info WHERE codeCVM <> '0' GROUP BY ALL)"""
 
 
 def company_info(spark, d):
@@ -213,11 +212,13 @@ def ds_companies_names(spark, d):
 @query("""WITH raw AS (SELECT DISTINCT 'I' || l_suppkey % 83 AS issuingCompany, CASE WHEN l_linenumber % 2 = 0 THEN '' ELSE 'BRA' || lpad(CAST(l_partkey % 300 AS VARCHAR), 3, '0') || 'ACNOR1' END AS assetIssued,
         'BRB' || lpad(CAST(l_partkey % 300 AS VARCHAR), 3, '0') || CASE l_linenumber % 3 WHEN 0 THEN 'ACNPA1' WHEN 1 THEN 'ACNPR2' ELSE 'UNT0R1' END AS isinCode, l_returnflag AS label, l_tax AS factor,
         CAST(date_trunc('year', l_shipdate) AS DATE) AS approvedOn, CAST(date_trunc('month', l_shipdate) AS DATE) AS lastDatePrior, CAST(l_shipdate AS DATE) AS refdate FROM lineitem),
-    dedup AS (SELECT *, coalesce(nullif(assetIssued, ''), isinCode) AS asset FROM raw
-        QUALIFY row_number() OVER (PARTITION BY issuingCompany, coalesce(nullif(assetIssued, ''), isinCode), label, lastDatePrior, approvedOn, factor ORDER BY refdate DESC, isinCode) = 1),
+    paper AS (SELECT issuingCompany, CASE assetIssued WHEN '' THEN isinCode ELSE assetIssued END AS asset, label, lastDatePrior, approvedOn, factor, isinCode, refdate FROM raw),
+    last AS (SELECT issuingCompany, asset, label, lastDatePrior, approvedOn, factor, max(refdate) AS refdate FROM paper GROUP BY ALL),
+    dedup AS (SELECT issuingCompany, asset, label, lastDatePrior, approvedOn, factor, min(isinCode) AS isinCode FROM paper
+        JOIN last USING (issuingCompany, asset, label, lastDatePrior, approvedOn, factor, refdate) GROUP BY ALL),
     names AS (SELECT 'I' || s_suppkey % 83 AS issuing_company, CAST(max(s_suppkey) AS VARCHAR) AS code_cvm FROM supplier WHERE s_suppkey % 83 < 60 GROUP BY 1),
     symbols AS (SELECT DISTINCT 'BRB' || lpad(CAST(p_partkey % 300 AS VARCHAR), 3, '0') || 'ACNPR2' AS isin, 'T' || p_partkey % 300 AS symbol FROM part)
-    SELECT code_cvm, issuingCompany AS issuing_company, symbol, asset AS asset_isin, CASE WHEN substr(asset, 10, 2) = 'OR' THEN 'ON' WHEN substr(asset, 10, 1) = 'P' THEN 'PN' ELSE 'UNT' END AS share_class,
+    SELECT code_cvm, issuingCompany AS issuing_company, symbol, asset AS asset_isin, CASE WHEN asset LIKE '_________OR%' THEN 'ON' WHEN asset LIKE '_________P%' THEN 'PN' ELSE 'UNT' END AS share_class,
         label AS event_type_raw, factor, approvedOn AS approved_on, lastDatePrior AS ex_date, isinCode AS isin
     FROM dedup LEFT JOIN names ON issuingCompany = issuing_company LEFT JOIN symbols ON asset = symbols.isin""")
 def ds_stock_events(spark, d):
@@ -305,9 +306,9 @@ def ds_futures_bd(spark, d):
 
 
 @query("""WITH fc AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS refdate, 'F' || l_partkey % 50 AS symbol FROM lineitem WHERE l_returnflag <> 'R'),
-    p AS (SELECT CAST(l_shipdate AS DATE) AS refdate, 'F' || l_partkey % 50 AS symbol, CASE WHEN l_linenumber = 4 THEN NULL ELSE l_quantity END AS traded_contracts, l_extendedprice AS volume, l_orderkey * 10 + l_linenumber AS open_interest, l_tax AS tax FROM lineitem)
-    SELECT refdate, symbol, traded_contracts, volume, round(tax / 100, 8) AS adjusted_tax, open_interest FROM fc JOIN p USING (refdate, symbol)
-    QUALIFY row_number() OVER (PARTITION BY refdate, symbol ORDER BY traded_contracts DESC NULLS LAST, volume DESC NULLS LAST, open_interest DESC NULLS LAST) = 1""")
+    p AS (SELECT CAST(l_shipdate AS DATE) AS refdate, 'F' || l_partkey % 50 AS symbol, CASE WHEN l_linenumber = 4 THEN NULL ELSE l_quantity END AS traded_contracts, l_extendedprice AS volume, l_orderkey * 10 + l_linenumber AS open_interest, l_tax AS tax FROM lineitem),
+    best AS (SELECT refdate, symbol, max({'a': coalesce(traded_contracts, -1), 'b': volume, 'c': open_interest, 't': tax}) AS m FROM fc JOIN p USING (refdate, symbol) GROUP BY ALL)
+    SELECT refdate, symbol, nullif(m.a, -1) AS traded_contracts, m.b AS volume, round(m.t / 100, 8) AS adjusted_tax, m.c AS open_interest FROM best""")
 def ds_futures_bvbg(spark, d):
     line = table(spark, d, "lineitem").withColumns({"refdate": F.to_date("l_shipdate"), "symbol": F.concat(F.lit("F"), (F.col("l_partkey") % 50).cast("string"))})
     contracts = line.where("l_returnflag <> 'R'").select("refdate", "symbol").distinct()
