@@ -30,7 +30,7 @@ from pyspark.sql.window import Window
 from tapewright.llm.util import named
 
 END_ID = 0
-CACHED_PIECES = 400_000  # of each of two generations, per Python worker; about 150 MB together
+CACHED_PIECES = 300_000  # of each of two generations, per Python worker; about 110 MB together
 
 # fixed values: the published pre-tokenisation pattern of byte-level BPE, for texts of these characters;
 # words come first, as nothing else begins with a letter or a blank and a letter
