@@ -14,6 +14,7 @@ from tapewright.llm.mixing import mix
 from tapewright.llm.personal_data import personal_data_report
 from tapewright.llm.quality import KEEP, score
 from tapewright.llm.span_dedup import removed_sentences
+from tapewright.llm.spelling import spelling_variants
 from tapewright.llm.token_files import token_report, write_tokens
 from tapewright.llm.toxicity import toxicity_report
 from tapewright.llm.warc import derivatives, read_warc, responses, write_records
@@ -82,6 +83,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_span_dedup": op2_span_dedup,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -175,4 +181,57 @@ SQL: dict[str, str] = {
                sha256(t) AS text_sha256
         FROM d
     """,
+    # crc32 from its polynomial; near words meet in what is left when a letter goes from one or both
+    "op11_spelling_variants": rf"""
+        WITH RECURSIVE table_of(crc) AS (
+            SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda c, y: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))
+        ),
+        runs AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run
+            FROM documents
+        ),
+        per_doc AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+        bytes AS (
+            SELECT *, list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda c: unicode(c)) AS points
+            FROM per_doc
+        ),
+        hashed AS (
+            SELECT run, n, xor(list_reduce(
+                list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(points, lambda p: CASE WHEN p < 128 THEN [CAST(p AS BIGINT)] ELSE [195, p - 64] END))),
+                lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) AS h
+            FROM bytes, table_of
+        ),
+        typed AS (
+            SELECT n, CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+            FROM hashed
+        ),
+        words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM typed WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+        shorter AS (
+            SELECT word, word AS less, 0 AS at FROM words
+            UNION ALL
+            SELECT word, left(word, i) || substr(word, i + 2), i + 1 FROM (SELECT word, unnest(range(0, length(word))) AS i FROM words)
+        ),
+        near AS (
+            SELECT DISTINCT a.word, b.word AS other
+            FROM shorter a JOIN shorter b ON a.less = b.less AND a.word <> b.word AND (a.at = b.at OR a.at = 0 OR b.at = 0)
+        ),
+        ranked AS (
+            SELECT near.word, other, o.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+                   row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) AS place
+            FROM near JOIN words o ON o.word = other
+        ),
+        forms AS (
+            SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+                   CASE WHEN other_n >= 5 * w.n THEN other END AS form, CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+            FROM words w LEFT JOIN ranked r ON r.word = w.word AND place = 1
+        ),
+        chain AS (
+            SELECT word, word AS root FROM forms
+            UNION ALL
+            SELECT chain.word, form FROM chain JOIN forms ON forms.word = chain.root WHERE form IS NOT NULL
+        ),
+        ends AS (SELECT chain.word, root FROM chain JOIN forms ON forms.word = chain.root WHERE form IS NULL)
+        SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+    """,
 }
