@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tapewright.llm.decontaminate import decontamination_report
 from tapewright.llm.exact_dedup import exact_dedup
 from tapewright.llm.jaccard_join import component_report
+from tapewright.llm.lexical_search import ranked_documents
 from tapewright.llm.mixing import mix
 from tapewright.llm.personal_data import personal_data_report
 from tapewright.llm.quality import KEEP, score
@@ -87,6 +88,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_span_dedup": op2_span_dedup,
@@ -99,10 +104,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_lexical_search": op12_lexical_search,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 _WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 SQL: dict[str, str] = {
@@ -234,4 +241,20 @@ SQL: dict[str, str] = {
         ends AS (SELECT chain.word, root FROM chain JOIN forms ON forms.word = chain.root WHERE form IS NULL)
         SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
     """,
+    "op12_lexical_search": rf"""
+        WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+        size AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM d WHERE len(w) > 0),
+        asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark),
+        tf AS (
+            SELECT doc_id, n, t, count(*) AS f FROM (SELECT doc_id, len(w) AS n, unnest(w) AS t FROM d)
+            WHERE t IN (SELECT t FROM asked) GROUP BY ALL
+        ),
+        weights AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, size GROUP BY t),
+        scored AS (
+            SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * f) // (1000 * f + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+            FROM tf JOIN weights USING (t) JOIN asked USING (t), size GROUP BY ALL
+        )
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM scored WHERE score > 0 QUALIFY rank <= 10
+    """,
 }
