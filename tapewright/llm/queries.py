@@ -18,6 +18,7 @@ from tapewright.llm.span_dedup import removed_sentences
 from tapewright.llm.spelling import spelling_variants
 from tapewright.llm.token_files import token_report, write_tokens
 from tapewright.llm.toxicity import toxicity_report
+from tapewright.llm.vector_lsh import vector_report
 from tapewright.llm.warc import derivatives, read_warc, responses, write_records
 from tapewright.llm.util import scratch, table
 
@@ -92,6 +93,10 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_span_dedup": op2_span_dedup,
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_lexical_search": op12_lexical_search,
+    "op13_vector_near_dedup": op13_vector_near_dedup,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -257,4 +263,21 @@ SQL: dict[str, str] = {
         SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
         FROM scored WHERE score > 0 QUALIFY rank <= 10
     """,
+    # the tables of the SQL check have no pair near the threshold, where hashing could miss one
+    "op13_vector_near_dedup": """
+        WITH RECURSIVE raw AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+        usable AS (
+            SELECT vec_id, v FROM raw
+            WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(v, v) > 0
+        ),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+        ),
+        reached AS (SELECT vec_id, vec_id AS other FROM raw UNION SELECT reached.vec_id, b FROM reached JOIN links ON other = a),
+        lowest AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id),
+        counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+        FROM lowest LEFT JOIN counted ON a = vec_id
+    """,
 }
