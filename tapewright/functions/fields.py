@@ -48,9 +48,10 @@ class Field:
         if self.kind not in KINDS:
             raise ValueError(f"unknown type: {self.kind}")
 
-    def typed(self) -> Column:
-        """The column of this name as its type."""
-        text = F.trim(F.col(f"`{self.name}`").cast("string"))
+    def typed(self, of: Column | None = None) -> Column:
+        """The column of this name, or another one, as its type."""
+        raw = (F.col(f"`{self.name}`") if of is None else F.trim(of)).cast("string")
+        text = F.trim(raw)
         if self.kind == "integer":
             return to_integer(text)
         if self.kind == "boolean":
@@ -71,7 +72,7 @@ class Field:
             if self.kind == "date":
                 return moment.cast("date")
             return moment.cast("timestamp_ntz") if self.kind == "datetime" else F.date_format(moment, "HH:mm:ss")
-        return F.col(f"`{self.name}`").cast("string")
+        return raw
 
 
 def schema_of(fields: Sequence[Field]) -> T.StructType:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import inspect
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import Any
 
@@ -10,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StructType
 
+from tapewright.functions.scratch import written
+
 SAMPLE = 20
 
 
@@ -68,6 +71,10 @@ def dq_period_gaps(df: DataFrame, frequency: str, date_column: str = "refdate",
 def dq_unexpected_dates(df: DataFrame, cal: DataFrame, date_column: str = "refdate", group_column: str | None = None) -> DataFrame:
     """Observed days that the calendar knows and that are no business days."""
     seen = df.groupBy(_series(group_column).alias("series"), F.to_date(date_column).alias("cal_date")).agg(F.count("*").alias("n"))
+    return _unexpected(seen, cal)
+
+
+def _unexpected(seen: DataFrame, cal: DataFrame) -> DataFrame:
     met = seen.join(F.broadcast(cal.where("not is_bizday").select("cal_date")), "cal_date")
     return _found(met, "unexpected_dates", F.col("series"), F.col("cal_date"), F.col("n"))
 
@@ -148,8 +155,144 @@ RULES = {
 }
 
 
+class Facts:
+    """What the rules on one table need of it, gathered in one aggregation.
+
+    Rules are compiled by the key that they group by: none (counts and extremes of columns), a key of columns
+    (``no_duplicates``), or a series and its days. Each row is taken once for each different key, with map-side partial sums; rules of equal
+    keys share them. Keys that occur once are left out before anything is written.
+    """
+
+    def __init__(self, df: DataFrame) -> None:
+        self.df = df
+        self.metrics: dict[str, Column] = {}
+        self.tags: dict[tuple, int] = {}
+
+    def column(self, name: str) -> Column:
+        if name not in self.df.columns:
+            raise ValueError(f"{name}: no such column")
+        return F.col(f"`{name}`")
+
+    def metric(self, of: Callable[[Column], Column]) -> str:
+        """A value over all rows; ``of`` gets the condition that a row is taken for the table as a whole."""
+        name = f"m{len(self.metrics)}"
+        self.metrics[name] = of(F.col("t.tag") == 0)
+        return name
+
+    def tag(self, *key) -> int:
+        return self.tags.setdefault(key, len(self.tags) + 1)
+
+    def _takes(self) -> list[Column]:
+        takes = [(0, F.lit(None).cast("string"), F.lit(None).cast("date"))] if self.metrics else []
+        for (kind, *key), tag in self.tags.items():
+            if kind == "key":
+                takes.append((tag, F.to_json(F.struct(*[self.column(c) for c in key])), F.lit(None).cast("date")))
+            else:
+                takes.append((tag, _series(key[0]), F.to_date(self.column(key[1]))))
+        return [F.struct(F.lit(tag).alias("tag"), k.alias("key"), day.alias("day")) for tag, k, day in takes]
+
+    def frame(self) -> DataFrame:
+        """(tag, key, day, n and the metrics)."""
+        rows = self.df.withColumn("t", F.explode(F.array(*self._takes())))
+        found = rows.groupBy("t.tag", "t.key", "t.day").agg(F.count("*").alias("n"), *[c.alias(name) for name, c in self.metrics.items()])
+        keys = [tag for (kind, *_), tag in self.tags.items() if kind == "key"]
+        return found.where(~F.col("tag").isin(keys) | (F.col("n") > 1)) if keys else found
+
+
+def _value_range(facts: Facts, column: str, min: float | None = None, max: float | None = None):  # noqa: A002
+    value = facts.column(column)
+    if min is None and max is None:
+        raise ValueError(f"{column}: no bound given")
+    if not isinstance(facts.df.schema[column].dataType, NumericType):
+        raise ValueError(f"{column}: not a number")
+    outside = F.lit(False)
+    if min is not None:
+        outside = outside | (value < min)
+    if max is not None:
+        outside = outside | (value > max)
+    n = facts.metric(lambda whole: F.count_if(whole & outside))
+    lo, hi = (facts.metric(lambda whole, least=least: least(F.when(whole & outside, value))) for least in (F.min, F.max))
+
+    def finding(found: DataFrame) -> DataFrame:
+        detail = F.format_string("%s outside, from %s to %s", F.col(n).cast("string"), F.col(lo).cast("string"), F.col(hi).cast("string"))
+        return _found(found.where(f"tag = 0 and {n} > 0"), "value_range", F.lit(column), detail, F.col(n))
+
+    return finding
+
+
+def _not_null(facts: Facts, columns: Sequence[str]):
+    counts = {c: facts.metric(lambda whole, of=facts.column(c): F.count_if(whole & of.isNull())) for c in columns}
+
+    def finding(found: DataFrame) -> DataFrame:
+        cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(m).alias("n")) for c, m in counts.items()])
+        long = found.where("tag = 0").select(F.inline(cells)).where("n > 0")
+        return _found(long, "not_null", F.col("column"), F.lit("null values"), F.col("n"))
+
+    return finding
+
+
+def _no_duplicates(facts: Facts, key: Sequence[str]):
+    for c in key:
+        facts.column(c)
+    tag = facts.tag("key", *key)
+
+    def finding(found: DataFrame) -> DataFrame:
+        of = found.where(f"tag = {tag} and n > 1").agg(F.count("*").alias("keys"), F.sum(F.col("n") - 1).alias("excess"))
+        return _found(of.where("keys > 0"), "no_duplicates", F.lit(",".join(key)), F.format_string("%d keys", "keys"), F.col("excess"))
+
+    return finding
+
+
+def _dated(rule: str):
+    """Rules on the days of a series; they read (series, day, n) instead of the table."""
+
+    def compiled(facts: Facts, *args, date_column: str = "refdate", group_column: str | None = None, **options):
+        facts.column(date_column)
+        if group_column is not None:
+            facts.column(group_column)
+        if rule == "period_gaps" and (args[0] if args else options.get("frequency")) not in ("monthly", "quarterly"):
+            raise ValueError(f"unknown frequency: {options.get('frequency')}")
+        tag = facts.tag("days", group_column, date_column)
+
+        def finding(found: DataFrame) -> DataFrame:
+            seen = found.where(f"tag = {tag}").select(F.col("key").alias("series"), F.col("day").alias("cal_date"), "n")
+            if rule == "unexpected_dates":
+                return _unexpected(seen, *args, **options)
+            if rule == "date_gaps":
+                return dq_date_gaps(seen, *args, date_column="cal_date", **options)
+            return RULES[rule](seen, *args, date_column="cal_date", group_column="series", **options)
+
+        return finding
+
+    return compiled
+
+
+COMPILED = {
+    "value_range": _value_range,
+    "not_null": _not_null,
+    "no_duplicates": _no_duplicates,
+    **{rule: _dated(rule) for rule in ("calendar_gaps", "period_gaps", "unexpected_dates", "date_gaps")},
+}
+
+
+def compile_rules(df: DataFrame, rules: Sequence[Mapping[str, Any]]) -> tuple[Facts, list[Callable[[DataFrame], DataFrame]]]:
+    """The facts that the rules need, and for each rule its findings from a table of them."""
+    facts, findings = Facts(df), []
+    for options in rules:
+        options = dict(options)
+        rule = options.pop("rule", None)
+        try:
+            if rule not in RULES:
+                raise ValueError(f"unknown rule: {rule}")
+            inspect.signature(RULES[rule]).bind(df, **options)
+            findings.append(COMPILED[rule](facts, **options))
+        except (TypeError, ValueError, KeyError) as problem:
+            findings.append(lambda _, rule=str(rule), text=str(problem): config_finding(df, rule, text))
+    return facts, findings
+
+
 def dq_suite(tables: Mapping[str, DataFrame], spec: Mapping[str, Sequence[Mapping[str, Any]]]) -> DataFrame:
-    """Findings of all rules of ``spec`` (dataset -> rules with their options).
+    """Findings of all rules of ``spec`` (dataset -> rules with their options); each dataset is read once.
 
     Unknown rules and options that do not fit are findings themselves; datasets that are absent are skipped.
     """
@@ -157,17 +300,9 @@ def dq_suite(tables: Mapping[str, DataFrame], spec: Mapping[str, Sequence[Mappin
     for dataset, rules in spec.items():
         if dataset not in tables:
             continue
-        for options in rules:
-            options = dict(options)
-            rule = options.pop("rule", None)
-            df = tables[dataset]
-            try:
-                if rule not in RULES:
-                    raise ValueError(f"unknown rule: {rule}")
-                result = RULES[rule](df, **options)
-            except (TypeError, ValueError, KeyError) as problem:
-                result = config_finding(df, str(rule), str(problem))
-            found.append(result.withColumn("dataset", F.lit(dataset)))
+        facts, findings = compile_rules(tables[dataset], rules)
+        gathered = written(facts.frame(), "facts") if facts.metrics or facts.tags else None
+        found += [f(gathered).withColumn("dataset", F.lit(dataset)) for f in findings]
     if not found:
         raise ValueError("nothing to check")
     return reduce(DataFrame.unionByName, found)

@@ -18,6 +18,7 @@ from tapewright.operators import curves as R
 from tapewright.operators import symbols as S
 from tapewright.operators import timeseries as X
 from tapewright.operators import transforms as T
+from tapewright.plans.taxonomy import SECTORS, SUBSECTORS, UNCLASSIFIED, UNNAMED
 
 Inputs = Mapping[str, DataFrame]
 
@@ -222,33 +223,68 @@ def corporate_events(i: Inputs) -> DataFrame:
     return T.union_aligned(parts)
 
 
+# fixed values: columns of the details and of the capital of a company, and what they are called
+DETAILS = {
+    "issuingCompany": "issuing_company", "cnpj": "cnpj", "industryClassification": "industry_classification",
+    "industryClassificationEng": "industry_classification_eng", "activity": "activity", "website": "website", "status": "status",
+    "market": "market", "marketIndicator": "market_indicator", "institutionCommon": "institution_common",
+    "institutionPreferred": "institution_preferred", "hasQuotation": "has_quotation", "hasEmissions": "has_emissions",
+    "hasBDR": "has_bdr", "typeBDR": "type_bdr", "describleCategoryBVMF": "describe_category_bvmf",
+}
+CAPITAL = {
+    "segment": "listing_segment", "stockCapital": "stock_capital", "quotedPerSharSince": "quoted_per_shar_since",
+    "commonSharesForm": "common_shares_form", "preferredSharesForm": "preferred_shares_form", "hasCommom": "has_common",
+    "hasPreferred": "has_preferred", "roundLot": "round_lot", "numberCommonShares": "number_common_shares",
+    "numberPreferredShares": "number_preferred_shares", "totalNumberShares": "total_number_shares",
+}
+
+
+def _last_of(rows: DataFrame, key: str) -> DataFrame:
+    """A row per key: that of the last date, of equal dates the least by all other columns."""
+    rest = sorted(c for c in rows.columns if c not in (key, "refdate"))
+    return T.latest_per_key(rows, [key], ["-refdate", *rest])
+
+
 def companies(i: Inputs) -> DataFrame:
-    """The company master: registration, details and capital of the last snapshots."""
-    registered = i["cvm_registration"].where("tp_merc = 'BOLSA'")
-    registered = T.latest_per_key(registered, ["cnpj_cia"], ["-refdate", "code_cvm"])
-    registered = registered.select(
-        F.col("code_cvm").cast("string").alias("code_cvm"), F.col("cnpj_cia").alias("cvm_cnpj"), F.col("denom_social").alias("cvm_name"),
-        F.col("denom_comerc").alias("cvm_trading_name"), F.col("sit").alias("company_status"),
+    """The company master: companies registered for the exchange with the last details and capital that are known of them.
+
+    A column that a source lacks is null. The level of listing is ``listing_segment``, as ``segment`` is the last level of the sector.
+    """
+    registered = _last_of(i["cvm_registration"].where("tp_merc = 'BOLSA'"), "cnpj_cia").select(
+        F.col("code_cvm").cast("string").alias("code_cvm"), F.col("denom_social").alias("__name"), F.col("denom_comerc").alias("__trading"),
+        F.col("sit").alias("company_status"), F.col("cnpj_cia").alias("cvm_cnpj"),
     )
-    details = i["company_details"].withColumn("code_cvm", F.col("codeCVM").cast("string"))
-    details = T.latest_per_key(details, ["code_cvm"], ["-refdate", "code"]).drop("refdate")
-    info = T.latest_per_key(i["company_info"], ["issuingCompany"], ["-refdate", "tradingName"]).drop("refdate")
-    info = info.withColumnsRenamed({"tradingName": "infoTradingName", "segment": "listing_segment"})
-    met = registered.join(details, "code_cvm", "left").join(info, "issuingCompany", "left")
-    path = F.split("industryClassification", "/")
-    return met.withColumns(
-        {
-            "company_name": F.coalesce("companyName", "cvm_name"),
-            "trading_name": F.coalesce("infoTradingName", "tradingName", "cvm_trading_name"),
-            **{name: F.trim(F.get(path, k)) for k, name in enumerate(("sector", "subsector", "segment"))},
-        }
-    ).drop("companyName", "cvm_name", "infoTradingName", "tradingName", "cvm_trading_name").withColumnRenamed("issuingCompany", "issuing_company")
-
-
-def industry_sectors(i: Inputs, taxonomy: DataFrame) -> DataFrame:
-    """Distinct sectors with other taxonomies' names; ``taxonomy`` is a table (sector, ...) that may lack some."""
-    sectors = i["companies"].select("sector", "subsector", "segment").distinct()
-    return sectors.join(F.broadcast(T.distinct_on(taxonomy, ["sector"], [c for c in taxonomy.columns if c != "sector"])), "sector", "left")
+    details = _last_of(i["company_details"].withColumn("code_cvm", F.col("codeCVM").cast("string")), "code_cvm")
+    known = [F.col("code_cvm"), _or_null(details, "companyName").alias("__own_name"), _or_null(details, "tradingName").alias("__own_trading")]
+    details = details.select(*known, *[_or_null(details, c).alias(n) for c, n in DETAILS.items()])
+    capital = _last_of(i["company_info"].where("issuingCompany is not null"), "issuingCompany")
+    capital = capital.select(
+        F.col("issuingCompany").alias("issuing_company"), _or_null(capital, "tradingName").alias("__listed_trading"),
+        *[_or_null(capital, c).alias(n) for c, n in CAPITAL.items()],
+    )
+    met = registered.join(details, "code_cvm", "left").join(capital, "issuing_company", "left")
+    levels = F.split("industry_classification", "/")
+    level = {name: F.when(F.col("industry_classification").isNotNull(), F.coalesce(F.trim(F.get(levels, k)), F.lit(""))) for k, name in enumerate(("sector", "subsector", "segment"))}
+    first = ("issuing_company", "company_status", "cnpj", "cvm_cnpj", "industry_classification", "industry_classification_eng")
+    return met.select(
+        "code_cvm", F.coalesce("__own_name", "__name").alias("company_name"), F.coalesce("__listed_trading", "__own_trading", "__trading").alias("trading_name"),
+        *first, *[c.alias(n) for n, c in level.items()], *[n for n in DETAILS.values() if n not in first], *CAPITAL.values(),
+    )
+
+
+def _or_null(df: DataFrame, column: str) -> Column:
+    return F.col(column) if column in df.columns else F.lit(None).cast("string")
+
+
+def industry_sectors(i: Inputs, taxonomy: Mapping[str, Sequence[str]] = SECTORS, subsectors: Mapping[str, Mapping[str, str]] = SUBSECTORS) -> DataFrame:
+    """Distinct pairs of sector and subsector with their names in other taxonomies; companies without a sector are left out."""
+    pairs = i["companies"].select(F.trim("sector").alias("sector"), F.trim("subsector").alias("subsector")).where("sector <> ''").distinct()
+    spark = pairs.sparkSession
+    names = spark.createDataFrame([(s, *n) for s, n in taxonomy.items()], "sector string, gics_sector string, icb_sector string, normalized_sector string")
+    lower = spark.createDataFrame([(s, k, n) for s, own in subsectors.items() for k, n in own.items()], "sector string, subsector string, normalized_subsector string")
+    met = pairs.join(F.broadcast(names), "sector", "left").join(F.broadcast(lower), ["sector", "subsector"], "left")
+    met = met.na.fill(UNCLASSIFIED, list(names.columns[1:])).na.fill(UNNAMED, ["normalized_subsector"])
+    return met.select("sector", "subsector", *names.columns[1:], "normalized_subsector")
 
 
 # ---- equities
@@ -378,18 +414,25 @@ def equities_returns_symbols_changes(i: Inputs) -> DataFrame:
     return S.relabel_returns(i["equities_returns"].join(old, "symbol", "left_semi"), _renames(i))
 
 
-def adjusted_prices(i: Inputs, prices: str, returns: str, filled: bool = False, calendar: DataFrame | None = None) -> DataFrame:
-    """Days with a return or a price, adjusted backwards; if ``filled`` also on the calendar's business days.
+def adjusted_prices(i: Inputs, prices: str, returns: str, alive: bool = False, filled: bool = False, calendar: DataFrame | None = None) -> DataFrame:
+    """The days of the returns with the prices of the reports, adjusted backwards; if ``filled`` also on the calendar's business days.
 
-    A return without a price counts for all older days; a price without a return counts as one of 0.
+    A day without a price keeps its return, which counts for all older days; a price on a day without a return is left out.
+    With ``alive`` only symbols that have a return on the reports' last date.
     """
     if filled and calendar is None:
         raise ValueError("filled prices need a calendar")
-    r = T.distinct_on(i[returns], ["refdate", "symbol"], ["log_return"])
-    r = r.select("refdate", "symbol", F.col("log_return").alias("returns"), F.lit(True).alias("__given"))
-    met = i[prices].join(r, ["refdate", "symbol"], "full")
-    met = met.withColumn("returns", F.when(F.col("__given"), F.col("returns")).otherwise(F.lit(0.0))).drop("__given")
-    return X.adjust_prices(met, calendar=calendar, fill_calendar_gaps=filled).drop("returns")
+    r, quotes = i[returns], i[prices].withColumnsRenamed(REPORTED)
+    if alive:
+        last = quotes.agg(F.max("refdate").alias("refdate"))
+        r = r.join(r.join(F.broadcast(last), "refdate", "left_semi").select("symbol").distinct(), "symbol", "left_semi")
+    r = r.select("refdate", "symbol", F.col("log_return").alias("returns"))
+    met = r.join(quotes.select("refdate", "symbol", *OHLC), ["refdate", "symbol"], "left")
+    return X.adjust_prices(met, calendar=calendar, fill_calendar_gaps=filled).select("refdate", "symbol", *OHLC)
+
+
+# fixed values: prices of the index reports by their names there
+REPORTED = {"open_price": "open", "max_price": "high", "min_price": "low", "close_price": "close", "oscillation_val": "oscillation"}
 
 
 def listed_funds_consolidated(i: Inputs) -> DataFrame:
@@ -484,11 +527,11 @@ def _alive_indexes(i: Inputs) -> DataFrame:
 
 def indexes_prices(i: Inputs) -> DataFrame:
     """Prices of the indexes that exist at the last date."""
-    return i["index_reports"].join(_alive_indexes(i), "symbol", "left_semi").select("refdate", "symbol", *OHLC)
+    return i["index_reports"].withColumnsRenamed(REPORTED).join(_alive_indexes(i), "symbol", "left_semi").select("refdate", "symbol", *OHLC)
 
 
 def indexes_returns(i: Inputs) -> DataFrame:
-    return X.returns_from_oscillation(i["index_reports"], "oscillation").select("refdate", "symbol", "pct_return", "log_return")
+    return X.returns_from_oscillation(i["index_reports"].withColumnsRenamed(REPORTED), "oscillation").select("refdate", "symbol", "pct_return", "log_return")
 
 
 def indexes_composition_consolidated(i: Inputs) -> DataFrame:
@@ -588,8 +631,8 @@ DATASETS: dict[str, Callable[..., DataFrame]] = {
     "curves_di1_standard_returns": partial(curve_standard_returns, name="curves_di1_standard"),
     "curves_dap_standard_returns": partial(curve_standard_returns, name="curves_dap_standard"),
     "cotahist": cotahist,
-    "equities_adjusted_prices": partial(adjusted_prices, prices="equities_unadjusted_prices", returns="equities_returns"),
-    "equities_adjusted_prices_filled": partial(adjusted_prices, prices="equities_unadjusted_prices", returns="equities_returns", filled=True),
+    "equities_adjusted_prices": partial(adjusted_prices, prices="price_reports", returns="equities_returns"),
+    "equities_adjusted_prices_filled": partial(adjusted_prices, prices="price_reports", returns="equities_returns", filled=True),
     "equities_etfs_returns": equities_etfs_returns,
     "equities_instrument_assets": equities_instrument_assets,
     "equities_register": equities_register,
@@ -612,8 +655,8 @@ DATASETS: dict[str, Callable[..., DataFrame]] = {
     "futures_wdo_adjusted_returns": partial(price_returns, name="futures_wdo_adjusted", price="price"),
     "futures_win_adjusted_returns": partial(price_returns, name="futures_win_adjusted", price="price"),
     "indexes_prices": indexes_prices,
-    "indexes_adjusted_prices": partial(adjusted_prices, prices="indexes_prices", returns="indexes_returns"),
-    "indexes_adjusted_prices_filled": partial(adjusted_prices, prices="indexes_prices", returns="indexes_returns", filled=True),
+    "indexes_adjusted_prices": partial(adjusted_prices, prices="index_reports", returns="indexes_returns", alive=True),
+    "indexes_adjusted_prices_filled": partial(adjusted_prices, prices="index_reports", returns="indexes_returns", alive=True, filled=True),
     "indexes_composition_consolidated": indexes_composition_consolidated,
     "indexes_current_portfolio_consolidated": partial(copied, name="indexes_current_portfolio"),
     "indexes_theoretical_portfolio_consolidated": partial(copied, name="indexes_theoretical_portfolio"),

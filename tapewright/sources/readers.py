@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -55,6 +56,9 @@ def _after_first(lines: DataFrame, skip: int, skip_if_startswith: str | None = N
     return _with_start(lines).where(~gone).drop("first")
 
 
+HEADERS = 10_000  # different header lines that a folder may have
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -64,20 +68,60 @@ def read_csv(
     names: Sequence[str] | None = None,
     encoding: str = "utf-8",
 ) -> DataFrame:
-    """Text columns of delimited files; without ``names`` the first line has them.
+    """Text columns of delimited files; without ``names`` every file's first line has its own.
 
-    ``skip`` lines of each file go; ``skip_if_startswith`` drops the next one if it starts so.
+    ``skip`` lines of each file go; ``skip_if_startswith`` drops the next one if it starts so. Files may differ in the order and
+    choice of their columns: rows follow their own file's header, and a column that a file lacks is null in its rows. The
+    columns come in the order of the headers, the most frequent one first. Files without a line have no rows.
     """
     options = {"sep": separator, "encoding": encoding, "mode": "PERMISSIVE"}
-    if not skip and not skip_if_startswith:
-        if not names:
-            return spark.read.options(**options, header="true").csv(path)
-        return spark.read.options(**options, header="false").schema(", ".join(f"`{n}` string" for n in names)).csv(path)
-    if not names:
-        raise ValueError("names are needed where lines are skipped")
-    lines = _after_first(_numbered(spark, path, encoding), skip, skip_if_startswith)
-    schema = ", ".join(f"`{n}` string" for n in names)
-    return lines.select(F.from_csv("value", schema, {"sep": separator}).alias("row")).select("row.*")
+    if names:
+        schema = ", ".join(f"{_quoted(n)} string" for n in names)
+        if not skip and not skip_if_startswith:
+            return spark.read.options(**options, header="false").schema(schema).csv(path)
+        lines = _after_first(_numbered(spark, path, encoding), skip, skip_if_startswith)
+        return lines.select(F.from_csv("value", schema, {"sep": separator}).alias("row")).select("row.*")
+    lines = _numbered(spark, path, encoding)
+    heads = _headers(lines, skip, skip_if_startswith)
+    found = heads.groupBy("header").count().orderBy(F.desc("count"), "header").limit(HEADERS + 1).collect()
+    if len(found) > HEADERS:
+        raise ValueError(f"more than {HEADERS} different headers; give names")
+    if not found:
+        return spark.createDataFrame([], "value string").select()
+    if len(found) == 1 and not skip and not skip_if_startswith:
+        return spark.read.options(**options, header="true").csv(path)  # one layout: columns are pruned in the scan
+    of_header = {r["header"]: _header_names(r["header"], separator) for r in found}
+    columns = list(dict.fromkeys(c for own in of_header.values() for c in own))
+    places = [(header, [own.index(c) if c in own else None for c in columns]) for header, own in of_header.items()]
+    layouts = spark.createDataFrame(places, "header string, places array<int>")
+    widest = max(map(len, of_header.values()))
+    cells = ", ".join(f"c{k} string" for k in range(widest))
+    heads = heads.join(F.broadcast(layouts), "header").select("file", "place", "places")
+    body = _by_file(_with_start(lines), heads)
+    body = body.where(~(F.col("at") - F.col("first")).between(F.lit(0), F.col("place")) & (F.trim("value") != ""))
+    row = F.from_csv("value", cells, {"sep": separator})
+    read = body.select("places", row.alias("row")).select("places", F.array(*[F.col(f"row.c{k}") for k in range(widest)]).alias("cells"))
+    return read.select(*[F.get("cells", F.get("places", k)).alias(c) for k, c in enumerate(columns)])
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _headers(lines: DataFrame, skip: int, skip_if_startswith: str | None) -> DataFrame:
+    """(file, header, place): each file's header line and how many lines are before it."""
+    near = _with_start(lines.where("block = 0")).withColumn("place", F.col("at") - F.col("first"))
+    near = near.where(F.col("place").between(skip, skip + 1)).select("file", "place", "value")
+    if skip_if_startswith:
+        near = near.where((F.col("place") > skip) | ~F.col("value").startswith(skip_if_startswith))
+    first = near.groupBy("file").agg(F.min(F.struct("place", "value")).alias("line"))
+    return first.select("file", F.regexp_replace("line.value", "^\ufeff", "").alias("header"), "line.place")
+
+
+def _header_names(header: str, separator: str) -> list[str]:
+    """The names in a header line; empty ones by their place, repeated ones with their place behind them."""
+    cells = [c.strip() for c in next(csv.reader([header], delimiter=separator), [])]
+    return [f"_c{k}" if not c else f"{c}{k}" if cells.count(c) > 1 else c for k, c in enumerate(cells)]
 
 
 def _sliced(fields: Sequence[Field], text: str = "value") -> list[Column]:
@@ -109,13 +153,9 @@ def read_fwf_multi(
 ) -> dict[str, DataFrame]:
     """A file of several record types: two letters name the dataset (``datasets``: code -> fields after the code).
 
-    Each file's header record dates all of its rows. One scan serves every dataset.
+    Each file's header record dates all of its rows. ``fwf_multi_rows`` has the rows of all datasets in one scan.
     """
-    lines = _numbered(spark, path, encoding)
-    heads = lines.where(F.col("value").startswith(header_code))
-    date = F.try_to_timestamp(F.substring("value", refdate_start, refdate_width), F.lit("yyyyMMdd")).cast("date")
-    dates = heads.groupBy("file").agg(F.min(date).alias("refdate"))
-    met = _by_file(lines, dates, "left")
+    met = _dated(spark, path, header_code, refdate_start, refdate_width, encoding)
     out = {}
     for code, fields in datasets.items():
         rows = met.where(F.col("value").startswith(code)).withColumn("value", F.substring("value", 3, 1 << 20))
@@ -123,6 +163,37 @@ def read_fwf_multi(
     return out
 
 
+def _dated(spark: SparkSession, path: str, header_code: str, refdate_start: int, refdate_width: int, encoding: str) -> DataFrame:
+    lines = _numbered(spark, path, encoding)
+    heads = lines.where(F.col("value").startswith(header_code))
+    date = F.try_to_timestamp(F.substring("value", refdate_start, refdate_width), F.lit("yyyyMMdd")).cast("date")
+    return _by_file(lines, heads.groupBy("file").agg(F.min(date).alias("refdate")), "left")
+
+
+def fwf_multi_rows(
+    spark: SparkSession,
+    path: str,
+    datasets: Mapping[str, Sequence[Field]],
+    header_code: str = "00",
+    refdate_start: int = 31,
+    refdate_width: int = 8,
+    encoding: str = "latin1",
+    names: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The rows of all record types from one scan of the lines, for ``sinks.write_outputs``; ``names`` by code."""
+    met = _dated(spark, path, header_code, refdate_start, refdate_width, encoding)
+    code, text = F.substring("value", 1, 2), F.substring("value", 3, 1 << 20)
+    output = F.coalesce(*[F.when(code == c, F.lit((names or {}).get(c, c))) for c in datasets])
+    outputs = {}
+    for c, fields in datasets.items():
+        cells, at = {"refdate": F.col("refdate")}, 1
+        for f in fields:
+            cells[f.name] = f.typed(F.substring(text, at, f.width))
+            at += f.width
+        outputs[(names or {}).get(c, c)] = cells
+    return tagged(met, output, outputs)
+
+
 def at_path(column: Column, path: str) -> Column:
     """A value inside structs and arrays: names and list places, with dots between."""
     for step in path.split("."):
@@ -190,7 +261,7 @@ def read_xml_indexes(
     dates = _message_values(spark, path, date_tag, date_child, "__date")
     out = {}
     for tag, fields in datasets.items():
-        df = xml_rows(spark, path, tag, (schemas or {}).get(tag), with_file=True)
+        df = xml_rows(spark, path, tag, (schemas or {}).get(tag, xml_schema([fields])), with_file=True)
         met = _by_file(df, dates, "left")
         missing = F.raise_error(F.concat(F.lit(f"{date_tag} not found in "), "file"))
         date = F.coalesce(F.to_date("__date"), missing.cast("date"))
@@ -210,19 +281,40 @@ def _xml_value(df: DataFrame, f: Field) -> Column:
     return F.trim(column.cast("string"))
 
 
+def xml_schema(layouts: Sequence[Sequence[Field]]) -> T.StructType:
+    """One nested schema of text that has every element path (``tag``) of the layouts: their prefix tree."""
+    tree: dict[str, Any] = {}
+    for fields in layouts:
+        for f in fields:
+            node = tree
+            for step in (f.tag or f.name).split("/"):
+                node = node.setdefault(step, {})
+
+    def struct(node: dict[str, Any]) -> T.StructType:
+        return T.StructType([T.StructField(name, struct(below) if below else T.StringType()) for name, below in node.items()])
+
+    return struct(tree)
+
+
+def _instruments(
+    spark: SparkSession, path: str, datasets: Mapping[str, Sequence[Field]], row_tag: str, info: str, schema: Any, header_tag: str | None, created: str
+) -> tuple[DataFrame, list[str]]:
+    df = xml_rows(spark, path, row_tag, schema if schema is not None else xml_schema(list(datasets.values())), with_file=header_tag is not None)
+    if not header_tag:
+        return df, []
+    return _by_file(df, _message_values(spark, path, header_tag, created, "creation_date"), "left"), ["creation_date"]
+
+
 def read_xml_instruments(
     spark: SparkSession, path: str, datasets: Mapping[str, Sequence[Field]], row_tag: str = "Instrm", info: str = "InstrmInf",
     schema: Any = None, header_tag: str | None = None, created: str = "CreDtAndTm",
 ) -> dict[str, DataFrame]:
-    """One scan; an instrument belongs to the dataset of the child that its ``info`` element has.
+    """Frames by the child of ``info``: an instrument belongs to the dataset of the child that it has.
 
-    With ``header_tag`` (the element of a message that holds its creation time) every row has that as creation_date.
+    The schema is that of the layouts' element paths, so that nothing is inferred. With ``header_tag`` (the element of a
+    message that holds its creation time) every row has that as creation_date. ``xml_instrument_rows`` has all of them in one scan.
     """
-    df = xml_rows(spark, path, row_tag, schema, with_file=header_tag is not None)
-    more = []
-    if header_tag:
-        df = _by_file(df, _message_values(spark, path, header_tag, created, "creation_date"), "left")
-        more = ["creation_date"]
+    df, more = _instruments(spark, path, datasets, row_tag, info, schema, header_tag, created)
     known = df.schema[info].dataType.names if info in df.columns else []
     out = {}
     for tag, fields in datasets.items():
@@ -231,6 +323,40 @@ def read_xml_instruments(
     return out
 
 
+def xml_instrument_rows(
+    spark: SparkSession, path: str, datasets: Mapping[str, Sequence[Field]], row_tag: str = "Instrm", info: str = "InstrmInf",
+    schema: Any = None, header_tag: str | None = None, created: str = "CreDtAndTm", names: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The rows of all datasets from one scan, for ``sinks.write_outputs``: ``output`` names a row's dataset.
+
+    ``names`` gives the outputs' names by their elements.
+    """
+    df, more = _instruments(spark, path, datasets, row_tag, info, schema, header_tag, created)
+    known = df.schema[info].dataType.names if info in df.columns else []
+    kind = F.coalesce(*[F.when(F.col(info)[tag].isNotNull(), F.lit((names or {}).get(tag, tag))) for tag in datasets if tag in known], F.lit(None).cast("string"))
+    outputs = {
+        (names or {}).get(tag, tag): {**{c: F.col(c) for c in more}, **{f.name: f.typed(_xml_value(df, f)) for f in fields}}
+        for tag, fields in datasets.items()
+    }
+    return tagged(df, kind, outputs)
+
+
+def tagged(df: DataFrame, output: Column, outputs: Mapping[str, Mapping[str, Column]]) -> DataFrame:
+    """Rows of several datasets side by side: ``output`` and every dataset's columns, null where a row's dataset has no such column.
+
+    Rows whose output is none of ``outputs`` are left out. Datasets that share a column's name share the column; if their
+    types differ, each has its own, named ``column@output``.
+    """
+    kinds = {o: dict(df.select(*[c.alias(n) for n, c in columns.items()]).dtypes) for o, columns in outputs.items()}
+    cells: dict[str, list[Column]] = {}
+    for o, columns in outputs.items():
+        for n, c in columns.items():
+            same = len({kind[n] for kind in kinds.values() if n in kind}) == 1
+            cells.setdefault(n if same else f"{n}@{o}", []).append(F.when(output == o, c))
+    found = df.where(output.isin(*outputs))
+    return found.select(output.alias("output"), *[F.coalesce(*c).alias(n) for n, c in cells.items()])
+
+
 def latest_message(df: DataFrame, day_column: str, created_column: str, message_column: str) -> DataFrame:
     """Rows of each day's last message only; messages without a creation time do not count, and no usable one is an error."""
     known = df.where(F.col(created_column).isNotNull())

@@ -40,23 +40,24 @@ def test_unadjusted_prices(market):
 def test_returns_of_equities(market):
     got = [(r["refdate"], round(r["pct_return"], 6)) for r in build("equities_returns", market).collect()]
     assert got == [(D(2016, 2, 29), -0.03), (D(2016, 3, 1), 0.02), (D(2016, 3, 2), 0.0)]
-    prices = {"equities_unadjusted_prices": build("equities_unadjusted_prices", market), "equities_returns": build("equities_returns", market)}
-    assert build("equities_adjusted_prices", prices).count() == 5
-    assert build("equities_adjusted_prices_filled", prices, calendar=build_calendar(market["cotahist"].sparkSession, "2010-01-01", "2021-12-31")).count() > 2500
+    inputs = {"price_reports": market["price_reports"], "equities_returns": build("equities_returns", market)}
+    adjusted = build("equities_adjusted_prices", inputs).orderBy("refdate").collect()
+    assert [(r["refdate"], r["close"]) for r in adjusted] == [(D(2016, 2, 29), pytest.approx(13.0 / 1.02)), (D(2016, 3, 1), 13.0), (D(2016, 3, 2), 13.0)]
+    assert build("equities_adjusted_prices_filled", inputs, calendar=build_calendar(market["cotahist"].sparkSession, "2010-01-01", "2021-12-31")).count() == 3
 
 
-@pytest.mark.parametrize(("name", "prices", "returns"), [("equities_adjusted_prices", "equities_unadjusted_prices", "equities_returns"), ("indexes_adjusted_prices", "indexes_prices", "indexes_returns")])
+@pytest.mark.parametrize(("name", "prices", "returns"), [("equities_adjusted_prices", "price_reports", "equities_returns"), ("indexes_adjusted_prices", "index_reports", "indexes_returns")])
 def test_a_return_without_a_price_counts(spark, name, prices, returns):
     rows = [(D(2024, 1, k), "A", c) for k, c in ((2, 10.0), (3, 11.0), (5, 13.0), (9, 14.0))]
     p = spark.createDataFrame(rows, "refdate date, symbol string, close double").withColumns({c: F.col("close") for c in ("open", "high", "low")})
     r = spark.createDataFrame([(D(2024, 1, 2), "A", 0.5), (D(2024, 1, 4), "A", 0.1), (D(2024, 1, 5), "A", 0.2), (D(2024, 1, 9), "A", 0.3)], "refdate date, symbol string, log_return double")
     i, cal = {prices: p, returns: r}, build_calendar(spark, "2023-12-01", "2024-01-31")
-    wanted = {2: 14 * math.exp(-0.6), 3: 14 * math.exp(-0.6), 4: 14 * math.exp(-0.5), 5: 14 * math.exp(-0.3), 9: 14.0}
+    wanted = {2: 14 * math.exp(-0.6), 4: 14 * math.exp(-0.5), 5: 14 * math.exp(-0.3), 9: 14.0}  # the price of the 3rd has no return
     for options in ({}, {"calendar": cal}):
         got = {x["refdate"].day: x for x in build(name, i, **options).collect()}
         assert {k: x["close"] for k, x in got.items()} == pytest.approx(wanted) and got[4]["open"] is None
     filled = {x["refdate"].day: x["close"] for x in build(f"{name}_filled", i, calendar=cal).collect()}
-    assert filled == pytest.approx({**wanted, 8: 14 * math.exp(-0.3)})
+    assert filled == pytest.approx({**wanted, 3: 14 * math.exp(-0.6), 8: 14 * math.exp(-0.3)})
     with pytest.raises(ValueError, match="calendar"):
         build(f"{name}_filled", i)
 

@@ -200,7 +200,7 @@ def test_partition_columns_and_kinds(spark):
     df = spark.createDataFrame([("A", "x", "1", 3)], "symbol string, trading_name string, code_cvm string, end_month int")
     found = api.describe_datasets({"companies": df}, {"companies": ["symbol"]}).collect()
     assert [(r["column"], r["is_partition"]) for r in found] == [("symbol", True), ("trading_name", False), ("code_cvm", False), ("end_month", False)]
-    assert [r["symbol"] for r in api.get_symbols({"companies": df}, "company-cvm-code").collect()] == ["1"]
+    assert [r["symbol"] for r in api.get_symbols({"companies_names": df}, "company-cvm-code").collect()] == ["1"]
     funds = spark.createDataFrame([(D(2024, 1, 1), "ETF", "A"), (D(2024, 1, 2), "Fixed Income ETF", "B")], "refdate date, fund_type string, symbol string")
     assert [r["symbol"] for r in api.get_symbols({"listed_funds": funds}, "FIETF").collect()] == ["B"]
     dates = spark.createDataFrame([(D(1999, 1, 1),), (D(2005, 1, 1),), (D(2999, 1, 1),)], "refdate date")
