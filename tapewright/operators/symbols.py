@@ -119,7 +119,7 @@ def symbol_changes(quotes: DataFrame, returns: DataFrame, tol: float = 0.005, ma
     suffixes agree and the share class stays, or PN becomes ON. Each symbol is in one pair at most: pairs that are each
     other's best, by ret_match, share class and least change, then again among those left over; symbols decide ties.
     """
-    lives = _lives(quotes, margin)
+    lives = written(_lives(quotes, margin), "lives")  # a row a symbol, read from both sides
     kept = ("symbol", "share_class", "isin", "corporation_name", "suffix")
     old = lives.where("stops and last_close > 0").select(
         *[F.col(c).alias(f"old_{c}") for c in kept], "last_date", "last_close", "isin_class", (F.col("to") + 1).alias("session")

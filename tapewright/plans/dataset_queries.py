@@ -191,11 +191,6 @@ def ds_equities_instrument_assets(spark, d):
     return DS.DATASETS["equities_instrument_assets"]({"instruments_equities": register(spark, d)})
 
 
-_NAMES_SQL = """info AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS refdate, CASE WHEN o_custkey % 10 = 0 THEN '0' ELSE CAST(o_custkey AS VARCHAR) END AS codeCVM,
-        ' ' || o_orderstatus || ' ' AS tradingName, 'I' || o_custkey % 83 AS issuingCompany FROM orders),
-    names AS (SELECT max(refdate) AS refdate, codeCVM AS code_cvm, trim(tradingName) AS trading_name, issuingCompany AS instrument_asset FROM info WHERE codeCVM <> '0' GROUP BY ALL)"""
-
-
 def company_info(spark, d):
     key = F.col("o_custkey")
     return table(spark, d, "orders").select(
@@ -204,23 +199,23 @@ def company_info(spark, d):
     )
 
 
-@query(f"WITH {_NAMES_SQL} SELECT refdate, code_cvm, trading_name, instrument_asset FROM names")
+# every customer is a company whose names are its orders' states: the last order of each counts, and a tenth has no code
+@query("""SELECT CAST(max(o_orderdate) AS DATE) AS refdate, CAST(o_custkey AS VARCHAR) AS code_cvm, o_orderstatus AS trading_name, 'I' || any_value(o_custkey % 83) AS instrument_asset
+    FROM orders WHERE o_custkey % 10 > 0 GROUP BY o_custkey, o_orderstatus""")
 def ds_companies_names(spark, d):
     return DS.DATASETS["companies_names"]({"company_info": company_info(spark, d)})
 
 
-@query("""WITH raw AS (SELECT DISTINCT 'I' || l_suppkey % 83 AS issuingCompany, CASE WHEN l_linenumber % 2 = 0 THEN '' ELSE 'BRA' || lpad(CAST(l_partkey % 300 AS VARCHAR), 3, '0') || 'ACNOR1' END AS assetIssued,
-        'BRB' || lpad(CAST(l_partkey % 300 AS VARCHAR), 3, '0') || CASE l_linenumber % 3 WHEN 0 THEN 'ACNPA1' WHEN 1 THEN 'ACNPR2' ELSE 'UNT0R1' END AS isinCode, l_returnflag AS label, l_tax AS factor,
-        CAST(date_trunc('year', l_shipdate) AS DATE) AS approvedOn, CAST(date_trunc('month', l_shipdate) AS DATE) AS lastDatePrior, CAST(l_shipdate AS DATE) AS refdate FROM lineitem),
-    paper AS (SELECT issuingCompany, CASE assetIssued WHEN '' THEN isinCode ELSE assetIssued END AS asset, label, lastDatePrior, approvedOn, factor, isinCode, refdate FROM raw),
-    last AS (SELECT issuingCompany, asset, label, lastDatePrior, approvedOn, factor, max(refdate) AS refdate FROM paper GROUP BY ALL),
-    dedup AS (SELECT issuingCompany, asset, label, lastDatePrior, approvedOn, factor, min(isinCode) AS isinCode FROM paper
-        JOIN last USING (issuingCompany, asset, label, lastDatePrior, approvedOn, factor, refdate) GROUP BY ALL),
-    names AS (SELECT 'I' || s_suppkey % 83 AS issuing_company, CAST(max(s_suppkey) AS VARCHAR) AS code_cvm FROM supplier WHERE s_suppkey % 83 < 60 GROUP BY 1),
-    symbols AS (SELECT DISTINCT 'BRB' || lpad(CAST(p_partkey % 300 AS VARCHAR), 3, '0') || 'ACNPR2' AS isin, 'T' || p_partkey % 300 AS symbol FROM part)
-    SELECT code_cvm, issuingCompany AS issuing_company, symbol, asset AS asset_isin, CASE WHEN asset LIKE '_________OR%' THEN 'ON' WHEN asset LIKE '_________P%' THEN 'PN' ELSE 'UNT' END AS share_class,
-        label AS event_type_raw, factor, approvedOn AS approved_on, lastDatePrior AS ex_date, isinCode AS isin
-    FROM dedup LEFT JOIN names ON issuingCompany = issuing_company LEFT JOIN symbols ON asset = symbols.isin""")
+# The line's number and part decide on the paper, so what must come out is known from them: odd lines have an ordinary paper of their
+# own, of even lines 2 is a unit, 4 a preferred paper that has a ticker, 6 one without. Of equal events the last line counts.
+@query("""SELECT (SELECT CAST(max(s_suppkey) AS VARCHAR) FROM supplier WHERE s_suppkey % 83 = issuer AND issuer < 60) AS code_cvm, 'I' || issuer AS issuing_company,
+           CASE WHEN paper = 4 AND EXISTS (FROM part WHERE p_partkey % 300 = number) THEN 'T' || number END AS symbol,
+           CASE paper WHEN 1 THEN 'BRA' ELSE 'BRB' END || lpad(CAST(number AS VARCHAR), 3, '0') || ['ACNOR1', 'UNT0R1', '', 'ACNPR2', '', 'ACNPA1'][paper] AS asset_isin,
+           ['ON', 'UNT', '', 'PN', '', 'PN'][paper] AS share_class, label AS event_type_raw, factor, approved_on, ex_date, 'BRB' || lpad(CAST(number AS VARCHAR), 3, '0') || last.code AS isin
+    FROM (SELECT l_suppkey % 83 AS issuer, l_partkey % 300 AS number, CASE WHEN l_linenumber % 2 = 1 THEN 1 ELSE l_linenumber END AS paper, l_returnflag AS label, l_tax AS factor,
+              CAST(date_trunc('year', l_shipdate) AS DATE) AS approved_on, CAST(date_trunc('month', l_shipdate) AS DATE) AS ex_date,
+              min({'before': -epoch(l_shipdate), 'code': ['ACNPR2', 'UNT0R1', 'ACNPA1', 'ACNPR2', 'UNT0R1', 'ACNPA1', 'ACNPR2'][l_linenumber]}) AS last
+          FROM lineitem GROUP BY ALL)""")
 def ds_stock_events(spark, d):
     def three(column):
         return F.lpad((F.col(column) % 300).cast("string"), 3, "0")
@@ -305,10 +300,11 @@ def ds_futures_bd(spark, d):
     return found.select("refdate", "symbol", "commodity", "expiration_code", F.round("adjusted_quote", 4).alias("adjusted_quote"), rate.alias("rate"), "traded_contracts")
 
 
-@query("""WITH fc AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS refdate, 'F' || l_partkey % 50 AS symbol FROM lineitem WHERE l_returnflag <> 'R'),
-    p AS (SELECT CAST(l_shipdate AS DATE) AS refdate, 'F' || l_partkey % 50 AS symbol, CASE WHEN l_linenumber = 4 THEN NULL ELSE l_quantity END AS traded_contracts, l_extendedprice AS volume, l_orderkey * 10 + l_linenumber AS open_interest, l_tax AS tax FROM lineitem),
-    best AS (SELECT refdate, symbol, max({'a': coalesce(traded_contracts, -1), 'b': volume, 'c': open_interest, 't': tax}) AS m FROM fc JOIN p USING (refdate, symbol) GROUP BY ALL)
-    SELECT refdate, symbol, nullif(m.a, -1) AS traded_contracts, m.b AS volume, round(m.t / 100, 8) AS adjusted_tax, m.c AS open_interest FROM best""")
+# the price row of a day and contract with most trades counts, none at all being less than any number; contracts of returned lines alone are not registered
+@query("""SELECT CAST(l_shipdate AS DATE) AS refdate, 'F' || l_partkey % 50 AS symbol, nullif(best[1], -1) AS traded_contracts, best[2] AS volume, round(best[4] / 100, 8) AS adjusted_tax, CAST(best[3] AS BIGINT) AS open_interest
+    FROM (SELECT l_shipdate, l_partkey, max([CASE WHEN l_linenumber = 4 THEN -1 ELSE l_quantity END, l_extendedprice, l_orderkey * 10 + l_linenumber, l_tax]) OVER w AS best,
+              bool_or(l_returnflag <> 'R') OVER w AS registered, row_number() OVER w AS n FROM lineitem WINDOW w AS (PARTITION BY CAST(l_shipdate AS DATE), l_partkey % 50))
+    WHERE registered AND n = 1""")
 def ds_futures_bvbg(spark, d):
     line = table(spark, d, "lineitem").withColumns({"refdate": F.to_date("l_shipdate"), "symbol": F.concat(F.lit("F"), (F.col("l_partkey") % 50).cast("string"))})
     contracts = line.where("l_returnflag <> 'R'").select("refdate", "symbol").distinct()

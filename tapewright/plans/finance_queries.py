@@ -220,53 +220,65 @@ def symbol_spans(spark, d):
     return S.symbol_spans(q.agg(F.max("l_extendedprice").alias("close")))
 
 
-# renames between weekly names of each event type; the rules are those of symbol_changes, written apart
-_WEEKS_SQL = f"""{_bars_sql()},
-    quotes AS (SELECT refdate, upper(symbol) || CAST((day(refdate) - 1) // 7 AS VARCHAR) || '3' AS symbol, close,
-                      'BR' || rpad(upper(substr(symbol, 1, 4)), 4, 'X') || 'ACN' || CASE WHEN day(refdate) > 21 THEN 'PR' ELSE 'OR' END || '9' AS isin FROM candles),
-    held AS (SELECT *, dense_rank() OVER (ORDER BY refdate) AS k FROM quotes WHERE regexp_matches(isin, '^.{{6}}(ACN|UNT|CDA)') AND close IS NOT NULL),
-    life AS (SELECT symbol, min(k) AS born, max(k) AS died, min(refdate) AS first_day, max(refdate) AS last_day, arg_min(close, k) AS c0, arg_max(close, k) AS c1,
-                    regexp_extract(arg_max(isin, k), '^.{{6}}(.{{3}})', 1) AS kind, regexp_extract(arg_max(isin, k), '^.{{9}}(OR|P)', 1) AS letters FROM held GROUP BY symbol),
-    classed AS (SELECT *, CASE letters WHEN 'OR' THEN 'ON' WHEN 'P' THEN 'PN' ELSE kind END AS class FROM life),
-    rets AS (SELECT refdate, symbol, close / 100 - 0.5 AS pct_return FROM quotes WHERE day(refdate) % 2 = 0),
-    cand AS (SELECT o.symbol AS old_symbol, n.symbol AS new_symbol, n.first_day AS change_date, o.last_day AS last_date, n.c0 / o.c1 - 1 AS chg, o.kind AS isin_class, o.class AS old_share_class, n.class AS new_share_class,
-                    abs(pct_return - (n.c0 / o.c1 - 1)) <= 0.2 AS rm
-             FROM classed o JOIN classed n ON n.born - o.died = 1 AND n.kind = o.kind LEFT JOIN rets r ON r.symbol = n.symbol AND r.refdate = n.first_day
-             WHERE o.c1 > 0 AND n.born - 5 > (SELECT min(k) FROM held) AND o.died + 5 < (SELECT max(k) FROM held)),
-    scored AS (SELECT *, {{'a': NOT coalesce(rm, false), 'b': old_share_class <> new_share_class, 'c': abs(chg), 'd': old_symbol, 'e': new_symbol}} AS score FROM cand
-               WHERE coalesce(rm, false) OR (substr(old_symbol, 5) = substr(new_symbol, 5) AND (old_share_class = new_share_class OR old_share_class || new_share_class = 'PNON'))),
-    one AS (SELECT * FROM scored x WHERE score = (SELECT min(score) FROM scored y WHERE y.old_symbol = x.old_symbol) AND score = (SELECT min(score) FROM scored z WHERE z.new_symbol = x.new_symbol)),
-    rest AS (SELECT * FROM scored WHERE old_symbol NOT IN (SELECT old_symbol FROM one) AND new_symbol NOT IN (SELECT new_symbol FROM one)),
-    two AS (SELECT * FROM rest x WHERE score = (SELECT min(score) FROM rest y WHERE y.old_symbol = x.old_symbol) AND score = (SELECT min(score) FROM rest z WHERE z.new_symbol = x.new_symbol)),
-    changes AS (SELECT * FROM one UNION ALL SELECT * FROM two)"""
-
-
-def week_quotes(spark, d):
-    symbol = F.concat(F.upper("symbol"), F.floor((F.day("refdate") - 1) / 7).cast("string"), F.lit("3"))
-    kind = F.when(F.day("refdate") > 21, "PR").otherwise("OR")
-    isin = F.concat(F.lit("BR"), F.rpad(F.upper(F.substring("symbol", 1, 4)), 4, "X"), F.lit("ACN"), kind, F.lit("9"))
-    return bars(spark, d).select("refdate", symbol.alias("symbol"), "close", isin.alias("isin"))
-
-
-def week_changes(spark, d):
-    quotes = week_quotes(spark, d)
-    returns = quotes.where(F.day("refdate") % 2 == 0).select("refdate", "symbol", (F.col("close") / 100 - 0.5).alias("pct_return"))
-    return S.symbol_changes(quotes, returns, 0.2)
-
-
-@query(f"WITH {_WEEKS_SQL} SELECT old_symbol, new_symbol, change_date, last_date, round(chg, 6) AS close_change_pct, rm AS ret_match, isin_class, old_share_class, new_share_class FROM changes")
+# Renames that are planted: every supplier j trades as one symbol up to session 10 + j % 20 and as another one from there on, over 40
+# sessions, so that what must be found is known from the key. The price moves by (1 + j % 7) percent. Suppliers with j % 3 > 0 share the
+# suffix 3 and have that move as a return; the others have a suffix of their own and no return. With j % 5 = 0 the new paper is of another type, with
+# j % 11 = 0 it comes a session late: these are no renames. With j % 13 = 0 a PN becomes an ON.
+_PLANTED_SQL = """s AS (SELECT CAST(s_suppkey AS BIGINT) AS j, 10 + s_suppkey % 20 AS cut, s_suppkey % 5 = 0 OR s_suppkey % 11 = 0 AS apart FROM supplier),
+    p AS (SELECT *, j % 3 > 0 AND NOT apart AS has_return, CASE WHEN j % 3 > 0 AND NOT apart THEN '3' ELSE '1' || j END AS suffix FROM s),
+    planted AS (SELECT *, lpad(to_base(2 * j, 36), 4, '0') || suffix AS old_symbol, lpad(to_base(2 * j + 1, 36), 4, '0') || suffix AS new_symbol, 1 + j % 7 AS percent FROM p)"""
+
+
+def planted(spark, d):
+    j = F.col("s_suppkey").cast("long")
+    apart = (j % 5 == 0) | (j % 11 == 0)
+    shared = (j % 3 > 0) & ~apart
+    suffix = F.when(shared, "3").otherwise(F.concat(F.lit("1"), j.cast("string")))
+
+    def code(k):
+        return F.concat(F.lpad(F.conv(k.cast("string"), 10, 36), 4, "0"), suffix)
+
+    return table(spark, d, "supplier").select(
+        j.alias("j"), (j % 20 + 10).alias("cut"), shared.alias("has_return"), (j % 7 + 1).alias("percent"),
+        (10.0 + j).alias("before"), ((10.0 + j) * (1 + (j % 7 + 1) / 100)).alias("after"), code(2 * j).alias("old_symbol"), code(2 * j + 1).alias("new_symbol"),
+    )
+
+
+def _session(k):
+    return F.date_add(F.lit("2018-01-01").cast("date"), k.cast("int"))
+
+
+def planted_quotes(spark, d):
+    days = planted(spark, d).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(39))))
+    late = F.when(F.col("j") % 11 == 0, 1).otherwise(0)
+    old, new = F.col("k") < F.col("cut"), F.col("k") >= F.col("cut") + late
+    kind = F.when(old, F.when(F.col("j") % 13 == 0, "ACNPR").otherwise("ACNOR")).otherwise(F.when(F.col("j") % 5 == 0, "UNTOR").otherwise("ACNOR"))
+    isin = F.concat(F.lit("BR"), F.lpad(F.conv(F.col("j").cast("string"), 10, 36), 4, "0"), kind, F.lit("1"))
+    return days.where(old | new).select(
+        _session(F.col("k")).alias("refdate"), F.when(old, F.col("old_symbol")).otherwise(F.col("new_symbol")).alias("symbol"),
+        F.when(old, F.col("before")).otherwise(F.col("after")).alias("close"), isin.alias("isin"),
+    )
+
+
+def planted_changes(spark, d):
+    moves = planted(spark, d).where("has_return").select(_session(F.col("cut")).alias("refdate"), F.col("new_symbol").alias("symbol"), (F.col("percent") / 100).alias("pct_return"))
+    return S.symbol_changes(planted_quotes(spark, d), moves)
+
+
+@query(f"""WITH {_PLANTED_SQL} SELECT old_symbol, new_symbol, DATE '2018-01-01' + CAST(cut AS INTEGER) AS change_date, DATE '2018-01-01' + CAST(cut - 1 AS INTEGER) AS last_date, round(percent / 100.0, 6) AS close_change_pct,
+    CASE WHEN has_return THEN TRUE END AS ret_match, 'ACN' AS isin_class, CASE WHEN j % 13 = 0 THEN 'PN' ELSE 'ON' END AS old_share_class, 'ON' AS new_share_class FROM planted WHERE NOT apart""")
 def symbol_changes(spark, d):
-    return week_changes(spark, d).select(
+    return planted_changes(spark, d).select(
         "old_symbol", "new_symbol", "change_date", "last_date", six("close_change_pct"), "ret_match", "isin_class", "old_share_class", "new_share_class"
     )
 
 
-@query(f"""WITH RECURSIVE {_WEEKS_SQL},
-    chain AS (SELECT old_symbol AS src, new_symbol AS dst, 1 AS n FROM changes UNION ALL SELECT src, c.new_symbol, n + 1 FROM chain JOIN changes c ON c.old_symbol = dst WHERE n < 20),
-    ends AS (SELECT src, arg_max(dst, n) AS dst FROM chain GROUP BY 1)
-    SELECT q.refdate, coalesce(dst, q.symbol) AS symbol, q.close FROM quotes q LEFT JOIN ends ON src = q.symbol""")
+@query(f"""WITH {_PLANTED_SQL}, k AS (SELECT *, unnest(range(40)) AS k FROM planted)
+    SELECT DATE '2018-01-01' + CAST(k AS INTEGER) AS refdate, CASE WHEN k < cut AND apart THEN old_symbol ELSE new_symbol END AS symbol,
+           round(CASE WHEN k < cut THEN 10 + j ELSE (10 + j) * (1 + percent / 100.0) END, 6) AS close FROM k WHERE k < cut OR k >= cut + CASE WHEN j % 11 = 0 THEN 1 ELSE 0 END""")
 def relabel_returns(spark, d):
-    return S.relabel_returns(week_quotes(spark, d).select("refdate", "symbol", "close"), week_changes(spark, d))
+    found = S.relabel_returns(planted_quotes(spark, d).select("refdate", "symbol", "close"), planted_changes(spark, d))
+    return found.select("refdate", "symbol", six("close"))
 
 
 @query("""WITH v AS (SELECT user_id, CAST(ts AS DATE) AS refdate, round(sum(value), 4) AS volume FROM events GROUP BY 1, 2),
@@ -322,12 +334,14 @@ def dq_coverage(spark, d):
     return Q.dq_coverage(events(spark, d), cal24(spark), group_column="user_id")
 
 
-@query(f"""WITH {_CAL_ALL}, o AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus = 'P'), x AS (SELECT * FROM o WHERE d >= (SELECT max(d) FROM o) - 365)
+@query(f"""WITH {_CAL_ALL}, o AS (SELECT DISTINCT CAST(o_orderdate AS DATE) + CASE WHEN day(o_orderdate) % 9 = 4 THEN 1 ELSE 0 END AS d FROM orders), x AS (SELECT * FROM o WHERE d >= (SELECT max(d) FROM o) - 365)
     SELECT {_F.format(rule='date_gaps')}, '*' AS series, CAST(cal_date AS VARCHAR) AS detail, CAST(1 AS BIGINT) AS count FROM cal
     WHERE is_bizday AND cal_date BETWEEN (SELECT min(d) FROM x) AND (SELECT max(d) FROM x) AND cal_date NOT IN (SELECT d FROM x) AND (SELECT count(*) FROM x) > 1""")
 def dq_date_gaps(spark, d):
-    """Business days of the last year without an order that is in part filled."""
-    return Q.dq_date_gaps(table(spark, d, "orders").where("o_orderstatus = 'P'"), cal_all(spark), "o_orderdate", 365)
+    """Business days of the last year without an order; orders of some days of the month are booked a day later."""
+    late = F.when(F.day("o_orderdate") % 9 == 4, 1).otherwise(0)
+    booked = table(spark, d, "orders").select(F.date_add(F.to_date("o_orderdate"), late).alias("booked"))
+    return Q.dq_date_gaps(booked, cal_all(spark), "booked", 365)
 
 
 @query(f"""WITH x AS (SELECT count(*) AS n, min(l_quantity) AS lo, max(l_quantity) AS hi FROM lineitem WHERE l_quantity < 3 OR l_quantity > 45)
