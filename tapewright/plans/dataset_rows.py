@@ -375,12 +375,12 @@ for _name in ("futures_settlement_prices", "indexes_current_portfolio", "indexes
 
 # ---- curves
 
-@query(f"""WITH {_CAL_ALL}, f AS (SELECT CAST(o_orderdate AS DATE) AS refdate, 'DAP' || o_orderkey AS symbol, CAST(o_orderdate AS DATE) + CAST(o_custkey % 400 AS INTEGER) AS raw, round(o_totalprice / 5000000, 6) AS tax FROM orders WHERE o_orderstatus = 'O'),
+@query(f"""WITH {_CAL_ALL}, f AS (SELECT CAST(o_orderdate AS DATE) AS refdate, 'DAP' || o_orderkey AS symbol, CAST(o_orderdate AS DATE) + CAST(o_custkey % 400 AS INTEGER) AS raw, o_custkey % 1000 / 10000.0 AS tax FROM orders WHERE o_orderstatus = 'O'),
     ends AS (SELECT a.cal_date, b.biz_idx AS at FROM cal a JOIN cal b ON a.next_bizday = b.cal_date)
     SELECT refdate, symbol, tax AS adjusted_tax, next_bizday AS maturity_date, y.at - x.at AS business_days FROM f JOIN cal c ON c.cal_date = raw JOIN ends x ON x.cal_date = refdate JOIN ends y ON y.cal_date = next_bizday WHERE raw > refdate""")
 def ds_curves_dap(spark, d):
     o = table(spark, d, "orders").where("o_orderstatus = 'O'").withColumn("refdate", F.to_date("o_orderdate"))
-    f = o.select("refdate", _text("DAP", "o_orderkey").alias("symbol"), F.lit("DAP").alias("commodity"), F.date_add("refdate", (F.col("o_custkey") % 400).cast("int")).alias("maturity_date"), F.round(F.col("o_totalprice") / 5000000, 6).alias("adjusted_tax"))
+    f = o.select("refdate", _text("DAP", "o_orderkey").alias("symbol"), F.lit("DAP").alias("commodity"), F.date_add("refdate", (F.col("o_custkey") % 400).cast("int")).alias("maturity_date"), (F.col("o_custkey") % 1000 / 10000).alias("adjusted_tax"))
     return DS.DATASETS["curves_dap"]({"futures": f}, calendar=cal_all(spark)).select("refdate", "symbol", "adjusted_tax", "maturity_date", "business_days")
 
 
