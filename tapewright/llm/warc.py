@@ -1,9 +1,10 @@
 """Derivatives of WARC files: for every response one metadata and one conversion record, linked to it.
 
 ``read_warc`` reads WARC files (plain or gzip, also with a member per record) as rows of one record: its id, type,
-target, date, fields, stored digests and block bytes. Records are told apart by Spark's text reader, with the end of a
-record and the next one's version as the line separator, so a plain file is split among tasks and no file is held as a
-whole; a block that holds that mark itself is put together by its Content-Length as far as its own part reaches.
+target, date, fields, stored digests and block bytes. Spark's text reader cuts the files at the end of a record with the next one's
+version; where a record really ends its Content-Length alone says, from the file's first record on, so a page that holds
+that mark is put together again and can make no records of its own. A gzip file is one task's, as it comes; plain files are split
+for reading, and their pieces are then sorted by their place, a file a task. No file is held as a whole.
 
 ``derivatives`` makes two records of every response: the metadata record (application/warc-fields) holds what is known of the
 response: its id, payload digest, status, HTTP header fields, title, language and outgoing links. The conversion record
@@ -18,7 +19,9 @@ a few records at a time, and pages are scanned in linear time.
 Defined results: a null body is empty; a null url gives the empty target "urn:none"; a null id is the id
 "none"; a page without a date has that of ``DATE``; rows that repeat give records of the same ids; records of other types are
 left out of the derivatives; a block shorter than its Content-Length is taken as far as it goes, and ``whole`` is false;
-bytes that are not text in the stated or default encoding become replacement signs; further columns are ignored.
+a record whose Content-Length is absent, or does not end where a record can end, is not whole either, and reading goes on
+at the next mark; one that the file's end cuts off takes the file's rest; of blocks over ``MOST`` bytes only so many are kept, and they are not
+whole. Records that are not whole have no derivatives; bytes that are not text in the stated or default encoding become replacement signs; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ from pyspark.sql import functions as F
 from tapewright.llm.util import named
 
 DATE = "1970-01-01T00:00:00Z"  # where the source has no date
+MOST = 256 << 20  # bytes of a block that are kept
 _SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:tapewright:warc")
 
 _HEAD = re.compile(rb"HTTP/[0-9.]+ ([0-9]{3})[^\r\n]*\r?\n")
@@ -193,8 +197,8 @@ def _derived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def derivatives(records: DataFrame) -> DataFrame:
-    """Two rows per response, with the columns ``COLUMNS``; content_length in bytes."""
-    rows = records.where("warc_type = 'response'").select("page_id", "record_id", "target_uri", "date", "payload_digest", "block")
+    """Two rows per whole response, with the columns ``COLUMNS``; content_length in bytes."""
+    rows = records.where("warc_type = 'response' and whole").select("page_id", "record_id", "target_uri", "date", "payload_digest", "block")
     return rows.mapInArrow(_derived, ", ".join(f"{c} {_KINDS.get(c, 'string')}" for c in COLUMNS))
 
 
@@ -260,21 +264,22 @@ def write_records(records: DataFrame, path: str, compression: str = "gzip") -> N
     records.select(whole.cast("string").alias("value")).write.option("lineSep", "\r\n").option("compression", compression).text(path)
 
 
-def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, len(batch), 200):
-            yield _records([r for data in batch.column(0).slice(at, 200).to_pylist() if (r := parse(data))])
+_BLANK = b"\r\n\r\n"
+_MARK = _BLANK + b"WARC/"
 
 
-def parse(data: bytes) -> tuple | None:
-    """One record from its version line (the word WARC/ may be missing) to the end of its block; None if it is none."""
+def head_of(piece: bytes) -> tuple[dict[str, str], int] | None:
+    """Header fields and where the block begins, of a piece that begins with a version line (the word WARC/ may be missing).
+
+    Where the header's end was taken for a mark, as the block itself begins with WARC/, the block begins inside that mark.
+    """
     lines, at = [], 0
-    while True:
-        end = data.find(b"\n", at)
+    while at <= len(piece):
+        end = piece.find(b"\n", at)
         if end < 0:
-            return None
-        line = data[at:end].rstrip(b"\r").decode("utf-8", "replace")
-        at = end + 1
+            line, at = piece[at:].decode("utf-8", "replace"), len(piece) + len(_BLANK)
+        else:
+            line, at = piece[at:end].rstrip(b"\r").decode("utf-8", "replace"), end + 1
         if not line:
             break
         if line[:1] in " \t" and lines:
@@ -288,17 +293,101 @@ def parse(data: bytes) -> tuple | None:
             fields.setdefault(name.strip().lower(), value.strip())
     if not re.fullmatch(r"(?:WARC/)?\d+\.\d+", lines[0].strip() if lines else "") or "warc-type" not in fields:
         return None
-    length = int(fields["content-length"]) if fields.get("content-length", "").isdigit() else len(data) - at
-    block = data[at : at + length]
+    return fields, at
+
+
+class Framer:
+    """Records out of a file's pieces, in their order; a piece ends where a mark began."""
+
+    def __init__(self) -> None:
+        self.pieces: list[bytes] = []  # of the open record
+        self.kept = self.missing = 0
+
+    def add(self, piece: bytes) -> Iterator[tuple]:
+        if self.pieces:
+            self.missing -= len(_MARK)
+        elif (head := head_of(piece)) is None:
+            return
+        else:
+            fields, at = head
+            length = fields.get("content-length", "")
+            if not re.fullmatch(r"[0-9]{1,18}", length):
+                yield _record(fields, piece[at:], False)
+                return
+            self.fields, self.at, self.kept, self.missing = fields, at, 0, int(length) + at
+        self.missing -= len(piece)
+        self.kept += len(piece)
+        if self.kept <= MOST or not self.pieces:
+            self.pieces.append(piece)
+        if self.missing > 0:
+            return  # the block goes on after a mark of its own
+        rest = -self.missing
+        body = _MARK.join(self.pieces)[self.at :]
+        if self.kept > MOST:
+            yield _record(self.fields, body[:MOST], False)
+        elif not rest or not body[-rest:].strip(b"\r\n"):
+            yield _record(self.fields, body[: len(body) - rest], True)
+        else:
+            yield from self.resume()
+            return
+        self.pieces = []
+
+    def resume(self) -> Iterator[tuple]:
+        """The length is wrong: the record ends at its first mark, and what follows is looked at anew."""
+        first, *others = self.pieces
+        yield _record(self.fields, first[self.at :], False)
+        self.pieces = []
+        for piece in others:
+            yield from self.add(piece)
+
+    def end(self) -> Iterator[tuple]:
+        """The end of the file."""
+        if self.pieces:
+            yield _record(self.fields, _MARK.join(self.pieces)[self.at :][:MOST], False)
+        self.pieces = []
+
+
+def _record(fields: dict[str, str], block: bytes, whole: bool) -> tuple:
     get = fields.get
     return (
         get("x-page-id"), get("warc-type"), get("warc-record-id"), get("warc-target-uri"), get("warc-date"), get("content-type"),
-        get("warc-block-digest"), get("warc-payload-digest"), list(fields.items()), len(block) == length, block,
+        get("warc-block-digest"), get("warc-payload-digest"), list(fields.items()), whole, block,
     )
 
 
+def parse(data: bytes) -> tuple | None:
+    """One record from its version line on; None if it is none."""
+    framer = Framer()
+    return next((r for piece in data.split(_MARK) for r in framer.add(piece)), None) or next(framer.end(), None)
+
+
+def _framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records from (file, piece), sorted; a few at a time."""
+    framer, at_file, found, size = Framer(), None, [], 0
+    for batch in batches:
+        for at in range(0, len(batch), 200):
+            for file, piece in zip(*(c.slice(at, 200).to_pylist() for c in batch.columns), strict=True):
+                if file != at_file:
+                    found += framer.end()
+                    at_file = file
+                for record in framer.add(piece):
+                    found.append(record)
+                    size += len(record[-1])
+                if size > 8 << 20 or len(found) >= 200:
+                    yield _records(found)
+                    found, size = [], 0
+    found += framer.end()
+    yield _records(found)
+
+
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """Records of WARC files: page_id (of X-Page-ID, where pages were written), warc_type, record_id, target_uri, date,
     content_type, block_digest, payload_digest, fields (all header fields, names in lower case), whole, block (bytes)."""
-    pieces = spark.read.option("lineSep", "\r\n\r\nWARC/").text(path)
-    return pieces.select(F.col("value").cast("binary").alias("value")).mapInArrow(_parsed, RECORD)
+    text = spark.read.option("lineSep", _MARK.decode()).text(path)
+    piece = F.col("value").cast("binary").alias("piece")
+    if all(name.endswith(".gz") for name in text.inputFiles()):
+        pieces = text.select(F.col("_metadata.file_path").alias("file"), piece)
+    else:
+        placed = text.select(F.col("_metadata.file_path").alias("file"), piece, F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+        pieces = placed.repartition("file").sortWithinPartitions("file", "block", "at").select("file", "piece")
+    return pieces.mapInArrow(_framed, RECORD)

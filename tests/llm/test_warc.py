@@ -95,3 +95,52 @@ def test_open_tags_take_linear_time():
         assert time.process_time() - began < 5, unit
     assert Page("a < b <c").text == "a < b <c" and Page("<TITLE>x</TITLE><A HREF='/u'>v</a>").links == ["/u"]
     assert parse(b"nothing") is None and parse(b"WARC/1.0\r\n\r\n") is None
+
+
+def _forging(k: int) -> str:
+    mark = "\r\n\r\nWARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:forged>\r\nContent-Length: 9\r\n\r\n<p>after the mark</p>"
+    return ("<p>before</p>" + mark + " " * k, "WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:forged>\r\nContent-Length: 3\r\n\r\nxyz" + mark, mark * 3 + "\r\n\r\n")[k % 3]
+
+
+def test_pages_cannot_make_records(spark, tmp_path):
+    pages = spark.createDataFrame([(k, f"http://e.com/{k}", _forging(k) if k % 2 else f"<p>page {k}" + "x" * (k % 50)) for k in range(40)], "page_id long, url string, html string").coalesce(2)
+    made = responses(pages)
+    want = {(r["record_id"], bytes(r["block"])) for r in made.collect()}
+    write_records(made, str(tmp_path / "gz"))
+    write_records(made, str(tmp_path / "plain"), "none")
+    for split in ("128m", "97", "333", "1000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            for name in ("gz", "plain"):
+                read = read_warc(spark, str(tmp_path / name))
+                rows = read.collect()
+                assert {(r["record_id"], bytes(r["block"])) for r in rows} == want and len(rows) == 40 and all(r["whole"] for r in rows), (name, split)
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {tuple(r) for r in derivatives(read_warc(spark, str(tmp_path / "gz"))).collect()} == {tuple(r) for r in derivatives(made).collect()}
+
+
+def test_damaged_records_have_no_derivatives(spark, tmp_path):
+    def record(name, block, length):
+        return f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:{name}>\r\n{length}\r\n\r\n{block}\r\n\r\n".encode()
+
+    data = record("a", "<p>a", "Content-Length: 4") + record("short", "<p>abcd", "Content-Length: 4") + record("none", "<p>b", "X: y") + record("long", "<p>c", "Content-Length: 6")
+    data += record("d", "<p>d", "Content-Length: 4") + record("cut", "<p>e", "Content-Length: 400") + record("inside", "<p>f", "Content-Length: 4")
+    for name, raw in (("a.warc", data), ("b.warc.gz", gzip.compress(data))):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / name).write_bytes(raw)
+        read = read_warc(spark, str(tmp_path / name))
+        assert [(r["record_id"][10:-1], r["whole"]) for r in read.collect()] == [("a", True), ("short", False), ("none", False), ("long", False), ("d", True), ("cut", False)]
+        assert {r["refers_to"] for r in derivatives(read).collect()} == {"<urn:uuid:a>", "<urn:uuid:d>"}
+
+
+def test_long_blocks_are_bounded(spark, monkeypatch):
+    from tapewright.llm import warc as W
+
+    monkeypatch.setattr(W, "MOST", 100)
+    framer = W.Framer()
+    block = b"x" * 60 + W._MARK + b"y" * 60 + W._MARK + b"z" * 60
+    head = b"1.0\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n" % len(block)
+    found = [r for piece in (head + block).split(W._MARK) for r in framer.add(piece)]
+    assert len(found) == 1 and not found[0][-2] and len(found[0][-1]) <= 100
+    assert not framer.pieces and not list(framer.end())
