@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tapewright.llm.util import fields_of, named, packed, saved, schema_of
 
-MIN_WORDS = 24
+MIN_WORDS = 16
 CLAUSE = 12  # words that a sentence has at least before it is cut; four times as many at most
 LAST_ID = (1 << 63) - 1
 

@@ -2,14 +2,14 @@ import random
 
 from pyspark.sql import Row
 
-from tapewright.llm.span_dedup import remove_repeats, removed_sentences, sentences
+from tapewright.llm.span_dedup import MIN_WORDS, remove_repeats, removed_sentences, sentences
 
 
 def plain(piece: str) -> tuple:
     return tuple(piece.lower().split())
 
 
-def brute(texts: dict, least: int = 24) -> dict:
+def brute(texts: dict, least: int = MIN_WORDS) -> dict:
     """Every run of two sentences or more with enough words, compared as words; a shorter text is one run."""
     first: dict = {}
     out = {}
@@ -114,3 +114,11 @@ def test_hashed_runs_cover_what_all_runs_cover(spark):
     docs = spark.createDataFrame([Row(doc_id=k, text=t) for k, t in texts.items()])
     wanted = brute(texts)
     assert got(docs) == wanted and any(wanted.values()) and not all(wanted.values())
+
+
+def test_short_passages_of_several_sentences_go(spark):
+    three = "".join(words(f"p{k}q", 6).capitalize() + ". " for k in range(3))
+    two = "".join(words(f"r{k}s", 11).capitalize() + ". " for k in range(2))
+    texts = {k: words(f"a{k}x", 9) + ". " + (three if k < 2 else two) + words(f"b{k}x", 9) + "." for k in range(4)}
+    docs = spark.createDataFrame([Row(doc_id=k, text=t) for k, t in texts.items()])
+    assert got(docs) == {0: [], 1: [1, 2, 3], 2: [], 3: [1, 2]}
