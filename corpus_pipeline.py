@@ -22,18 +22,31 @@ from tapewright.llm.toxicity import drop_toxic
 from tapewright.llm.util import saved, scratch, table
 
 
+BATCH = 1000  # rows of an Arrow batch, unless the session has a setting of its own
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
+def bounded(spark: SparkSession) -> None:
+    """Texts go to Python and back in small batches, as each task holds some of them at once on either side."""
+    if spark.conf.get(_BATCH_SETTING, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_SETTING, str(BATCH))
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go."""
+    bounded(spark)
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (five words, 0.8) the document of the least id stays."""
+    bounded(spark)
     return near_dedup(docs, k=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every benchmark passage that op8 finds goes from the texts; a document of nothing else goes as a whole."""
+    bounded(spark)
     clean = decontaminate(docs, table(spark, sf_dir, "benchmark"), max_hit_words=1, max_coverage=0.0)
     return clean.withColumn("n_chars", F.length("text").cast("long"))
 
@@ -45,6 +58,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files in the shared folder; doc_id, start, n_tokens and ids_crc32 as read from them."""
+    bounded(spark)
     path = scratch(spark, "tokens")
     write_tokens(docs, path, tokenizer_path())
     return token_report(spark, path)
