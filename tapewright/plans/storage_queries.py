@@ -10,6 +10,7 @@ from tapewright.operators import checks as Q
 from tapewright.plans import api
 from tapewright.plans.finance_queries import events
 from tapewright.plans.queries import _CAL24, _bars_sql, cal24, query, six
+from tapewright.sources import layouts as Y
 from tapewright.sources import readers, sinks
 from tapewright.sources import xml_layouts as L
 from tapewright.streaming import ingest
@@ -133,6 +134,87 @@ def write_outputs(spark, d):
     return found
 
 
+_KINDS = [
+    ("refdate", "date"), ("tipo_registro", "string"), ("nome_empresa", "string"), ("cod_negociacao", "string"), ("preco_ult", "double"), ("qtd_titulos_negociados", "double"),
+    ("id_indice", "double"), ("descricao_cod_bdi", "string"), ("sigla_iopv", "string"), ("data_vencimento", "date"),
+]
+
+
+def _bulletin_text(code: str):
+    """A line of this record type: what the order knows is in its place, the rest is blank."""
+    known = {
+        "tipo_registro": F.lit(code), "nome_empresa": _padded("o_custkey", "N"), "cod_negociacao": _padded("o_orderkey", "C"), "preco_ult": F.round(F.col("o_totalprice") * 100).cast("long").cast("string"),
+        "qtd_titulos_negociados": F.col("o_orderkey").cast("string"), "id_indice": (F.col("o_custkey") % 100).cast("string"), "descricao_cod_bdi": F.col("o_orderpriority"),
+        "sigla_iopv": F.col("o_orderstatus"), "data_vencimento": F.date_format("o_orderdate", "yyyyMMdd"),
+    }
+    cells = []
+    for f in Y.BULLETIN[code]:
+        text = known.get(f.name, F.lit(""))
+        cells.append(F.lpad(text, f.width, "0") if f.kind == "numeric" and f.name in known else F.rpad(text, f.width, " "))
+    return F.concat(*cells)
+
+
+def _padded(column: str, letter: str):
+    return F.concat(F.lit(letter), F.col(column).cast("string"))
+
+
+def _bulletin_sql() -> str:
+    known = {
+        "refdate": "DATE '2010-12-20'", "nome_empresa": "'N' || o_custkey", "cod_negociacao": "'C' || o_orderkey", "preco_ult": "round(o_totalprice, 2)", "qtd_titulos_negociados": "o_orderkey",
+        "id_indice": "o_custkey % 100", "descricao_cod_bdi": "o_orderpriority", "sigla_iopv": "o_orderstatus", "data_vencimento": "CAST(o_orderdate AS DATE)",
+    }
+    parts = []
+    for k, (code, fields) in enumerate(Y.BULLETIN.items()):
+        own = {f.name for f in fields} | {"refdate"}
+        cells = [f"CAST({known.get(c, repr(code)) if c in own else 'NULL'} AS {'VARCHAR' if t == 'string' else t}) AS {c}" for c, t in _KINDS]
+        parts.append(f"SELECT '{Y.BULLETIN_NAMES[code]}' AS output, {', '.join(cells)} FROM orders WHERE o_orderkey % 8 = {k}")
+    return " UNION ALL ".join(parts)
+
+
+@query(_bulletin_sql())
+def bulletin_tables(spark, d):
+    """The eight tables of the daily bulletin from one scan of its lines, written in one job; every order is a line of one of them."""
+    path = scratch(spark, "bulletin")
+    key = F.col("o_orderkey") % 8
+    line = F.coalesce(*[F.when(key == k, _bulletin_text(code)) for k, code in enumerate(Y.BULLETIN)])
+    head = F.concat(F.rpad(F.lit("00"), 30, " "), F.lit("20101220"))
+    table(spark, d, "orders").select(F.concat_ws("\n", head, line).alias("value")).write.text(path)
+    rows = readers.fwf_multi_rows(spark, path, Y.BULLETIN, coded=True, names=Y.BULLETIN_NAMES)
+    written = sinks.write_outputs(rows, scratch(spark, "layers"), "bulletin", partitioning=["refdate"])
+    found = None
+    for code, fields in Y.BULLETIN.items():
+        own, name = {f.name for f in fields} | {"refdate"}, Y.BULLETIN_NAMES[code]
+        part = sinks.read_output(spark, written, name, {c: t for c, t in _KINDS if c in own})
+        part = part.select(F.lit(name).alias("output"), *[(F.col(c) if c in own else F.lit(None).cast(t)).alias(c) for c, t in _KINDS])
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+@query("""SELECT 'info' AS output, 'I' || s_suppkey AS issuingCompany, CAST(NULL AS VARCHAR) AS isinCode, CAST(s_suppkey * 1000 + 0.5 AS DOUBLE) AS value, DATE '2020-03-04' AS day FROM supplier
+    UNION ALL SELECT 'cash_dividends', 'I' || s_suppkey, 'B' || i, i + 0.25, DATE '2021-05-06' FROM supplier, range(3) t(i) WHERE i < s_suppkey % 3
+    UNION ALL SELECT 'stock_dividends', 'I' || s_suppkey, 'S', s_suppkey, DATE '2021-05-07' FROM supplier WHERE s_suppkey % 4 = 1
+    UNION ALL SELECT 'subscriptions', 'I' || s_suppkey, 'U', s_suppkey, DATE '2021-05-08' FROM supplier WHERE s_suppkey % 5 = 2""")
+def company_info_tables(spark, d):
+    """The four tables of company files: a document a supplier, of which the path says the company."""
+    path = scratch(spark, "companies")
+    j = F.col("s_suppkey")
+    thousands = F.when(j > 0, F.concat(j.cast("string"), F.lit(".000,5"))).otherwise("0,5")
+    one = F.lit("04/03/2020").alias("quotedPerSharSince")
+    cash = F.transform(F.expr("slice(array(0, 1, 2), 1, cast(s_suppkey % 3 as int))"), lambda i: F.struct(F.concat(F.lit("B"), i.cast("string")).alias("isinCode"), F.concat(i.cast("string"), F.lit(",25")).alias("rate"), F.lit("06/05/2021").alias("approvedOn")))
+    stock = F.when(j % 4 == 1, F.array(F.struct(F.lit("S").alias("isinCode"), j.cast("string").alias("factor"), F.lit("07/05/2021").alias("approvedOn"))))
+    new = F.when(j % 5 == 2, F.array(F.struct(F.lit("U").alias("isinCode"), j.cast("string").alias("priceUnit"), F.lit("08/05/2021").alias("approvedOn"))))
+    docs = table(spark, d, "supplier").select(_padded("s_suppkey", "I").alias("company"), thousands.alias("stockCapital"), one, cash.alias("cashDividends"), stock.alias("stockDividends"), new.alias("subscriptions"))
+    docs.repartition(4, "company").write.partitionBy("company").json(path)
+    key = {"issuingCompany": F.regexp_extract("file", "/company=([^/]+)/", 1)}
+    found = None
+    for name, rows in readers.read_json_tables(spark, f"{path}/*", "info", Y.COMPANY_INFO, Y.COMPANY_INFO_ARRAYS, key).items():
+        value, day = {"info": ("stockCapital", "quotedPerSharSince"), "cash_dividends": ("rate", "approvedOn"), "stock_dividends": ("factor", "approvedOn"), "subscriptions": ("priceUnit", "approvedOn")}[name]
+        isin = F.col("isinCode") if "isinCode" in rows.columns else F.lit(None).cast("string")
+        part = rows.select(F.lit(name).alias("output"), "issuingCompany", isin.alias("isinCode"), F.col(value).alias("value"), F.col(day).alias("day"))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 @query("SELECT c_custkey, round(c_acctbal, 2) + 2 AS balance FROM customer")
 def replace_own_target(spark, d):
     """A dataset that is written from itself, twice."""

@@ -1,4 +1,4 @@
-"""Record layouts of the sources; those that are not here are read from a table with ``fields_of``."""
+"""Record layouts of the sources; others are read from a table with ``fields_of``."""
 
 from __future__ import annotations
 
@@ -458,3 +458,223 @@ COMPANY_REGISTRATION = layout("""
     auditor
     refdate date
 """)
+
+# fixed values: the daily bulletin, by record type; the first field is the record type itself
+BULLETIN_NAMES = {
+    "01": "indexes-summary",
+    "02": "stocks-summary",
+    "03": "trades-summary-bdi",
+    "04": "high-oscilations",
+    "05": "ibovespa-oscilations",
+    "06": "most-traded-stocks",
+    "07": "most-traded-assets",
+    "08": "iopv-summary",
+}
+BULLETIN = {
+    "01": layout("""
+        tipo_registro string 2
+        id_indice numeric 2
+        nome_indice string 30
+        indice_abertura numeric 6
+        indice_min numeric 6
+        indice_max numeric 6
+        indice_med numeric 6
+        indice_liquidacao numeric 6
+        indice_max_ano numeric 6
+        data_indice_max_ano date(format='%Y%m%d') 8
+        indice_min_ano numeric 6
+        data_indice_min_ano date(format='%Y%m%d') 8
+        indice_fechamento numeric 6
+        sinal_evolucao_perc_indice_fechamento string 1
+        evolucao_perc_indice_fechamento numeric(dec=2) 5
+        sinal_evolucao_perc_indice_ontem string 1
+        evolucao_perc_indice_ontem numeric(dec=2) 5
+        sinal_evolucao_perc_indice_semana string 1
+        evolucao_perc_indice_semana numeric(dec=2) 5
+        sinal_evolucao_perc_indice_semanal string 1
+        evolucao_perc_indice_semanal numeric(dec=2) 5
+        sinal_evolucao_perc_indice_mes string 1
+        evolucao_perc_indice_mes numeric(dec=2) 5
+        sinal_evolucao_perc_indice_mensal string 1
+        evolucao_perc_indice_mensal numeric(dec=2) 5
+        sinal_evolucao_perc_indice_ano string 1
+        evolucao_perc_indice_ano numeric(dec=2) 5
+        sinal_evolucao_perc_indice_anual string 1
+        evolucao_perc_indice_anual numeric(dec=2) 5
+        num_acoes_alta numeric 3
+        num_acoes_baixa numeric 3
+        num_acoes_estaveis numeric 3
+        num_acoes_indice numeric 3
+        num_negocios_acoes_indice numeric 6
+        qtd_negocios_acoes_indice numeric 15
+        volume_negocios_acoes_indice numeric(dec=2) 17
+        indice_med_ponderada numeric 6
+        reserva string 148
+    """),
+    "02": layout("""
+        tipo_registro string 2
+        cod_bdi numeric 2
+        descricao_cod_bdi string 30
+        nome_empresa string 12
+        especificacao string 10
+        indicador_caracteristica string 1
+        cod_negociacao string 12
+        tipo_mercado numeric 3
+        descricao_tipo_mercado string 15
+        num_dias_mercado_termo numeric 3
+        preco_abertura numeric(dec=2) 11
+        preco_max numeric(dec=2) 11
+        preco_min numeric(dec=2) 11
+        preco_med numeric(dec=2) 11
+        preco_ult numeric(dec=2) 11
+        sinal_oscilacao_preco string 1
+        oscilacao_preco numeric(dec=2) 5
+        preco_melhor_oferta_compra numeric(dec=2) 11
+        preco_melhor_oferta_venda numeric(dec=2) 11
+        qtd_negocios numeric 5
+        qtd_titulos_negociados numeric 15
+        volume_titulos_negociados numeric(dec=2) 17
+        preco_exercicio numeric(dec=2) 11
+        data_vencimento date(format='%Y%m%d') 8
+        indicador_correcao_preco_exercicio numeric 1
+        descricao_indicador_correcao_preco_exercicio string 15
+        fator_cot numeric 7
+        preco_exercicio_pontos numeric(dec=6) 13
+        cod_isin string 12
+        num_dist numeric 3
+        tipo_exercicio numeric 1
+        descricao_tipo_exercicio string 15
+        indicador_correcao_preco_exercicio_2 numeric 3
+        oscilacao_preco_2 numeric(dec=2) 7
+        reserva string 44
+    """),
+    "03": layout("""
+        tipo_registro string 2
+        cod_bdi numeric 2
+        descricao_cod_bdi string 30
+        qtd_negocios numeric 5
+        qtd_titulos_negociados numeric 15
+        volume_titulos_negociados numeric(dec=2) 17
+        qtd_negocios_2 numeric 9
+        reserva string 270
+    """),
+    "04": layout("""
+        tipo_registro string 2
+        sinal_oscilacao string 1
+        nome_empresa string 12
+        especificacao string 10
+        preco_ult numeric(dec=2) 11
+        qtd_negocios numeric 5
+        oscilacao_preco numeric(dec=2) 5
+        cod_negociacao string 12
+        oscilacao_preco_2 numeric(dec=2) 7
+        reserva string 285
+    """),
+    "05": layout("""
+        tipo_registro string 2
+        sinal_oscilacao string 1
+        nome_empresa string 12
+        especificacao string 10
+        preco_ult numeric(dec=2) 11
+        qtd_negocios numeric 5
+        oscilacao_preco numeric(dec=2) 5
+        cod_negociacao string 12
+        oscilacao_preco_2 numeric(dec=2) 7
+        reserva string 285
+    """),
+    "06": layout("""
+        tipo_registro string 2
+        nome_empresa string 12
+        especificacao string 10
+        qtd_titulos_negociados numeric 15
+        volume_titulos_negociados numeric(dec=2) 17
+        cod_negociacao string 12
+        reserva string 282
+    """),
+    "07": layout("""
+        tipo_registro string 2
+        tipo_mercado numeric 3
+        descricao_tipo_mercado string 20
+        nome_empresa string 12
+        especificacao string 10
+        indicador_correcao_preco_exercicio numeric 2
+        descricao_indicador_correcao_preco_exercicio string 15
+        preco_exercicio numeric(dec=2) 11
+        data_vencimento date(format='%Y%m%d') 8
+        num_dias_mercado_termo numeric 3
+        qtd_titulos_negociados numeric 15
+        volume_titulos_negociados numeric(dec=2) 17
+        participacao_volume_mercado numeric(dec=2) 5
+        cod_negociacao string 12
+        indicador_correcao_preco numeric 3
+        reserva string 212
+    """),
+    "08": layout("""
+        tipo_registro string 2
+        id_iopv numeric 2
+        sigla_iopv string 4
+        nome_resumido_iopv string 12
+        nome_iopv string 30
+        iopv_abertura numeric(dec=2) 7
+        iopv_min numeric(dec=2) 7
+        iopv_max numeric(dec=2) 7
+        iopv_med numeric(dec=2) 7
+        iopv_fechamento numeric(dec=2) 7
+        sinal_evolucao_iopv_fechamento string 1
+        evolucao_iopv_fechamento numeric(dec=2) 5
+        reserva string 259
+    """),
+}
+
+# fixed values: the tables of a company file; all but the first are arrays in it
+COMPANY_INFO_ARRAYS = {"cash_dividends": "cashDividends", "stock_dividends": "stockDividends", "subscriptions": "subscriptions"}
+COMPANY_INFO = {
+    "info": layout("""
+        stockCapital numeric(thousands='.',decimal=',')
+        quotedPerSharSince date(format='%d/%m/%Y')
+        commonSharesForm string
+        preferredSharesForm string
+        hasCommom string
+        hasPreferred string
+        roundLot integer
+        tradingName string
+        numberCommonShares numeric(thousands='.',decimal=',')
+        numberPreferredShares numeric(thousands='.',decimal=',')
+        totalNumberShares numeric(thousands='.',decimal=',')
+        code string
+        codeCVM string
+        segment string
+    """),
+    "cash_dividends": layout("""
+        assetIssued string
+        paymentDate date(format='%d/%m/%Y')
+        rate numeric(thousands='.',decimal=',')
+        relatedTo string
+        approvedOn date(format='%d/%m/%Y')
+        isinCode string
+        label string
+        lastDatePrior date(format='%d/%m/%Y')
+        remarks string
+    """),
+    "stock_dividends": layout("""
+        assetIssued string
+        factor numeric(thousands='.',decimal=',')
+        approvedOn date(format='%d/%m/%Y')
+        isinCode string
+        label string
+        lastDatePrior date(format='%d/%m/%Y')
+        remarks string
+    """),
+    "subscriptions": layout("""
+        assetIssued string
+        percentage numeric(thousands='.',decimal=',')
+        priceUnit numeric(thousands='.',decimal=',')
+        tradingPeriod string
+        subscriptionDate date(format='%d/%m/%Y')
+        approvedOn date(format='%d/%m/%Y')
+        isinCode string
+        label string
+        lastDatePrior date(format='%d/%m/%Y')
+        remarks string
+    """),
+}

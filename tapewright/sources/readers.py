@@ -150,15 +150,17 @@ def read_fwf_multi(
     refdate_start: int = 31,
     refdate_width: int = 8,
     encoding: str = "latin1",
+    coded: bool = False,
 ) -> dict[str, DataFrame]:
-    """A file of several record types: two letters name the dataset (``datasets``: code -> fields after the code).
+    """A file of several record types: two letters name the dataset (``datasets``: code -> fields after the code, or with
+    ``coded`` from the code on).
 
     Each file's header record dates all of its rows. ``fwf_multi_rows`` has the rows of all datasets in one scan.
     """
     met = _dated(spark, path, header_code, refdate_start, refdate_width, encoding)
     out = {}
     for code, fields in datasets.items():
-        rows = met.where(F.col("value").startswith(code)).withColumn("value", F.substring("value", 3, 1 << 20))
+        rows = met.where(F.col("value").startswith(code)).withColumn("value", F.substring("value", 1 if coded else 3, 1 << 20))
         out[code] = apply_fields(rows.select("refdate", *_sliced(fields)), fields)
     return out
 
@@ -178,11 +180,12 @@ def fwf_multi_rows(
     refdate_start: int = 31,
     refdate_width: int = 8,
     encoding: str = "latin1",
+    coded: bool = False,
     names: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """The rows of all record types from one scan of the lines, for ``sinks.write_outputs``; ``names`` by code."""
+    """As ``read_fwf_multi``, the rows of all record types from one scan of the lines, for ``sinks.write_outputs``; ``names`` by code."""
     met = _dated(spark, path, header_code, refdate_start, refdate_width, encoding)
-    code, text = F.substring("value", 1, 2), F.substring("value", 3, 1 << 20)
+    code, text = F.substring("value", 1, 2), F.substring("value", 1 if coded else 3, 1 << 20)
     output = F.coalesce(*[F.when(code == c, F.lit((names or {}).get(c, c))) for c in datasets])
     outputs = {}
     for c, fields in datasets.items():
@@ -214,6 +217,25 @@ def read_json(
     return whole.select(*known, F.inline(at_path(F.col("d"), json_path)))
 
 
+def read_json_tables(
+    spark: SparkSession, path: str, root: str, layouts: Mapping[str, Sequence[Field]], arrays: Mapping[str, str], keys: Mapping[str, Column] | None = None
+) -> dict[str, DataFrame]:
+    """Whole-file JSON of a row (table ``root``) that holds arrays of rows (table -> name of the array), each typed by its layout.
+
+    The schema is that of the layouts. ``keys`` (name -> column over ``file``, the path) go before the columns of every table. An
+    array that a document lacks gives no rows.
+    """
+    schema = T.StructType([T.StructField(f.name, T.StringType()) for f in layouts[root]])
+    for table, array in arrays.items():
+        schema.add(array, T.ArrayType(T.StructType([T.StructField(f.name, T.StringType()) for f in layouts[table]])))
+    docs = spark.read.option("multiLine", True).schema(schema).json(path).select("*", F.col("_metadata.file_path").alias("file"))
+    known = [c.alias(n) for n, c in (keys or {}).items()]
+    out = {root: apply_fields(docs.select(*known, *[f.name for f in layouts[root]]), layouts[root])}
+    for table, array in arrays.items():
+        out[table] = apply_fields(docs.select(*known, F.inline(array)), layouts[table])
+    return out
+
+
 def json_nested_split(df: DataFrame, root_fields: Sequence[str], nested: Sequence[str], keys: Sequence[str] = ()) -> dict[str, DataFrame]:
     """The root table without its arrays and one table per array, its rows with the root's keys."""
     out = {"root": df.select(*root_fields)}

@@ -286,3 +286,25 @@ def test_symbol_lists(spark):
 
 def test_scratch_is_shared(spark):
     assert scratch(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_company_files(spark, tmp_path):
+    from tapewright.sources import layouts as Y
+
+    lines(tmp_path / "in", "A.json", '[{"stockCapital": "1.234,50", "roundLot": "x", "cashDividends": [{"rate": "0,25", "approvedOn": "06/05/2021"}, {"rate": null}], "extra": [1]}]')
+    lines(tmp_path / "in", "B.json", '[{"stockCapital": null, "subscriptions": []}]')
+    key = {"company": F.regexp_extract("file", "([A-Z]).json", 1)}
+    got = readers.read_json_tables(spark, f"{tmp_path}/in", "info", Y.COMPANY_INFO, Y.COMPANY_INFO_ARRAYS, key)
+    assert rows(got["info"], "company", "stockCapital", "roundLot") == [("A", 1234.5, None), ("B", None, None)]
+    assert rows(got["cash_dividends"], "company", "rate", "approvedOn") == [("A", 0.25, D(2021, 5, 6)), ("A", None, None)]
+    assert got["stock_dividends"].count() == got["subscriptions"].count() == 0
+
+
+def test_bulletin_layouts_fill_their_lines(spark, tmp_path):
+    from tapewright.sources import layouts as Y
+
+    assert {sum(f.width for f in fields) for fields in Y.BULLETIN.values()} == {350} and len(Y.BULLETIN) == 8
+    iopv = "08" + "07ABCD" + "Short name".ljust(12) + "Long name".ljust(30) + "0001234" + " " * 300
+    lines(tmp_path / "in", "a.txt", "00".ljust(30) + "20240102\n" + iopv + "\n")
+    for got in (readers.read_fwf_multi(spark, f"{tmp_path}/in", Y.BULLETIN, coded=True)["08"], readers.fwf_multi_rows(spark, f"{tmp_path}/in", Y.BULLETIN, coded=True)):
+        assert rows(got, "refdate", "tipo_registro", "id_iopv", "sigla_iopv", "nome_iopv", "iopv_abertura", "iopv_min") == [(D(2024, 1, 2), "08", 7.0, "ABCD", "Long name", 12.34, None)]
