@@ -20,7 +20,24 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+_handed_out: list[str] = []
+
+
+def clear(spark: SparkSession) -> int:
+    """Deletes what this process has written to the shared folder so far, and returns how many paths that were.
+
+    Frames that still read from there are of no use afterwards, so results are to be written or collected first.
+    """
+    done = 0
+    while _handed_out:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+        done += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return done
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

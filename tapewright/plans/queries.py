@@ -533,11 +533,12 @@ def join_anti(spark, d):
     return table(spark, d, "customer").join(orders, "c_custkey", "left_anti").select("c_custkey")
 
 
-@query("""WITH RECURSIVE e AS (SELECT DISTINCT c_custkey AS a, c_custkey + 7 AS b FROM customer WHERE c_custkey % 10 < 8 AND c_custkey % 49 <> 0),
-    w AS (SELECT a, b, 1 AS n FROM e UNION ALL SELECT w.a, e.b, n + 1 FROM w JOIN e ON w.b = e.a WHERE n < 20)
-    SELECT a, max(n) AS depth, arg_max(b, n) AS terminal FROM w GROUP BY a""")
+@query("""SELECT c_custkey AS a, CAST(n AS INTEGER) AS depth, c_custkey + n AS terminal
+    FROM (SELECT c_custkey, least(20, 30 - c_custkey % 31, max(c_custkey) OVER () + 1 - c_custkey) AS n FROM customer) WHERE c_custkey % 31 < 30""")
 def resolve_chains(spark, d):
-    edges = table(spark, d, "customer").where("c_custkey % 10 < 8 AND c_custkey % 49 <> 0").select(F.col("c_custkey").alias("a"), (F.col("c_custkey") + 7).alias("b")).distinct()
+    """Customers one after the other, in chains of up to 30 links: a third of them is longer than the limit of 20."""
+    key = F.col("c_custkey")
+    edges = table(spark, d, "customer").where(key % 31 < 30).select(key.alias("a"), (key + 1).alias("b"))
     return S.resolve_chains(edges, "a", "b").select("a", "depth", "terminal")
 
 

@@ -284,8 +284,15 @@ def test_symbol_lists(spark):
         assert [r[0] for r in api.get_symbols(found, kind, **options).collect()] == want
 
 
-def test_scratch_is_shared(spark):
+def test_scratch_is_shared_and_can_be_cleared(spark, monkeypatch):
+    from tapewright.functions import scratch as module
+
+    monkeypatch.setattr(module, "_handed_out", [])
     assert scratch(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    kept = module.written(spark.range(3), "y")
+    assert kept.count() == 3 and module.clear(spark) == 1 and module.clear(spark) == 0
+    with pytest.raises(Exception, match="(?i)not.*(exist|found)"):
+        module.written(kept, "z")
 
 
 def test_company_files(spark, tmp_path):
