@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,13 +21,15 @@ def shaped(df: DataFrame, schema: T.StructType | None) -> DataFrame:
     return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def write_partitioned(df: DataFrame, path: str, partitioning: Sequence[str], schema: T.StructType | None = None) -> None:
-    """Replaces the partitions that the frame has and keeps all others."""
+def write_partitioned(df: DataFrame, path: str, partitioning: Sequence[str], schema: T.StructType | None = None, seen: Observation | None = None) -> None:
+    """Replaces the partitions that the frame has and keeps all others; ``seen`` gets the number of rows as ``n``."""
     out = shaped(df, schema)
     if not partitioning:
         return write_single(out, path)
     # adaptive execution splits a large partition among tasks and joins small ones, by the sizes that it sees
     rows = out.hint("rebalance", *partitioning)
+    if seen is not None:
+        rows = _counted(rows, seen)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitioning).parquet(path)
 
 
@@ -50,13 +52,15 @@ def recover(spark: SparkSession, path: str) -> None:
         fs.rename(at(_beside(path, "old")), at(path))
 
 
-def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
-    """``write`` gets a path beside the target; only when it is done does that take the target's place."""
+def replace(spark: SparkSession, path: str, write: Callable[[str], None], accept: Callable[[], bool] = lambda: True) -> bool:
+    """``write`` gets a path beside the target; only when it is done, and ``accept`` agrees, does that take the target's place."""
     fs, at = _files(spark, path)
     recover(spark, path)
     staged, old = _beside(path, f"new-{uuid.uuid4().hex}"), _beside(path, "old")
     try:
         write(staged)
+        if not accept():
+            return False
         fs.delete(at(old), True)
         if fs.exists(at(path)) and not fs.rename(at(path), at(old)):
             raise OSError(f"{path} cannot be moved")
@@ -64,6 +68,7 @@ def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> Non
             recover(spark, path)
             raise OSError(f"{staged} cannot be moved to {path}")
         fs.delete(at(old), True)
+        return True
     finally:
         fs.delete(at(staged), True)
 
@@ -73,6 +78,10 @@ def write_single(df: DataFrame, path: str, schema: T.StructType | None = None) -
     replace(df.sparkSession, path, lambda staged: shaped(df, schema).write.parquet(staged))
 
 
+def _counted(df: DataFrame, seen: Observation) -> DataFrame:
+    return df.observe(seen, F.count(F.lit(1)).alias("n"))
+
+
 def write_dataset(df: DataFrame, root: str, name: str, layer: str = "staging", partitioning: Sequence[str] = (), schema: T.StructType | None = None) -> str:
     path = f"{root}/{layer}/{name}"
     write_partitioned(df, path, partitioning, schema)
@@ -91,11 +100,20 @@ def sql_export(spark: SparkSession, query: str, path: str, partitioning: Sequenc
 
 
 def write_multi(dfs: Mapping[str, DataFrame], root: str, name: str, layer: str = "input", partitioning: Sequence[str] = (), schemas: Mapping[str, T.StructType] | None = None) -> list[str]:
-    """Each output that has rows, as ``name-output``. Where the outputs come from one scan, ``write_outputs`` reads it once."""
+    """Each output that has rows, as ``name-output``, in one job each: rows are counted while they are written.
+
+    Where the outputs come from one scan, ``write_outputs`` reads it once.
+    """
     done = []
     for output, df in dfs.items():
-        if not df.isEmpty():
-            done.append(write_dataset(df, root, f"{name}-{output}", layer, partitioning, (schemas or {}).get(output)))
+        path, seen = f"{root}/{layer}/{name}-{output}", Observation()
+        rows = shaped(df, (schemas or {}).get(output))
+        if partitioning:
+            write_partitioned(rows, path, partitioning, seen=seen)
+        else:
+            replace(rows.sparkSession, path, _counted(rows, seen).write.parquet, lambda seen=seen: seen.get["n"] > 0)
+        if seen.get["n"]:
+            done.append(path)
     return done
 
 

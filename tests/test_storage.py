@@ -118,6 +118,18 @@ def test_outputs_share_one_pass_and_keep_their_own_columns(spark, tmp_path):
     assert rows(sinks.read_output(spark, path, "02", {"n": "double"})) == [(1.0,)]
 
 
+@pytest.mark.parametrize("partitioning", [(), ("p",)])
+def test_outputs_without_rows_leave_what_was_there(spark, tmp_path, partitioning):
+    df = spark.range(4).withColumn("p", F.col("id") % 2)
+    outputs = {"a": df, "b": df.where("id > 9")}
+    assert sinks.write_multi(outputs, str(tmp_path), "d", partitioning=partitioning) == [f"{tmp_path}/input/d-a"]
+    assert not list(tmp_path.glob("input/d-b/**/*.parquet"))
+    assert sinks.write_multi({"a": df.where("id > 9")}, str(tmp_path), "d", partitioning=partitioning) == []
+    assert spark.read.parquet(f"{tmp_path}/input/d-a").count() == 4
+    assert sinks.write_multi({"a": df.where("id = 1")}, str(tmp_path), "d", partitioning=partitioning) == [f"{tmp_path}/input/d-a"]
+    assert spark.read.parquet(f"{tmp_path}/input/d-a").count() == (3 if partitioning else 1)
+
+
 # ---- replacement
 
 
