@@ -242,7 +242,8 @@ def ds_industry_sectors(spark, d):
 # ---- events: every part is a company; its key says which sources know its event
 
 def _paper(key):
-    return F.concat(F.lit("B"), F.lpad(key.cast("string"), 5, "0"), F.lit("ACNOR1"))
+    """An ISIN a key, whatever its size: five digits before the type, and those above them, counted from one, at the end."""
+    return F.concat(F.lit("B"), F.lpad((key % 100000).cast("string"), 5, "0"), F.lit("ACNOR"), (F.floor(key / 100000) + 1).cast("string"))
 
 
 def _event_inputs(spark, d):
