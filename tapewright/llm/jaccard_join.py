@@ -279,6 +279,13 @@ def _level_of(pos: Column, n: Column, percent: int) -> Column:
     return F.greatest(F.lit(1), pos - (n - _least_of(n, percent)))
 
 
+def _shared(prefixes: DataFrame) -> DataFrame:
+    """The rows whose token two classes have, once each. Most tokens have one: all rows are dealt by token once, and only these are kept."""
+    own = Window.partitionBy("token")
+    both = prefixes.withColumns({"low": F.min("class").over(own), "high": F.max("class").over(own)})
+    return both.where("low != high").drop("low", "high").dropDuplicates(["token", "class"])
+
+
 def _placed(rows: DataFrame, percent: int) -> DataFrame:
     """Adds met (how many shingles of its prefix a class shares) and place.
 
@@ -391,11 +398,8 @@ def link_components(
     top = saved(found.where("token is not null").groupBy("token").agg(F.sum("df").alias("df")), "frequent")
     top = sorted((r["token"] % (1 << 64), r["df"]) for r in at_most(top, F.col("df"), FREQUENT).collect())
     frequent = context.broadcast((np.array([t for t, _ in top], np.uint64), np.array([d for _, d in top], np.int64)))
-    prefixes = saved(
-        texts.mapInArrow(_prefixes(k, percent, frequent), "token long, class long, n long, l long, pos long"), "prefixes"
-    )
-    shared = prefixes.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high")
-    met = saved(prefixes.join(shared.select("token"), "token").dropDuplicates(["token", "class"]), "shared")
+    prefixes = texts.mapInArrow(_prefixes(k, percent, frequent), "token long, class long, n long, l long, pos long")
+    met = saved(_shared(prefixes), "shared")
     met = saved(_placed(met, percent), "placed")
     wanted = met.select("class").distinct()
     packed = texts.mapInArrow(_packed, "class long, data binary")

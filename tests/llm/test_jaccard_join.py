@@ -77,3 +77,27 @@ def test_odd_rows(spark):
     assert got == [("4", 4), ("4", 4), ("5", 5), ("None", 4)]
     assert J.component_report(docs.limit(0)).count() == 0
     assert J.near_dedup(docs).count() == 4
+
+
+def test_saved_tables_leave_no_shuffle_files(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from tapewright.llm.util import saved
+
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    before = disk.getAllFiles().size()
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    assert saved(rows, "counts").count() == 7
+    for _ in range(50):
+        if disk.getAllFiles().size() <= before + 2:  # those of the count above
+            return
+        time.sleep(0.1)
+    raise AssertionError("shuffle files are left")
+
+
+def test_shared_prefixes(spark):
+    rows = [(1, 10, 5, 1, 1), (1, 10, 5, 1, 1), (2, 10, 5, 1, 2), (2, 11, 5, 1, 1), (2, 11, 5, 1, 1)]
+    found = J._shared(spark.createDataFrame(rows, "token long, class long, n long, l long, pos long")).collect()
+    assert sorted(tuple(r) for r in found) == [(2, 10, 5, 1, 2), (2, 11, 5, 1, 1)]
