@@ -142,9 +142,10 @@ def str_replace(
 
 
 def make_date(df: DataFrame, year_column: str, month_column: str, day_column: str, output: str = "date") -> DataFrame:
-    text = F.format_string("%04d-%02d-%02d", *[F.col(c).cast("int") for c in (year_column, month_column, day_column)])
-    known = F.col(year_column).isNotNull() & F.col(month_column).isNotNull() & F.col(day_column).isNotNull()
-    return df.withColumn(output, F.try_to_timestamp(F.when(known, text), F.lit("yyyy-MM-dd")).cast("date"))
+    """Parts that are no date of the years 0 to 9999 give null."""
+    year, month, day = (F.col(c).cast("int") for c in (year_column, month_column, day_column))
+    first = F.when(year.between(0, 9999) & month.between(1, 12), F.make_date(year, month, F.lit(1)))
+    return df.withColumn(output, F.when(day.between(1, F.day(F.last_day(first))), F.date_add(first, day - 1)))
 
 
 # ---- rows

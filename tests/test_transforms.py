@@ -77,3 +77,11 @@ def test_empty_frames(spark):
     df = spark.createDataFrame([], "k string, v double")
     assert T.first_rows(df, ["k"], "v").count() == T.melt(df, ["k"]).count() == T.top_k(df, "v", 3).count() == 0
     assert T.filter_latest_date(df, "k").count() == 0
+
+
+def test_make_date_of_odd_parts(spark):
+    parts = {(2023, 2, 28): "2023-02-28", (2023, 2, 29): None, (2024, 2, 29): "2024-02-29", (2024, 13, 1): None, (2024, 0, 1): None, (2024, 4, 31): None,
+             (2024, 4, 0): None, (9999, 12, 31): "9999-12-31", (10000, 1, 1): None, (-1, 1, 1): None, (None, 1, 1): None, (2024, None, 1): None, (2024, 1, None): None}
+    df = T.make_date(spark.createDataFrame(list(parts), "y int, m int, d int"), "y", "m", "d", "at")
+    assert {(r["y"], r["m"], r["d"]): r["at"] for r in df.select("y", "m", "d", df["at"].cast("string").alias("at")).collect()} == parts
+    assert "gettimestamp" not in df._jdf.queryExecution().toString().lower()  # no text is made and parsed again
