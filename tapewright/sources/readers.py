@@ -218,17 +218,21 @@ def read_json(
 
 
 def read_json_tables(
-    spark: SparkSession, path: str, root: str, layouts: Mapping[str, Sequence[Field]], arrays: Mapping[str, str], keys: Mapping[str, Column] | None = None
+    spark: SparkSession, path: str | DataFrame, root: str, layouts: Mapping[str, Sequence[Field]], arrays: Mapping[str, str], keys: Mapping[str, Column] | None = None
 ) -> dict[str, DataFrame]:
     """Whole-file JSON of a row (table ``root``) that holds arrays of rows (table -> name of the array), each typed by its layout.
 
     The schema is that of the layouts. ``keys`` (name -> column over ``file``, the path) go before the columns of every table. An
-    array that a document lacks gives no rows.
+    array that a document lacks gives no rows. Where a folder would have very many small files, they come packed: a frame of
+    ``file``, the path, and ``value``, the whole text.
     """
     schema = T.StructType([T.StructField(f.name, T.StringType()) for f in layouts[root]])
     for table, array in arrays.items():
         schema.add(array, T.ArrayType(T.StructType([T.StructField(f.name, T.StringType()) for f in layouts[table]])))
-    docs = spark.read.option("multiLine", True).schema(schema).json(path).select("*", F.col("_metadata.file_path").alias("file"))
+    if isinstance(path, DataFrame):
+        docs = path.select("file", F.inline(F.from_json("value", T.ArrayType(schema))))  # a single document is an array of one
+    else:
+        docs = spark.read.option("multiLine", True).schema(schema).json(path).select("*", F.col("_metadata.file_path").alias("file"))
     known = [c.alias(n) for n, c in (keys or {}).items()]
     out = {root: apply_fields(docs.select(*known, *[f.name for f in layouts[root]]), layouts[root])}
     for table, array in arrays.items():

@@ -225,3 +225,15 @@ def test_layouts_type_their_records(spark, tmp_path):
     money = next(f for f in L.CASH_DIVIDENDS if f.name == "value_cash")
     df = apply_fields(spark.createDataFrame([("1.234,5", "ON")], "value_cash string, type_stock string"), L.CASH_DIVIDENDS)
     assert (money.thousands, money.decimal) == (".", ",") and tuple(df.first()) == (1234.5, "ON")
+
+
+def test_packed_json_files_are_read_as_files_are(spark, tmp_path):
+    texts = {"a": '{"name": "A", "parts": [{"n": "1"}, {"n": "2"}]}', "b": '[{"name": "B"}, {"name": "C", "parts": [{"n": "3"}]}]', "c": '{"name": null, "parts": null}'}
+    for k, text in texts.items():
+        (tmp_path / f"{k}.json").write_text(text)
+    packed = spark.createDataFrame([(f"/x/{k}.json", t) for k, t in texts.items()], "file string, value string")
+    layouts, key = {"root": [Field("name")], "parts": [Field("n", "integer")]}, {"key": F.regexp_extract("file", "([a-z])[.]json$", 1)}
+    both = [readers.read_json_tables(spark, source, "root", layouts, {"parts": "parts"}, key) for source in (str(tmp_path), packed)]
+    for table in ("root", "parts"):
+        one, other = (sorted(map(str, tables[table].collect())) for tables in both)
+        assert one == other and len(one) == {"root": 4, "parts": 3}[table]
