@@ -31,6 +31,7 @@ from tapewright.llm.util import named
 
 END_ID = 0
 CACHED_PIECES = 400_000  # of each of two generations, per Python worker; about 150 MB together
+LONGEST_PIECE = 64  # longer ones are not kept, so that their number bounds the memory
 
 # fixed values: the published pre-tokenisation pattern of byte-level BPE, for texts of these characters;
 # words come first, as nothing else begins with a letter or a blank and a letter
@@ -62,17 +63,18 @@ class Encoder(dict):
     """Texts to ids, as bytes of little-endian 32-bit integers.
 
     The pieces that byte-level pre-tokenisation makes are encoded one by one and independently, so the
-    ids of frequent pieces are kept: in this dictionary and, once that is full, in the one before it. A
+    ids of frequent pieces are kept: in this dictionary and, once that has ``most``, in the one before it. A
     new piece goes to the tokenizer's model as the letters that stand for its bytes. Texts with characters
     outside the plain set, texts that hold an added token (such as an end mark) and tokenizers of another
     kind are encoded whole, as the tokenizer is loaded.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, most: int = CACHED_PIECES) -> None:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
+        self.most = most
         self.tokenizer = Tokenizer.from_file(path)
         pre = self.tokenizer.pre_tokenizer
         self.model, self.before = self.tokenizer.model, {}
@@ -86,7 +88,7 @@ class Encoder(dict):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHED_PIECES:
+        if len(self) >= self.most:
             self.before = dict(self)
             self.clear()
         found = self.before.get(piece)
@@ -96,7 +98,8 @@ class Encoder(dict):
             else:
                 letters = piece.encode().decode("latin-1").translate(self.letters)
             found = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
-        self[piece] = found
+        if len(piece) <= LONGEST_PIECE:
+            self[piece] = found
         return found
 
     def ids(self, text: str) -> bytes:
@@ -108,11 +111,14 @@ class Encoder(dict):
 _encoders: dict[str, Encoder] = {}
 
 
-def _encoded(path: str, end_id: int):
+def _encoded(path: str, end_id: int, cached_pieces: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.get(path) or _encoders.setdefault(path, Encoder(path))
+        if path not in _encoders:
+            _encoders[path] = Encoder(path)
+        encoder = _encoders[path]
+        encoder.most = cached_pieces
         pos = offset = 0
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
@@ -141,8 +147,12 @@ def encode(
     text_column: str = "text",
     metadata: Sequence[str] = (),
     end_id: int = END_ID,
+    cached_pieces: int = CACHED_PIECES,
 ) -> DataFrame:
-    """Rows in ascending id order: doc_id, metadata, part, pos, offset, n_tokens, ids (list of int)."""
+    """Rows in ascending id order: doc_id, metadata, part, pos, offset, n_tokens, ids (list of int).
+
+    ``cached_pieces`` trades a worker's memory for time: the ids are the same.
+    """
     id_of, text_of, *others = named(id_column, text_column, *metadata)
     rows = docs.select(
         id_of.cast("long").alias("doc_id"), text_of.alias("text"), *[c.alias(f"meta_{n}") for c, n in zip(others, metadata, strict=True)]
@@ -150,7 +160,7 @@ def encode(
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     ordered = ordered.withColumn("part", F.spark_partition_id())
     kept = [f.name + " " + f.dataType.simpleString() for f in ordered.schema if f.name != "text"]
-    encoded = ordered.mapInArrow(_encoded(tokenizer, end_id), ", ".join([*kept, "pos long, offset long, n_tokens long, ids array<int>"]))
+    encoded = ordered.mapInArrow(_encoded(tokenizer, end_id, cached_pieces), ", ".join([*kept, "pos long, offset long, n_tokens long, ids array<int>"]))
     return encoded
 
 

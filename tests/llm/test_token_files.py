@@ -56,3 +56,20 @@ def test_empty_table_and_repeated_ids(spark, tmp_path):
     assert [r["doc_id"] for r in rows] == [None, 2, 2] and rows[2]["start"] == rows[0]["n_tokens"] + rows[1]["n_tokens"]
     write_tokens(docs.limit(0), str(tmp_path / "b"), tokenizer_path())
     assert token_report(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_kept_pieces_are_bounded_in_number_and_length():
+    encoder = Encoder(tokenizer_path(), most=3)
+    for text in (" ".join(f"word{chr(97 + k)}" for k in range(20)), "ab" * 5000, "again " * 50):
+        assert encoder.ids(text) == plain(text)
+        assert len(encoder) <= 3 and len(encoder.before) <= 3 and max(map(len, encoder)) <= 64
+
+
+def test_pipeline_keeps_fewer_pieces(spark, monkeypatch):
+    import corpus_pipeline
+
+    given = {}
+    monkeypatch.setattr(corpus_pipeline, "write_tokens", lambda docs, path, tokenizer, **options: given.update(options))
+    monkeypatch.setattr(corpus_pipeline, "token_report", lambda *_: None)
+    corpus_pipeline.token_files(spark, None, "")
+    assert given["cached_pieces"] <= 100_000
