@@ -185,13 +185,13 @@ def fwf_multi_rows(
 ) -> DataFrame:
     """As ``read_fwf_multi``, the rows of all record types from one scan of the lines, for ``sinks.write_outputs``; ``names`` by code."""
     met = _dated(spark, path, header_code, refdate_start, refdate_width, encoding)
-    code, text = F.substring("value", 1, 2), F.substring("value", 1 if coded else 3, 1 << 20)
+    code = F.substring("value", 1, 2)
     output = F.coalesce(*[F.when(code == c, F.lit((names or {}).get(c, c))) for c in datasets])
     outputs = {}
     for c, fields in datasets.items():
-        cells, at = {"refdate": F.col("refdate")}, 1
+        cells, at = {"refdate": F.col("refdate")}, 1 if coded else 3
         for f in fields:
-            cells[f.name] = f.typed(F.substring(text, at, f.width))
+            cells[f.name] = f.typed(F.substring("value", at, f.width))
             at += f.width
         outputs[(names or {}).get(c, c)] = cells
     return tagged(met, output, outputs)
@@ -371,16 +371,19 @@ def tagged(df: DataFrame, output: Column, outputs: Mapping[str, Mapping[str, Col
     """Rows of several datasets side by side: ``output`` and every dataset's columns, null where a row's dataset has no such column.
 
     Rows whose output is none of ``outputs`` are left out. Datasets that share a column's name share the column; if their
-    types differ, each has its own, named ``column@output``.
+    types differ, each has its own, named ``column@output``. A row's dataset is asked for once a dataset, not once a column: each
+    dataset's cells are made together.
     """
     kinds = {o: dict(df.select(*[c.alias(n) for n, c in columns.items()]).dtypes) for o, columns in outputs.items()}
+    met = df.withColumn("__output", output).where(F.col("__output").isin(*outputs))
+    whole = [F.when(F.col("__output") == o, F.struct(*[c.alias(n) for n, c in columns.items()])) for o, columns in outputs.items()]
+    met = met.select("__output", *[w.alias(f"__{k}") for k, w in enumerate(whole)])
     cells: dict[str, list[Column]] = {}
-    for o, columns in outputs.items():
-        for n, c in columns.items():
+    for k, (o, columns) in enumerate(outputs.items()):
+        for n in columns:
             same = len({kind[n] for kind in kinds.values() if n in kind}) == 1
-            cells.setdefault(n if same else f"{n}@{o}", []).append(F.when(output == o, c))
-    found = df.where(output.isin(*outputs))
-    return found.select(output.alias("output"), *[F.coalesce(*c).alias(n) for n, c in cells.items()])
+            cells.setdefault(n if same else f"{n}@{o}", []).append(F.col(f"__{k}")[n])
+    return met.select(F.col("__output").alias("output"), *[F.coalesce(*c).alias(n) for n, c in cells.items()])
 
 
 def latest_message(df: DataFrame, day_column: str, created_column: str, message_column: str) -> DataFrame:

@@ -327,3 +327,16 @@ def test_bulletin_layouts_fill_their_lines(spark, tmp_path):
     lines(tmp_path / "in", "a.txt", "00".ljust(30) + "20240102\n" + iopv + "\n")
     for got in (readers.read_fwf_multi(spark, f"{tmp_path}/in", Y.BULLETIN, coded=True)["08"], readers.fwf_multi_rows(spark, f"{tmp_path}/in", Y.BULLETIN, coded=True)):
         assert rows(got, "refdate", "tipo_registro", "id_iopv", "sigla_iopv", "nome_iopv", "iopv_abertura", "iopv_min") == [(D(2024, 1, 2), "08", 7.0, "ABCD", "Long name", 12.34, None)]
+
+
+def test_rows_of_several_tables_ask_for_their_table_once(spark, tmp_path):
+    line = "02" + "".join(str(k) for k in range(1, 10))
+    spark.createDataFrame([("00" + " " * 28 + "20101220",), (line,), ("03abcdefghi",)], "value string").coalesce(1).write.text(f"{tmp_path}/in")
+    datasets = {c: [Field(f"f{k}", kind, width=1) for k in range(9)] for c, kind in (("02", "integer"), ("03", "string"))}
+    rows = readers.fwf_multi_rows(spark, f"{tmp_path}/in", datasets)
+    got = {r["output"]: r for r in rows.collect()}
+    assert [got["02"][f"f{k}@02"] for k in range(9)] == list(range(1, 10)) and got["02"]["f0@03"] is None
+    assert [got["03"][f"f{k}@03"] for k in range(9)] == list("abcdefghi") and got["03"]["f0@02"] is None
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("CASE WHEN (__output") == 2, plan  # not for each of the 18 columns
+    assert "1048576" not in plan  # the line is not copied for each of its cells
